@@ -1,6 +1,6 @@
 """Import every query module so the registry is complete."""
 
-from . import catalog, catalog_eval  # noqa: F401
+from . import catalog, catalog_eval, catalog_sources  # noqa: F401
 from .registry import REGISTRY
 
 __all__ = ["REGISTRY"]
