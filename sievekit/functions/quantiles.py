@@ -133,24 +133,23 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               .where(F.col("bx").isNotNull()))
     pos = (F.col("n") - 1).cast(DoubleType()) * F.col("prob")
     reach = F.col("n_below") + F.col("cum")          # ranks covered are < reach
-    picked = (ranked
-              .withColumn("pos", pos)
-              .groupBy(*keys)
-              .agg(F.first("pos").alias("pos"), F.first("n_below").alias("n_below"),
-                   F.first("n_band").alias("n_band"), F.first("pred_all").alias("pred"),
-                   F.first("succ_all").alias("succ"),
-                   F.min(F.when(reach > F.floor(F.col("pos")), F.col("bx"))).alias("b_lo"),
-                   F.min(F.when(reach > F.ceil(F.col("pos")), F.col("bx"))).alias("b_hi")))
+    # the order statistics are window aggregates over the same partition as
+    # the running sum (no further shuffle); every band row then carries them
+    ranked = ranked.withColumn("pos", pos)
+    b_lo = F.min(F.when(reach > F.floor(F.col("pos")), F.col("bx"))).over(part)
+    b_hi = F.min(F.when(reach > F.ceil(F.col("pos")), F.col("bx"))).over(part)
 
     def at(rank, band_value):
-        return (F.when(rank < F.col("n_below"), F.col("pred"))
-                 .when(rank >= F.col("n_below") + F.col("n_band"), F.col("succ"))
+        return (F.when(rank < F.col("n_below"), F.col("pred_all"))
+                 .when(rank >= F.col("n_below") + F.col("n_band"), F.col("succ_all"))
                  .otherwise(band_value))
 
-    x_lo = at(F.floor(F.col("pos")), F.col("b_lo"))
-    x_hi = at(F.ceil(F.col("pos")), F.col("b_hi"))
+    x_lo = at(F.floor(F.col("pos")), b_lo)
+    x_hi = at(F.ceil(F.col("pos")), b_hi)
     frac = F.col("pos") - F.floor(F.col("pos"))
-    return picked.select(*keys, (x_lo + (x_hi - x_lo) * frac).alias("value"))
+    return (ranked.withColumn("value", x_lo + (x_hi - x_lo) * frac)
+                  .withColumn("_first", F.col("bx") == F.min("bx").over(part))
+                  .where(F.col("_first")).select(*keys, "value"))
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -158,7 +157,8 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Wide form: one row per group of ``by`` with one column per
     (column, prob) named ``qname(column, prob)``; NULL where a group has no
-    value.  With ``by=()`` the result has exactly one row."""
+    value for a column.  With ``by=()`` the result has exactly one row; a
+    group whose every value is NULL has no row (consumers left-join)."""
     by = list(by)
     long = quantiles_long(df, cols, probs, by, method, accuracy)
     wide_cols = [F.max(F.when((F.col("column") == c) & (F.col("prob") == float(p)),
@@ -167,10 +167,4 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     if not by:
         # always exactly one row, even for an empty input
         return long.agg(*wide_cols)
-    wide = long.groupBy(*by).agg(*wide_cols)
-    groups = df.select(*by).distinct()
-    gkeys = [f"_g{i}" for i in range(len(by))]
-    right = wide.select(*[F.col(b).alias(g) for b, g in zip(by, gkeys)],
-                        *[F.col(qname(c, p)) for c in cols for p in probs])
-    return (groups.join(right, _null_safe_on(groups, right, by, gkeys), "left")
-                  .drop(*gkeys))
+    return long.groupBy(*by).agg(*wide_cols)

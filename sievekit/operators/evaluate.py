@@ -49,25 +49,26 @@ def confusion(df: DataFrame, true: str, pred: str, classes: Sequence[str]) -> Da
     """V2: long confusion matrix (true_label, pred_label, n), zero cells kept,
     fixed label order; predictions outside ``classes`` are ignored."""
     classes = list(classes)
-    cells = [F.count(F.when((F.col(true) == t) & (F.col(pred) == p), F.lit(1))).alias(f"{t}|{p}")
-             for t in classes for p in classes]
+    cells = [F.count(F.when((F.col(true) == t) & (F.col(pred) == p), F.lit(1))).alias(f"c{i}_{j}")
+             for i, t in enumerate(classes) for j, p in enumerate(classes)]
     wide = df.agg(*cells)
     items = [F.struct(F.lit(t).alias("true_label"), F.lit(p).alias("pred_label"),
-                      F.col(f"`{t}|{p}`").alias("n")) for t in classes for p in classes]
+                      F.col(f"c{i}_{j}").alias("n"))
+             for i, t in enumerate(classes) for j, p in enumerate(classes)]
     return wide.select(F.inline(F.array(*items)))
 
 
 def _class_counts(df: DataFrame, true: str, pred: str, classes: Sequence[str]) -> DataFrame:
     """(label, tp, support, predicted) -- one aggregate pass, K rows out."""
     aggs = []
-    for c in classes:
-        aggs += [F.count(F.when((F.col(true) == c) & (F.col(pred) == c), 1)).alias(f"tp_{c}"),
-                 F.count(F.when(F.col(true) == c, 1)).alias(f"sup_{c}"),
-                 F.count(F.when(F.col(pred) == c, 1)).alias(f"pc_{c}")]
+    for i, c in enumerate(classes):
+        aggs += [F.count(F.when((F.col(true) == c) & (F.col(pred) == c), 1)).alias(f"tp_{i}"),
+                 F.count(F.when(F.col(true) == c, 1)).alias(f"sup_{i}"),
+                 F.count(F.when(F.col(pred) == c, 1)).alias(f"pc_{i}")]
     wide = df.agg(*aggs)
-    items = [F.struct(F.lit(c).alias("label"), F.col(f"tp_{c}").alias("tp"),
-                      F.col(f"sup_{c}").alias("support"), F.col(f"pc_{c}").alias("predicted"))
-             for c in classes]
+    items = [F.struct(F.lit(c).alias("label"), F.col(f"tp_{i}").alias("tp"),
+                      F.col(f"sup_{i}").alias("support"), F.col(f"pc_{i}").alias("predicted"))
+             for i, c in enumerate(classes)]
     return wide.select(F.inline(F.array(*items)))
 
 
