@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from .sqlexpr import lit_num, lit_str, q, unpivot_expr
+
 DEFAULT_ACCURACY = 10000
 
 
@@ -48,9 +50,7 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str], rkeys:
 
 def _unpivot(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """(by..., column, x) with NULL values dropped; generated in-stage, no shuffle."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(DoubleType()).alias("x"))
-                      for c in cols])
-    return (df.select(*by, F.inline(pairs))
+    return (df.select(*by, unpivot_expr(cols))
               .where(F.col("x").isNotNull()))
 
 
@@ -62,14 +62,16 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     by = list(by)
     cols = list(cols)
     probs = [float(p) for p in probs]
+    def arr(ps):
+        return "array(" + ", ".join(lit_num(p) for p in ps) + ")"
+
     if method == "approx":
         wide = df.groupBy(*by).agg(*[
-            F.percentile_approx(F.col(c).cast(DoubleType()), probs, accuracy).alias(f"_b{i}")
+            F.expr(f"percentile_approx(CAST({q(c)} AS DOUBLE), {arr(probs)}, {accuracy}) AS _b{i}")
             for i, c in enumerate(cols)])
-        items = [F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"),
-                          F.col(f"_b{i}")[j].alias("value"))
-                 for i, c in enumerate(cols) for j, p in enumerate(probs)]
-        return (wide.select(*by, F.inline(F.array(*items)))
+        items = ", ".join(f"struct({lit_str(c)} AS column, {lit_num(p)} AS prob, _b{i}[{j}] AS value)"
+                          for i, c in enumerate(cols) for j, p in enumerate(probs))
+        return (wide.select(*by, F.expr(f"inline(array({items}))"))
                     .where(F.col("value").isNotNull()))
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
@@ -79,21 +81,20 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     lo_ps = [max(p - delta, 0.0) for p in probs]
     hi_ps = [min(p + delta, 1.0) for p in probs]
     sketch = df.groupBy(*by).agg(*[
-        F.percentile_approx(F.col(c).cast(DoubleType()), lo_ps + hi_ps, accuracy).alias(f"_b{i}")
+        F.expr(f"percentile_approx(CAST({q(c)} AS DOUBLE), {arr(lo_ps + hi_ps)}, {accuracy}) AS _b{i}")
         for i, c in enumerate(cols)])
     k = len(probs)
-    null_d = F.lit(None).cast(DoubleType())
     items = []
     for i, c in enumerate(cols):
         for j, p in enumerate(probs):
             # an open side (p at an end of [0,1]) means "no bound"
-            v_lo = F.col(f"_b{i}")[j] if p - delta > 0.0 else null_d
-            v_hi = F.col(f"_b{i}")[k + j] if p + delta < 1.0 else null_d
-            items.append(F.struct(F.lit(c).alias("_c"), F.lit(p).alias("prob"),
-                                  v_lo.alias("v_lo"), v_hi.alias("v_hi")))
+            v_lo = f"_b{i}[{j}]" if p - delta > 0.0 else "CAST(NULL AS DOUBLE)"
+            v_hi = f"_b{i}[{k + j}]" if p + delta < 1.0 else "CAST(NULL AS DOUBLE)"
+            items.append(f"struct({lit_str(c)} AS _c, {lit_num(p)} AS prob, {v_lo} AS v_lo, "
+                         f"{v_hi} AS v_hi)")
     gkeys = [f"_g{i}" for i in range(len(by))]
     bounds = sketch.select(*[F.col(b).alias(g) for b, g in zip(by, gkeys)],
-                           F.inline(F.array(*items)))
+                           F.expr(f"inline(array({', '.join(items)}))"))
 
     # -- pass 2: below-band counts, in-band distinct values, neighbours ----
     long = _unpivot(df, by, cols)
@@ -161,8 +162,8 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     group whose every value is NULL has no row (consumers left-join)."""
     by = list(by)
     long = quantiles_long(df, cols, probs, by, method, accuracy)
-    wide_cols = [F.max(F.when((F.col("column") == c) & (F.col("prob") == float(p)),
-                              F.col("value"))).alias(qname(c, p))
+    wide_cols = [F.expr(f"max(CASE WHEN column = {lit_str(c)} AND prob = {lit_num(p)} "
+                        f"THEN value END) AS {q(qname(c, p))}")
                  for c in cols for p in probs]
     if not by:
         # always exactly one row, even for an empty input

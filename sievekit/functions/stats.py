@@ -8,14 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def scalars(stats: DataFrame, names: Sequence[str]) -> dict[str, Column]:
-    """Columns of a one-row stats frame as scalar subqueries.
-
-    Catalyst evaluates each subquery once and inlines the value; scalar
-    subqueries over the same plan are merged into a single job.  No join,
-    no broadcast of a growing side.
+def scalars(stats: DataFrame, names: Sequence[str], mode: str = "literal") -> dict[str, Column]:
+    """Columns of a one-row stats frame, for use in row expressions.
+
+    ``literal`` (default): the single row is fetched once (a bounded,
+    one-row action -- what Spark itself does when it evaluates a scalar
+    subquery) and inlined as typed literals, which keeps downstream plans
+    small.  ``subquery``: lazy scalar subqueries instead; Catalyst evaluates
+    them at execution time, but every use embeds a copy of the stats plan.
     """
-    return {n: stats.select(n).scalar() for n in names}
+    names = list(names)
+    if mode == "subquery":
+        return {n: stats.select(n).scalar() for n in names}
+    row = stats.select(*names).first()
+    types = {f.name: f.dataType for f in stats.select(*names).schema.fields}
+    return {n: F.lit(None if row is None else row[n]).cast(types[n]) for n in names}
 
 
 def attach_by_group(df: DataFrame, stats: DataFrame, by: Sequence[str],

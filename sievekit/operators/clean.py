@@ -18,7 +18,8 @@ from pyspark.sql.types import DoubleType, StringType
 
 from ..functions.nulls import nan_to_null, numeric_columns, to_double
 from ..functions.quantiles import qname, quantiles
-from ..functions.stats import attach_by_group, scalars
+from ..functions.sqlexpr import lit_num, q
+from ..functions.stats import attach_by_group
 from ..session import materialize
 
 ID_COLUMNS = ("ticker", "sector")
@@ -70,8 +71,8 @@ def impute_group_median(df: DataFrame, cols: Sequence[str], by: str = "sector",
     med = quantiles(df, cols, [0.5], by=[by], method=method)
     med = med.select(by, *[F.col(qname(c, 0.5)).alias(c) for c in cols])
     j = attach_by_group(df, med, [by])
-    return j.select(*[F.coalesce(F.col(c), F.col("_s_" + c)).alias(c) if c in cols else F.col(c)
-                      for c in df.columns])
+    return j.selectExpr(*[f"coalesce({q(c)}, {q('_s_' + c)}) AS {q(c)}" if c in cols else q(c)
+                          for c in df.columns])
 
 
 def impute_global_median(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataFrame:
@@ -79,10 +80,13 @@ def impute_global_median(df: DataFrame, cols: Sequence[str], method: str = "exac
     cols = list(cols)
     if not cols:
         return df
-    med = quantiles(df, cols, [0.5], method=method)
-    s = scalars(med, [qname(c, 0.5) for c in cols])
-    return df.select(*[F.coalesce(F.col(c), s[qname(c, 0.5)]).alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
+    med = quantiles(df, cols, [0.5], method=method).first()
+    return df.selectExpr(*[_coalesce_lit(c, med[qname(c, 0.5)]) if c in cols else q(c)
+                           for c in df.columns])
+
+
+def _coalesce_lit(c: str, v) -> str:
+    return f"coalesce({q(c)}, {'CAST(NULL AS DOUBLE)' if v is None else lit_num(v)}) AS {q(c)}"
 
 
 def winsor_bounds(df: DataFrame, cols: Sequence[str], lower: float = 0.01, upper: float = 0.99,
@@ -98,14 +102,16 @@ def winsorize(df: DataFrame, cols: Sequence[str], lower: float = 0.01, upper: fl
     if not cols:
         return df
     bounds = bounds if bounds is not None else winsor_bounds(df, cols, lower, upper, method)
-    s = scalars(bounds, [qname(c, p) for c in cols for p in (lower, upper)])
+    row = bounds.first() if isinstance(bounds, DataFrame) else bounds
 
     def clip(c):
-        x = F.col(c)
-        return F.when(x.isNotNull(), F.least(F.greatest(x, s[qname(c, lower)]),
-                                             s[qname(c, upper)])).alias(c)
+        lo, hi = row[qname(c, lower)], row[qname(c, upper)]
+        if lo is None or hi is None:       # all-NULL column: nothing to clip
+            return q(c)
+        return (f"CASE WHEN {q(c)} IS NULL THEN NULL ELSE "
+                f"least(greatest({q(c)}, {lit_num(lo)}), {lit_num(hi)}) END AS {q(c)}")
 
-    return df.select(*[clip(c) if c in cols else F.col(c) for c in df.columns])
+    return df.selectExpr(*[clip(c) if c in cols else q(c) for c in df.columns])
 
 
 def add_engineered(df: DataFrame, max_de=None) -> DataFrame:
@@ -156,13 +162,12 @@ def clean_and_engineer(raw: DataFrame, cfg: CleanConfig = CleanConfig()) -> Data
     else:
         df = materialize(df, cfg.barrier)
     df = materialize(impute_global_median(df, cols, cfg.quantile_method), cfg.barrier)
-    bounds = winsor_bounds(df, cols, cfg.winsor_lower, cfg.winsor_upper, cfg.quantile_method)
+    bounds = winsor_bounds(df, cols, cfg.winsor_lower, cfg.winsor_upper,
+                           cfg.quantile_method).first()
     df = winsorize(df, cols, cfg.winsor_lower, cfg.winsor_upper, bounds=bounds)
     # max of a column clipped at its upper quantile is that quantile
-    if "DE_ratio" in cols:
-        max_de = bounds.select(qname("DE_ratio", cfg.winsor_upper)).scalar()
-    else:
-        max_de = F.lit(None).cast(DoubleType())
+    top = bounds[qname("DE_ratio", cfg.winsor_upper)] if "DE_ratio" in cols else None
+    max_de = F.lit(top).cast(DoubleType())
     df = add_engineered(df, max_de)
     return drop_incomplete(df)
 

@@ -68,5 +68,10 @@ def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     if how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        # persist first: an eager reliable checkpoint runs one job to count
+        # and a second to write the files, which would recompute the plan
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = cached.checkpoint(eager=True)
+        cached.unpersist(blocking=False)
+        return out
     raise ValueError(f"unknown materialize mode {how!r}")
