@@ -27,12 +27,17 @@ OUTCOME = "forward_return"
 ENGINEERED = ("earnings_yield", "quality_score", "leverage_adj_roe")
 
 
-def drop_sparse_rows(df: DataFrame, max_missing: float = 0.30) -> DataFrame:
-    """Keep rows with at least ``ncols * (1 - max_missing)`` non-null
-    values, counted over *all* columns (ticker, sector, outcome included).
-    The float product is rounded up exactly as a float threshold would be."""
-    thresh = math.ceil(len(df.columns) * (1.0 - max_missing))
-    return df.na.drop(thresh=thresh)
+def sparse_threshold(ncols: int, min_present: float = 0.70) -> int:
+    """Smallest non-null count meeting the float threshold ``ncols * 0.70``
+    (the product is taken literally, as the reference's ``thresh`` is)."""
+    return math.ceil(ncols * min_present)
+
+
+def drop_sparse_rows(df: DataFrame, min_present: float = 0.70) -> DataFrame:
+    """Drop rows with more than 30% missing -- keep rows with at least
+    ``ncols * min_present`` non-null values, counted over *all* columns
+    (ticker, sector, outcome included)."""
+    return df.na.drop(thresh=sparse_threshold(len(df.columns), min_present))
 
 
 def coerce_numeric(df: DataFrame, keep_text: Sequence[str] = ID_COLUMNS) -> DataFrame:
@@ -137,7 +142,7 @@ def drop_incomplete(df: DataFrame, required: Sequence[str] = (*ENGINEERED, OUTCO
 
 @dataclass(frozen=True)
 class CleanConfig:
-    max_missing: float = 0.30
+    min_present: float = 0.70
     winsor_lower: float = 0.01
     winsor_upper: float = 0.99
     quantile_method: str = "exact"      # or "approx" (percentile_approx)
@@ -152,7 +157,7 @@ def clean_and_engineer(raw: DataFrame, cfg: CleanConfig = CleanConfig()) -> Data
     winsor pass.  ``cfg.barrier='none'`` keeps one plan (small inputs).
     """
     df = coerce_numeric(nan_to_null(raw))
-    df = drop_sparse_rows(df, cfg.max_missing)
+    df = drop_sparse_rows(df, cfg.min_present)
     cols = feature_columns(df)
     has_sector = "sector" in df.columns
     if has_sector:
@@ -172,9 +177,9 @@ def clean_and_engineer(raw: DataFrame, cfg: CleanConfig = CleanConfig()) -> Data
     return drop_incomplete(df)
 
 
-def clean_report(raw: DataFrame, cleaned: DataFrame, max_missing: float = 0.30) -> DataFrame:
+def clean_report(raw: DataFrame, cleaned: DataFrame, min_present: float = 0.70) -> DataFrame:
     """Row counts through the chain: input, after the sparse-row drop, output."""
-    thresh = math.ceil(len(raw.columns) * (1.0 - max_missing))
+    thresh = sparse_threshold(len(raw.columns), min_present)
     return (raw.agg(F.count(F.lit(1)).alias("rows_in"))
                .select("rows_in",
                        nan_to_null(raw).na.drop(thresh=thresh).select(F.count(F.lit(1))).scalar()

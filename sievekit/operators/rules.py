@@ -32,7 +32,9 @@ class Rule:
     def predicate(self, df: DataFrame) -> Column:
         if self.column not in df.columns:
             return F.lit(False)
-        return truthy(_OPS[self.op](F.col(self.column), F.lit(float(self.value))))
+        # NaN and NULL never meet a threshold (NaN sorts above all numbers in Spark)
+        x = F.nanvl(F.col(self.column), F.lit(None).cast("double"))
+        return truthy(_OPS[self.op](x, F.lit(float(self.value))))
 
 
 @dataclass(frozen=True)
