@@ -13,7 +13,7 @@ from ..session import materialize
 from ..sources.fixtures import prices
 from . import oracle_sql as O
 from .registry import register, rounded
-from .workflow import labelled, screened
+from .workflow import labelled, main_analysis, screened
 
 EDA_COLS = [*O.FEATURES, "earnings_yield", "quality_score", "leverage_adj_roe"]
 _LAB = O.clean_prefix(O.LABELLED)
@@ -199,3 +199,9 @@ def q_t07(spark, sf_dir):
 def q_t08(spark, sf_dir):
     _, m = _model(spark, sf_dir, tune=False)
     return m.score(labelled(spark, sf_dir), keep=["ticker"])
+
+
+@register("a01_main_analysis", None)
+def q_a01(spark, sf_dir):
+    """Entry A: tuned model vs rule screen on the held-out rows."""
+    return main_analysis(spark, sf_dir, tune=True).metrics

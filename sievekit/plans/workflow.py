@@ -8,9 +8,13 @@ statistic pass re-reads its input.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import evaluate as V
+from ..operators import model as T
 from ..operators.clean import CleanConfig, clean_and_engineer
 from ..operators.labels import BATCH_POLICY, LabelPolicy, quantile_label
 from ..operators.rules import STRICT, Rulebook, screen
@@ -40,3 +44,26 @@ def signal_returns(df: DataFrame, signal: str = "signal_rules",
               .agg(F.count(F.lit(1)).alias("n_names"),
                    F.avg(outcome).alias("avg_forward_return"),
                    F.count(F.when(F.col("target") == F.col(signal), F.lit(1))).alias("n_agree")))
+
+
+# ----------------------------------------------------------------- Entry A
+
+@dataclass
+class AnalysisResult:
+    model: "T.ScreenModel"
+    prepared: "T.Prepared"
+    predictions: DataFrame        # test rows: ids, labels, rule signal, ML class + probabilities
+    metrics: DataFrame            # V14 comparison table
+
+
+def main_analysis(spark: SparkSession, sf_dir: str, tune: bool = True,
+                  cfg: CleanConfig = CleanConfig()) -> AnalysisResult:
+    """The batch workflow end to end: ingest -> clean -> label -> screen ->
+    prepare -> tune/train -> evaluate rules vs model on the test rows."""
+    df = screened(spark, sf_dir, cfg=cfg)
+    prep = T.prepare(df, barrier=cfg.barrier)
+    model = T.train_screen_model(prep, tune=tune)
+    pred = materialize(model.predict(prep.test, keep=["ticker", "forward_return", "target",
+                                                      "signal_rules"]), cfg.barrier)
+    metrics = V.comparison_table(pred, classes=prep.classes)
+    return AnalysisResult(model, prep, pred, metrics)
