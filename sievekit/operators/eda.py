@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType
 
 from ..functions.nulls import numeric_columns
 from ..functions.quantiles import qname, quantiles
+from ..functions.sqlexpr import lit_str, q
 from ..functions.stats import safe_corr
 
 # The guided factor list and the default number of plots.
@@ -33,20 +34,34 @@ def eda_columns(df: DataFrame, outcome: str = "forward_return") -> list[str]:
 # --------------------------------------------------------------------- E1
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Long-form Pearson matrix (feature_a, feature_b, corr), every
-    ordered pair including the diagonal, each pair over its complete rows.
-    One aggregate holds all k(k+1)/2 expressions; NULL for a constant side."""
+    ordered pair including the diagonal, each pair over its complete rows;
+    NULL for a constant side or no complete row.
+
+    Rows are unpivoted in-stage to (pair, a, b) and grouped by pair with
+    three aggregates.  One aggregate with k(k+1)/2 correlations would exceed
+    the code-generation field limit (and run interpreted) beyond ~10 columns.
+    """
     cols = list(cols) if cols is not None else eda_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = df.agg(*[safe_corr(F.col(a).cast(DoubleType()), F.col(b).cast(DoubleType()))
-                   .alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    items = []
-    for i, (a, b) in enumerate(pairs):
-        items.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                              F.col(f"p{i}").alias("corr")))
-        if a != b:
-            items.append(F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"),
-                                  F.col(f"p{i}").alias("corr")))
-    return agg.select(F.inline(F.array(*items)))
+    items = ", ".join(f"struct({i} AS pid, CAST({q(a)} AS DOUBLE) AS a, CAST({q(b)} AS DOUBLE) AS b)"
+                      for i, (a, b) in enumerate(pairs))
+    long = (df.select(F.expr(f"inline(array({items}))"))
+              .where(F.col("a").isNotNull() & F.col("b").isNotNull()))
+    stats = long.groupBy("pid").agg(safe_corr(F.col("a"), F.col("b")).alias("corr"))
+    spark = df.sparkSession
+    names_a = ", ".join(lit_str(a) for a, _ in pairs)
+    names_b = ", ".join(lit_str(b) for _, b in pairs)
+    # the pair list: k(k+1)/2 rows, so a pair with no complete row still appears
+    grid = spark.range(len(pairs)).select(
+        F.col("id").cast("int").alias("pid"),
+        F.expr(f"element_at(array({names_a}), CAST(id AS INT) + 1)").alias("fa"),
+        F.expr(f"element_at(array({names_b}), CAST(id AS INT) + 1)").alias("fb"))
+    full = grid.join(F.broadcast(stats), "pid", "left")
+    # both orientations of each off-diagonal pair from the one aggregate
+    return full.select(F.expr(
+        "inline(CASE WHEN fa = fb THEN array(struct(fa AS feature_a, fb AS feature_b, corr)) "
+        "ELSE array(struct(fa AS feature_a, fb AS feature_b, corr), "
+        "struct(fb AS feature_a, fa AS feature_b, corr)) END)"))
 
 
 def _long(df: DataFrame, cols: Sequence[str], hue: str) -> DataFrame:
