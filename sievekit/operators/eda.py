@@ -105,7 +105,9 @@ def histogram(df: DataFrame, cols: Sequence[str] | None = None, hue: str = "targ
     cols = list(cols) if cols is not None else eda_columns(df)
     edges = bin_edges(df, cols, bins)
     long = _long(df, cols, hue)
-    j = long.join(edges, "feature")
+    # one row per feature: a bound we know, so broadcast it (a shuffle join
+    # on a dozen keys would funnel each feature's rows into one task)
+    j = long.join(F.broadcast(edges), "feature")
     k = F.col("nbins")
     span = F.col("hi") - F.col("lo")
     b = F.when(span > 0, F.least(F.floor((F.col("x") - F.col("lo")) / span * k), k - 1)) \
@@ -137,7 +139,7 @@ def kde_curves(df: DataFrame, cols: Sequence[str] | None = None, hue: str = "tar
         F.min("x").alias("lo"), F.max("x").alias("hi"))
     st = st.where((F.col("n") >= 2) & (F.col("sd") > 0))
     st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast(DoubleType()), -0.2))
-    j = long.join(st, ["feature", "hue"])
+    j = long.join(F.broadcast(st), ["feature", "hue"])      # features x classes rows
     span = F.col("hi") - F.col("lo")
     pb = F.lit(prebins)
     b = F.when(span > 0, F.least(F.floor((F.col("x") - F.col("lo")) / span * pb), pb - 1)) \

@@ -196,7 +196,7 @@ def box_stats(df: DataFrame, signals: Sequence[str], outcome: str = "forward_ret
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - whis * F.col("iqr")
     hi = F.col("q3") + whis * F.col("iqr")
-    j = long.join(q, ["method", "signal"])
+    j = long.join(F.broadcast(q), ["method", "signal"])     # methods x classes rows
     r = F.col("r")
     return j.groupBy("method", "signal").agg(
         F.count(F.lit(1)).alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),

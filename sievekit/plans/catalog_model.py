@@ -10,7 +10,9 @@ from ..operators import eda as E
 from ..operators import features as M
 from ..operators import model as T
 from ..session import materialize
+from ..operators import evaluate as V
 from ..sources.fixtures import prices
+from ..sources.tables import read_table
 from . import oracle_sql as O
 from .registry import register, rounded
 from .workflow import labelled, main_analysis, screened
@@ -205,3 +207,19 @@ def q_t08(spark, sf_dir):
 def q_a01(spark, sf_dir):
     """Entry A: tuned model vs rule screen on the held-out rows."""
     return main_analysis(spark, sf_dir, tune=True).metrics
+
+
+@register("t09_embeddings_fit", None)
+def q_t09(spark, sf_dir):
+    """T1-T5 + V3 on the embeddings table: 64 float features, 10 classes.
+    The array is split into columns in one projection; the same split,
+    train-fitted scaler and multinomial fit as the screen model."""
+    emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    dims = emb.select(F.max(F.size("embedding"))).first()[0] or 0
+    x = emb.select(F.col("vec_id").cast("string").alias("ticker"),
+                   F.format_string("c%02d", F.col("label")).alias("target"),
+                   *[F.col("embedding")[i].cast("double").alias(f"e{i:02d}") for i in range(dims)])
+    prep = T.prepare(x)
+    m = T.train_screen_model(prep, tune=False)
+    pred = m.predict(prep.test, keep=["ticker", "target"])
+    return V.classification_report(pred, "target", "ml_pred_class", prep.classes)

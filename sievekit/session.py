@@ -43,7 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     reliable checkpoint survive executor loss.  A private temporary folder
     is created only for local runs where nothing is configured.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions manage checkpoints server-side
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current

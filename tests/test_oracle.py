@@ -44,4 +44,5 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_model():
     from __spark_entry__ import oracle_sql, queries
     missing = set(queries()) - set(oracle_sql())
-    assert all(n.startswith("t0") for n in missing), missing
+    # only model fits and the end-to-end analysis (iterative solver output) lack SQL
+    assert all(n.startswith(("t0", "a01")) for n in missing), missing
