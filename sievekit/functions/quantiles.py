@@ -103,7 +103,11 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     x, v_lo, v_hi = F.col("x"), F.col("v_lo"), F.col("v_hi")
     below = v_lo.isNotNull() & (x < v_lo)
     above = v_hi.isNotNull() & (x > v_hi)
-    joined = long.join(bounds, on, "inner").select(
+    # ungrouped, the bounds table has len(cols) x len(probs) rows and the key
+    # is just the column name: broadcast it.  Grouped, its size follows the
+    # group count, so AQE decides at run time (with skew splitting).
+    right = F.broadcast(bounds) if not by else bounds
+    joined = long.join(right, on, "inner").select(
         *by, "column", "prob",
         F.when(~below & ~above, x).alias("bx"),
         F.when(below, x).alias("x_below"),

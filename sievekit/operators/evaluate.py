@@ -40,7 +40,9 @@ def encode_signal(df: DataFrame, signal: str = "signal_rules", target: str = "ta
     """V1: map a signal to the target's codes; unknown -> the default's code."""
     codes = label_codes(df, target)
     dflt = codes.where(F.col("label") == default).select("code").scalar()
-    j = df.join(codes.withColumnRenamed("label", "_lbl"), df[signal] == F.col("_lbl"), "left")
+    # one row per class label: broadcast
+    j = df.join(F.broadcast(codes.withColumnRenamed("label", "_lbl")), df[signal] == F.col("_lbl"),
+                "left")
     return j.select(*df.columns, F.coalesce(F.col("code"), dflt, F.lit(0)).cast(LongType())
                     .alias(out))
 

@@ -92,10 +92,11 @@ def stratified_split(df: DataFrame, label: str | None = "target", key: str = "ti
         .alias("_k"))
     # window over the bucket-count table (bounded by 16^prefix_hex per class)
     run = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (per_bucket.join(quota, "_c")
+    buckets = (per_bucket.join(F.broadcast(quota), "_c")
                .select("_c", "_b", "_k", F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before"),
                        "_nb"))
-    tagged = base.join(buckets, ["_c", "_b"])
+    # at most classes x 16^prefix_hex rows: a bound we set, so broadcast
+    tagged = base.join(F.broadcast(buckets), ["_c", "_b"])
     whole_in = F.col("_before") + F.col("_nb") <= F.col("_k")
     boundary = (F.col("_before") < F.col("_k")) & ~whole_in
     settled = tagged.where(~boundary).withColumn(out, whole_in)
@@ -118,7 +119,7 @@ def class_rank(df: DataFrame, label: str | None = "target", key: str = "ticker",
     run = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     before = per_bucket.select("_c", "_b", F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before"))
     rn = F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_h", key))
-    return (base.join(before, ["_c", "_b"])
+    return (base.join(F.broadcast(before), ["_c", "_b"])
                 .select(*df.columns, (F.col("_before") + rn).alias(out)))
 
 
