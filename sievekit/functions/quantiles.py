@@ -18,6 +18,10 @@ that:
    pandas ``quantile`` and SQL ``quantile_cont``.
 
 ``method="approx"`` is plain ``percentile_approx`` (one pass, bounded memory).
+
+Inputs proven small by a bounded count (``limit(small_rows + 1)``) skip the
+band machinery: each group's values are few enough to sort in one task, so
+a sorted ``collect_list`` gives the same order statistics in one pass.
 Results are small DataFrames: one row per group, one column per
 (column, probability), named by :func:`qname`.
 """
@@ -33,6 +37,9 @@ from pyspark.sql.types import DoubleType
 from .sqlexpr import lit_num, lit_str, q, unpivot_expr
 
 DEFAULT_ACCURACY = 10000
+# Inputs with at most this many rows take the one-pass path: every group
+# then has at most this many values, so a sorted list per group is bounded.
+SMALL_INPUT_ROWS = 500_000
 
 
 def qname(column: str, prob: float) -> str:
@@ -54,11 +61,36 @@ def _unpivot(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame
               .where(F.col("x").isNotNull()))
 
 
+def _interp(arr: str, p: float) -> str:
+    """Linear interpolation on a sorted array, the same rule as below."""
+    pos = f"(CAST(size({arr}) - 1 AS DOUBLE) * {lit_num(p)})"
+    lo = f"element_at({arr}, CAST(floor({pos}) AS INT) + 1)"
+    hi = f"element_at({arr}, CAST(ceil({pos}) AS INT) + 1)"
+    return (f"CASE WHEN size({arr}) > 0 THEN {lo} + ({hi} - {lo}) * ({pos} - floor({pos})) END")
+
+
+def _small_wide(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                by: Sequence[str]) -> DataFrame:
+    """One pass for inputs proven small: sorted value lists per group."""
+    arrays = df.groupBy(*by).agg(*[
+        F.expr(f"sort_array(collect_list(CAST({q(c)} AS DOUBLE))) AS _a{i}")
+        for i, c in enumerate(cols)])
+    return arrays.selectExpr(*[q(b) for b in by], *[
+        f"{_interp(f'_a{i}', p)} AS {q(qname(c, p))}"
+        for i, c in enumerate(cols) for p in probs])
+
+
+def is_small(df: DataFrame, rows: int = SMALL_INPUT_ROWS) -> bool:
+    """Size check that reads at most ``rows + 1`` rows."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                    by: Sequence[str] = (), method: str = "exact",
                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Long form: (by..., column, prob, value).  Groups/columns with no
-    non-null value produce no row."""
+    """Long form: (by..., column, prob, value) by the banded algorithm (or
+    the sketch for ``approx``).  Groups/columns with no non-null value
+    produce no row."""
     by = list(by)
     cols = list(cols)
     probs = [float(p) for p in probs]
@@ -159,12 +191,18 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               by: Sequence[str] = (), method: str = "exact",
-              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+              accuracy: int = DEFAULT_ACCURACY,
+              small_rows: int | None = SMALL_INPUT_ROWS) -> DataFrame:
     """Wide form: one row per group of ``by`` with one column per
     (column, prob) named ``qname(column, prob)``; NULL where a group has no
     value for a column.  With ``by=()`` the result has exactly one row; a
     group whose every value is NULL has no row (consumers left-join)."""
     by = list(by)
+    cols = list(cols)
+    probs = [float(p) for p in probs]
+    if method == "exact" and small_rows and is_small(df, small_rows):
+        # proven small: one pass, same interpolation as the banded path
+        return _small_wide(df, cols, probs, by)
     long = quantiles_long(df, cols, probs, by, method, accuracy)
     wide_cols = [F.expr(f"max(CASE WHEN column = {lit_str(c)} AND prob = {lit_num(p)} "
                         f"THEN value END) AS {q(qname(c, p))}")
