@@ -12,6 +12,9 @@ window ordered over the whole table runs in one task; instead:
 3. prefix-sum the per-bucket totals (a table of ``buckets`` rows), then
    run the ordered window *within* each bucket.
 
+A distinct table proven small by a bounded count skips steps 2-3 (one
+bucket, one window).
+
 Output: one row per distinct value with the weights and their sums over
 strictly earlier values.
 """
@@ -24,6 +27,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..session import materialize
+from .quantiles import is_small
+
+# Distinct-value tables up to this size are prefix-summed in one window.
+SMALL_DISTINCT = 200_000
 
 
 def _bucket_count(df: DataFrame, buckets: int | None) -> int:
@@ -46,6 +53,8 @@ def prefix_table(df: DataFrame, value: str, weights: dict[str, Column],
                   .agg(*[F.sum(e).alias(n) for n, e in weights.items()]))
     distinct = materialize(distinct, "persist")
     nb = _bucket_count(df, buckets)
+    if buckets is None and is_small(distinct, SMALL_DISTINCT):
+        nb = 1            # proven small: one ordered window over the distinct values
     names = list(weights)
     if nb > 1:
         probs = [i / nb for i in range(1, nb)]
