@@ -50,3 +50,21 @@ def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
     """Numeric columns chosen from the schema at run time, in schema order."""
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, NumericType) and f.name not in exclude]
+
+
+# Fixed value: the most distinct labels/categories ever brought to the driver.
+MAX_LABELS = 10_000
+
+
+def bounded_distinct(df: DataFrame, col: str, limit: int = MAX_LABELS) -> list:
+    """Sorted distinct non-null values of a label-like column.
+
+    Reads at most ``limit + 1`` distinct values and refuses more: a class or
+    category list is small by nature, and this proves it before anything
+    reaches the driver.
+    """
+    rows = (df.select(F.col(col).alias("v")).where(F.col("v").isNotNull()).distinct()
+              .limit(limit + 1).collect())
+    if len(rows) > limit:
+        raise ValueError(f"{col!r} has more than {limit} distinct values; not a label column")
+    return sorted(r[0] for r in rows)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType
 
+from ..functions.nulls import bounded_distinct
 from ..functions.quantiles import qname, quantiles
 from ..functions.ranks import average_ranks, prefix_table
 from ..functions.stats import safe_corr, scalars
@@ -24,7 +25,7 @@ def class_list(df: DataFrame, *cols: str) -> list[str]:
     """Sorted distinct labels over ``cols`` (a bounded, tiny list)."""
     vals: set[str] = set()
     for c in cols:
-        vals |= {r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect()}
+        vals |= set(bounded_distinct(df, c))
     return sorted(vals)
 
 

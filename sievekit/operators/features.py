@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType
 
+from ..functions.nulls import bounded_distinct
 from ..functions.stats import scalars
 from ..sources.conform import dense_index
 
@@ -25,8 +26,7 @@ def fit_categories(df: DataFrame, col: str = "sector", missing: str = "Unknown")
     """Sorted distinct categories (the fitted list; a bounded collect)."""
     if col not in df.columns:
         return [missing]
-    rows = df.select(F.coalesce(F.col(col), F.lit(missing)).alias("c")).distinct().collect()
-    return sorted(r[0] for r in rows)
+    return bounded_distinct(df.select(F.coalesce(F.col(col), F.lit(missing)).alias("c")), "c")
 
 
 def one_hot(df: DataFrame, categories: Sequence[str], col: str = "sector",

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from ..functions.nulls import bounded_distinct
 from ..session import materialize
 from .evaluate import classification_report
 from .features import (Scaler, class_rank, feature_list, fit_categories, fit_scaler,
@@ -176,8 +177,7 @@ def prepare(df: DataFrame, label: str = "target", test_frac: float = 0.30, seed:
             barrier: str = "checkpoint") -> Prepared:
     """M1-M7: encode, split (stratified when >= 2 classes), fit the scaler on
     train, scale both sides, index the label."""
-    classes = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull())
-                     .distinct().collect())
+    classes = bounded_distinct(df, label)
     cats = fit_categories(df)
     enc = one_hot(df if "sector" in df.columns else df.withColumn("sector", F.lit(None).cast("string")),
                   cats)

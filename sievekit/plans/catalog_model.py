@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from ..functions.nulls import bounded_distinct
 from ..operators import eda as E
 from ..operators import features as M
 from ..operators import model as T
@@ -112,7 +113,7 @@ def q_m01(spark, sf_dir):
 SELECT ticker, target, CAST(dense_rank() OVER (ORDER BY target) - 1 AS DOUBLE) AS label FROM screened"""))
 def q_m03(spark, sf_dir):
     s = screened(spark, sf_dir)
-    classes = sorted(r[0] for r in s.select("target").distinct().collect())
+    classes = bounded_distinct(s, "target")
     return M.label_index(s, classes).select("ticker", "target", "label")
 
 
