@@ -32,11 +32,13 @@ def date_window(prices: DataFrame, end, years: int = 2, date_col: str = "date")
 
 
 def asof_last(probes: DataFrame, prices: DataFrame, probe_date: str, out: str = "asof_close",
-              key: str = "ticker", date_col: str = "date", value: str = "close") -> DataFrame:
+              key: str = "ticker", date_col: str = "date", value: str = "close",
+              keep_last: bool = False, last_col: str = "_last") -> DataFrame:
     """Backward as-of lookup: for each probe row, ``value`` at the latest
     price date <= ``probe_date`` of the same key (NULL if none).
 
-    Probe rows keep all their columns; one output row per probe row.
+    Probe rows keep all their columns; one output row per probe row.  With
+    ``keep_last`` the key's last price date is added as ``last_col``.
     """
     pcols = probes.columns
     nulls = [F.lit(None).cast(f.dataType).alias(f"_p_{i}") for i, f in enumerate(probes.schema.fields)]
@@ -52,13 +54,18 @@ def asof_last(probes: DataFrame, prices: DataFrame, probe_date: str, out: str =
     # month table has one row per month with prices or probes, so the
     # window below holds at most the months of one ticker's history.
     per_month = (events.where(F.col("_probe") == 0)
-                       .groupBy("_k", "_m").agg(F.max_by("_v", "_d").alias("_mv")))
+                       .groupBy("_k", "_m").agg(F.max_by("_v", "_d").alias("_mv"),
+                                                F.max("_d").alias("_md")))
     probe_only = (events.where(F.col("_probe") == 1).select("_k", "_m").distinct()
                         .join(per_month.select("_k", "_m"), ["_k", "_m"], "left_anti")
-                        .withColumn("_mv", F.lit(None).cast(DoubleType())))
+                        .withColumn("_mv", F.lit(None).cast(DoubleType()))
+                        .withColumn("_md", F.lit(None).cast("date")))
     earlier = Window.partitionBy("_k").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_k")
+    # the key's last price date rides along on the same small month table
     carry = (per_month.unionByName(probe_only)
-                      .select("_k", "_m", F.last("_mv", ignorenulls=True).over(earlier).alias("_carry")))
+                      .select("_k", "_m", F.last("_mv", ignorenulls=True).over(earlier).alias("_carry"),
+                              F.max("_md").over(whole).alias(last_col)))
 
     # within-bucket running last value; prices sort before probes on a day
     within = (Window.partitionBy("_k", "_m").orderBy("_d", "_probe")
@@ -66,7 +73,8 @@ def asof_last(probes: DataFrame, prices: DataFrame, probe_date: str, out: str =
     local = events.withColumn("_local", F.last("_v", ignorenulls=True).over(within))
     hits = local.where(F.col("_probe") == 1).join(carry, ["_k", "_m"], "left")
     return hits.select(*[F.col(f"_p_{i}").alias(c) for i, c in enumerate(pcols)],
-                       F.coalesce(F.col("_local"), F.col("_carry")).alias(out))
+                       F.coalesce(F.col("_local"), F.col("_carry")).alias(out),
+                       *([F.col(last_col)] if keep_last else []))
 
 
 def forward_return(prices: DataFrame, months: int = 12, key: str = "ticker",
@@ -77,9 +85,7 @@ def forward_return(prices: DataFrame, months: int = 12, key: str = "ticker",
     horizon passes the ticker's last price date."""
     base = prices.select(key, date_col, value,
                          F.add_months(F.col(date_col), months).alias("_target"))
-    last_date = prices.groupBy(key).agg(F.max(date_col).alias("_last"))
-    hit = asof_last(base, prices, "_target", "_future", key, date_col, value)
-    hit = hit.join(last_date, key, "left")
+    hit = asof_last(base, prices, "_target", "_future", key, date_col, value, keep_last=True)
     fr = F.when(F.col("_target") > F.col("_last"), F.lit(None).cast(DoubleType())).otherwise(
         (F.col("_future") - F.col(value)) / F.col(value))
     return hit.select(key, date_col, value, fr.alias(out))
