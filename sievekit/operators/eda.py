@@ -74,9 +74,10 @@ def _long(df: DataFrame, cols: Sequence[str], hue: str) -> DataFrame:
 def bin_edges(df: DataFrame, cols: Sequence[str], bins="auto") -> DataFrame:
     """Per feature: (feature, lo, hi, nbins) shared by every class.
 
-    ``bins="auto"`` follows numpy's rule: the smaller of the Sturges and
-    Freedman-Diaconis widths (FD only when the IQR is positive); an int
-    fixes the count.  A constant feature gets one bin.
+    ``bins="auto"`` follows numpy's rule: the smaller of the Sturges width
+    and the Freedman-Diaconis width, the latter floored at half the
+    square-root-rule width (which caps the bin count); an int fixes the
+    count.  A constant feature gets one bin.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast(DoubleType()).alias("x"))
                       for c in cols])
@@ -91,7 +92,8 @@ def bin_edges(df: DataFrame, cols: Sequence[str], bins="auto") -> DataFrame:
         n = F.col("n").cast(DoubleType())
         sturges = rng / (F.log2(n) + 1.0)
         fd = 2.0 * iqr * F.pow(n, -1.0 / 3.0)
-        width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
+        half_sqrt = rng / F.sqrt(n) / 2.0
+        width = F.least(F.greatest(fd, half_sqrt), sturges)
         nb = F.when(rng > 0, F.ceil(rng / width)).otherwise(F.lit(1))
     else:
         nb = F.lit(int(bins))

@@ -54,10 +54,9 @@ def q_e01(spark, sf_dir):
 , lx AS ({_unpivot_sql("labelled")}),
 st AS (SELECT feature, MIN(x) AS lo, MAX(x) AS hi, COUNT(*) AS n,
               quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr FROM lx GROUP BY feature),
-ed AS (SELECT feature, lo, hi, GREATEST(CASE WHEN hi - lo > 0 THEN CEIL((hi - lo) / (
-          CASE WHEN 2.0 * iqr * POW(CAST(n AS DOUBLE), -1.0 / 3.0) > 0
-               THEN LEAST(2.0 * iqr * POW(CAST(n AS DOUBLE), -1.0 / 3.0), (hi - lo) / (LOG2(CAST(n AS DOUBLE)) + 1.0))
-               ELSE (hi - lo) / (LOG2(CAST(n AS DOUBLE)) + 1.0) END)) ELSE 1 END, 1) AS k FROM st),
+ed AS (SELECT feature, lo, hi, GREATEST(CASE WHEN hi - lo > 0 THEN CEIL((hi - lo) / LEAST(
+          GREATEST(2.0 * iqr * POW(CAST(n AS DOUBLE), -1.0 / 3.0), (hi - lo) / SQRT(CAST(n AS DOUBLE)) / 2.0),
+          (hi - lo) / (LOG2(CAST(n AS DOUBLE)) + 1.0))) ELSE 1 END, 1) AS k FROM st),
 b AS (SELECT lx.feature, lx.hue, ed.lo, ed.hi, ed.k,
         CAST(CASE WHEN ed.hi - ed.lo > 0 THEN LEAST(FLOOR((lx.x - ed.lo) / (ed.hi - ed.lo) * ed.k), ed.k - 1)
              ELSE 0 END AS BIGINT) AS bin
