@@ -56,7 +56,8 @@ def prefix_table(df: DataFrame, value: str, weights: dict[str, Column],
         nb = 1            # <= N input rows, so <= N distinct values: one ordered window
     names = list(weights)
     if nb > 1:
-        distinct = materialize(distinct, "persist")       # read by the sketch and the windows
+        # read by the sketch and the windows: write it once to shared storage
+        distinct = materialize(distinct, "checkpoint")
         probs = [i / nb for i in range(1, nb)]
         row = distinct.agg(F.percentile_approx("_k", probs, 10000).alias("s")).first()
         cuts = sorted(set(v for v in (row["s"] or []) if v is not None))

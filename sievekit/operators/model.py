@@ -203,5 +203,6 @@ def train_screen_model(prep: Prepared, grid: Sequence[float] = C_GRID, tune: boo
     codes = [float(i) for i in range(len(prep.classes))]
     res = grid_search(train, codes, grid, parallelism=parallelism) if tune else GridResult(DEFAULT_C)
     model = make_lr(res.best_c, n).fit(train)
+    train.unpersist()
     return ScreenModel(prep.categories, prep.features, prep.scaler, prep.classes, model,
                        res.best_c, res)
