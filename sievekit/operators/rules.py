@@ -88,15 +88,15 @@ DOCS = Rulebook(
           Rule("profit_margin", "<", 0.01)),
     precedence="buy")
 
-README = Rulebook(
-    "readme",
+ALTERNATE = Rulebook(
+    "alternate",
     buy=(Rule("PE_ratio", ">", 0), Rule("PE_ratio", "<=", 20), Rule("ROE", ">", 0.12),
          Rule("DE_ratio", "<", 1.5), Rule("revenue_growth", ">", 0.05),
          Rule("profit_margin", ">", 0.08)),
     sell=(Rule("PE_ratio", ">", 50), Rule("ROE", "<", 0.02), Rule("DE_ratio", ">", 5)),
     precedence="sell")
 
-RULEBOOKS = {rb.name: rb for rb in (STRICT, INCLUSIVE, DOCS, README)}
+RULEBOOKS = {rb.name: rb for rb in (STRICT, INCLUSIVE, DOCS, ALTERNATE)}
 
 MIN_DISTANCE = "min_distance_to_buy_threshold"
 

@@ -288,13 +288,13 @@ def q_r06(spark, sf_dir):
     return R.screen(labelled(spark, sf_dir), R.DOCS).select("ticker", "signal_rules")
 
 
-@register("r07_garp_readme", O.with_ctes(*_LAB, body="""
+@register("r07_garp_alternate", O.with_ctes(*_LAB, body="""
 SELECT ticker, CASE
   WHEN PE_ratio > 50 OR ROE < 0.02 OR DE_ratio > 5 THEN 'Sell'
   WHEN PE_ratio > 0 AND PE_ratio <= 20 AND ROE > 0.12 AND DE_ratio < 1.5 AND revenue_growth > 0.05
        AND profit_margin > 0.08 THEN 'Buy' ELSE 'Hold' END AS signal_rules FROM labelled"""))
 def q_r07(spark, sf_dir):
-    return R.screen(labelled(spark, sf_dir), R.README).select("ticker", "signal_rules")
+    return R.screen(labelled(spark, sf_dir), R.ALTERNATE).select("ticker", "signal_rules")
 
 
 @register("r09_signal_distribution", O.with_ctes(*_SCR, body="""
