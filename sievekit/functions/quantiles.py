@@ -19,9 +19,10 @@ that:
 
 ``method="approx"`` is plain ``percentile_approx`` (one pass, bounded memory).
 
-Inputs proven small by a bounded count (``limit(small_rows + 1)``) skip the
-band machinery: each group's values are few enough to sort in one task, so
-a sorted ``collect_list`` gives the same order statistics in one pass.
+Pass 1 also counts the rows of every group.  When the largest group has at
+most ``small_rows`` rows, the band machinery is skipped: each group's values
+are few enough to sort in one task, so a sorted ``collect_list`` gives the
+same order statistics in one more pass.
 Results are small DataFrames: one row per group, one column per
 (column, probability), named by :func:`qname`.
 """
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..session import materialize
 from .sqlexpr import lit_num, lit_str, q, unpivot_expr
 
 DEFAULT_ACCURACY = 10000
@@ -80,26 +82,36 @@ def _small_wide(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         for i, c in enumerate(cols) for p in probs])
 
 
-def is_small(df: DataFrame, rows: int = SMALL_INPUT_ROWS) -> bool:
-    """Size check that reads at most ``rows + 1`` rows."""
-    return df.limit(rows + 1).count() <= rows
+def _arr(ps) -> str:
+    return "array(" + ", ".join(lit_num(p) for p in ps) + ")"
+
+
+def sketch_bounds(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                  by: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Pass 1: per group, ``percentile_approx`` at p -/+ 3/accuracy for every
+    column (``_b<i>``: lower bounds then upper bounds) and the row count
+    ``_n``.  One row per group."""
+    delta = 3.0 / accuracy
+    lo_ps = [max(p - delta, 0.0) for p in probs]
+    hi_ps = [min(p + delta, 1.0) for p in probs]
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.expr(f"percentile_approx(CAST({q(c)} AS DOUBLE), {_arr(lo_ps + hi_ps)}, {accuracy}) AS _b{i}")
+          for i, c in enumerate(cols)])
 
 
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                    by: Sequence[str] = (), method: str = "exact",
-                   accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                   accuracy: int = DEFAULT_ACCURACY, sketch: DataFrame | None = None) -> DataFrame:
     """Long form: (by..., column, prob, value) by the banded algorithm (or
     the sketch for ``approx``).  Groups/columns with no non-null value
     produce no row."""
     by = list(by)
     cols = list(cols)
     probs = [float(p) for p in probs]
-    def arr(ps):
-        return "array(" + ", ".join(lit_num(p) for p in ps) + ")"
-
     if method == "approx":
         wide = df.groupBy(*by).agg(*[
-            F.expr(f"percentile_approx(CAST({q(c)} AS DOUBLE), {arr(probs)}, {accuracy}) AS _b{i}")
+            F.expr(f"percentile_approx(CAST({q(c)} AS DOUBLE), {_arr(probs)}, {accuracy}) AS _b{i}")
             for i, c in enumerate(cols)])
         items = ", ".join(f"struct({lit_str(c)} AS column, {lit_num(p)} AS prob, _b{i}[{j}] AS value)"
                           for i, c in enumerate(cols) for j, p in enumerate(probs))
@@ -110,11 +122,8 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     # -- pass 1: sketch bounds around each target rank ---------------------
     delta = 3.0 / accuracy
-    lo_ps = [max(p - delta, 0.0) for p in probs]
-    hi_ps = [min(p + delta, 1.0) for p in probs]
-    sketch = df.groupBy(*by).agg(*[
-        F.expr(f"percentile_approx(CAST({q(c)} AS DOUBLE), {arr(lo_ps + hi_ps)}, {accuracy}) AS _b{i}")
-        for i, c in enumerate(cols)])
+    if sketch is None:
+        sketch = sketch_bounds(df, cols, probs, by, accuracy)
     k = len(probs)
     items = []
     for i, c in enumerate(cols):
@@ -200,10 +209,16 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     by = list(by)
     cols = list(cols)
     probs = [float(p) for p in probs]
-    if method == "exact" and small_rows and is_small(df, small_rows):
-        # proven small: one pass, same interpolation as the banded path
-        return _small_wide(df, cols, probs, by)
-    long = quantiles_long(df, cols, probs, by, method, accuracy)
+    sketch = None
+    if method == "exact":
+        # pass 1 also counts rows per group; the largest group decides the path
+        sketch = materialize(sketch_bounds(df, cols, probs, by, accuracy), "persist")
+        if small_rows:
+            largest = sketch.agg(F.max("_n")).first()[0] or 0
+            if largest <= small_rows:
+                # every group is proven small: one pass, same interpolation
+                return _small_wide(df, cols, probs, by)
+    long = quantiles_long(df, cols, probs, by, method, accuracy, sketch)
     wide_cols = [F.expr(f"max(CASE WHEN column = {lit_str(c)} AND prob = {lit_num(p)} "
                         f"THEN value END) AS {q(qname(c, p))}")
                  for c in cols for p in probs]

@@ -12,8 +12,8 @@ window ordered over the whole table runs in one task; instead:
 3. prefix-sum the per-bucket totals (a table of ``buckets`` rows), then
    run the ordered window *within* each bucket.
 
-An input proven small by a bounded count (hence few distinct values)
-skips steps 2-3 (one bucket, one window).
+A distinct table proven small by its count skips steps 2-3 (one bucket,
+one window).
 
 Output: one row per distinct value with the weights and their sums over
 strictly earlier values.
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..session import materialize
-from .quantiles import is_small
 
 # Distinct-value tables up to this size are prefix-summed in one window.
 SMALL_DISTINCT = 200_000
@@ -51,13 +50,13 @@ def prefix_table(df: DataFrame, value: str, weights: dict[str, Column],
     distinct = (df.where(key.isNotNull())
                   .groupBy(sort_key.alias("_k"))
                   .agg(*[F.sum(e).alias(n) for n, e in weights.items()]))
+    # computed once, read by the size check, the sketch and the windows
+    distinct = materialize(distinct, "persist")
     nb = _bucket_count(df, buckets)
-    if buckets is None and is_small(df, SMALL_DISTINCT):
-        nb = 1            # <= N input rows, so <= N distinct values: one ordered window
+    if buckets is None and distinct.count() <= SMALL_DISTINCT:
+        nb = 1            # proven small: one ordered window over the distinct values
     names = list(weights)
     if nb > 1:
-        # read by the sketch and the windows: write it once to shared storage
-        distinct = materialize(distinct, "checkpoint")
         probs = [i / nb for i in range(1, nb)]
         row = distinct.agg(F.percentile_approx("_k", probs, 10000).alias("s")).first()
         cuts = sorted(set(v for v in (row["s"] or []) if v is not None))
