@@ -217,6 +217,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             largest = sketch.agg(F.max("_n")).first()[0] or 0
             if largest <= small_rows:
                 # every group is proven small: one pass, same interpolation
+                sketch.unpersist()
                 return _small_wide(df, cols, probs, by)
     long = quantiles_long(df, cols, probs, by, method, accuracy, sketch)
     wide_cols = [F.expr(f"max(CASE WHEN column = {lit_str(c)} AND prob = {lit_num(p)} "

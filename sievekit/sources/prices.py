@@ -23,9 +23,13 @@ def history_filter(df: DataFrame, prices: DataFrame, min_rows: int = 252,
     return df.join(ok.select(key), key, "left_semi")
 
 
-def date_window(prices: DataFrame, end, years: int = 2, date_col: str = "date") -> DataFrame:
-    """Rows with ``end - years <= date < end`` (a pushed-down range filter)."""
-    end_c = end if isinstance(end, Column) else F.lit(end).cast("date")
+def date_window(prices: DataFrame, end=None, years: int = 2, date_col: str = "date") -> DataFrame:
+    """Rows with ``end - years <= date < end`` (a pushed-down range
+    filter); ``end`` defaults to today."""
+    if end is None:
+        end_c = F.current_date()
+    else:
+        end_c = end if isinstance(end, Column) else F.lit(end).cast("date")
     start = F.add_months(end_c, -12 * years)
     d = F.col(date_col)
     return prices.where((d >= start) & (d < end_c))

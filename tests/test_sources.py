@@ -105,3 +105,12 @@ def test_data_dictionary_defaults(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "ROE double, mystery double")
     d = {r.column: r.meaning for r in S.data_dictionary(spark, df).collect()}
     assert d["ROE"].startswith("Return on Equity") and d["mystery"] == S.DEFAULT_DEFINITION
+
+
+def test_date_window_defaults_to_today(spark):
+    import datetime
+    today = datetime.date.today()
+    rows = [("A", today - datetime.timedelta(days=d), 1.0) for d in (0, 1, 400, 800)]
+    p = spark.createDataFrame(rows, "ticker string, date date, close double")
+    got = sorted(r.date for r in P.date_window(p).collect())
+    assert got == sorted(today - datetime.timedelta(days=d) for d in (1, 400))
