@@ -65,7 +65,12 @@ def prefix_table(df: DataFrame, value: str, weights: dict[str, Column],
             splits = [float("-inf"), float("inf")]
         bucketed = Bucketizer(splits=splits, inputCol="_k", outputCol="_b").transform(distinct)
     else:
-        bucketed = distinct.withColumn("_b", F.lit(0.0))
+        # proven small: one ordered window, nothing to offset
+        upto = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+        return distinct.select(
+            (-F.col("_k") if descending else F.col("_k")).alias(value),
+            *[F.col(n) for n in names],
+            *[F.coalesce(F.sum(n).over(upto), F.lit(0)).alias(f"before_{n}") for n in names])
     totals = bucketed.groupBy("_b").agg(*[F.sum(n).alias(f"_t_{n}") for n in names])
     # a window over the bucket table only (``buckets`` rows)
     upto_prev = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -83,25 +83,31 @@ def stratified_split(df: DataFrame, label: str | None = "target", key: str = "ti
     boundary bucket per class (about n / 16^prefix_hex rows) is ranked.
     """
     h = split_hash(key, seed)
-    lab = F.col(label) if label else F.lit("all")
-    base = df.withColumn("_h", h).withColumn("_c", lab).withColumn(
-        "_b", F.conv(F.substring("_h", 1, prefix_hex), 16, 10).cast(LongType()))
-    per_bucket = base.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    quota = per_bucket.groupBy("_c").agg(
-        F.round(F.sum("_nb").cast(DoubleType()) * F.lit(float(test_frac))).cast(LongType())
-        .alias("_k"))
+    # without a label every row is one class: key on the hash bucket alone
+    # (a constant class key would fold into a keyless join)
+    ck = ["_c"] if label else []
+    base = df.withColumn("_h", h)
+    if label:
+        base = base.withColumn("_c", F.col(label))
+    base = base.withColumn("_b", F.conv(F.substring("_h", 1, prefix_hex), 16, 10).cast(LongType()))
+    per_bucket = base.groupBy(*ck, "_b").agg(F.count(F.lit(1)).alias("_nb"))
+    k_expr = F.round(F.sum("_nb").cast(DoubleType()) * F.lit(float(test_frac))).cast(LongType())
     # window over the bucket-count table (bounded by 16^prefix_hex per class)
-    run = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (per_bucket.join(F.broadcast(quota), "_c")
-               .select("_c", "_b", "_k", F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before"),
-                       "_nb"))
+    run = Window.partitionBy(*ck).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    if ck:
+        quota = per_bucket.groupBy(*ck).agg(k_expr.alias("_k"))
+        with_k = per_bucket.join(F.broadcast(quota), ck)
+    else:
+        with_k = per_bucket.withColumn("_k", scalars(per_bucket.agg(k_expr.alias("k")), ["k"])["k"])
+    buckets = with_k.select(*ck, "_b", "_k",
+                            F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before"), "_nb")
     # at most classes x 16^prefix_hex rows: a bound we set, so broadcast
-    tagged = base.join(F.broadcast(buckets), ["_c", "_b"])
+    tagged = base.join(F.broadcast(buckets), [*ck, "_b"])
     whole_in = F.col("_before") + F.col("_nb") <= F.col("_k")
     boundary = (F.col("_before") < F.col("_k")) & ~whole_in
     settled = tagged.where(~boundary).withColumn(out, whole_in)
     edge = tagged.where(boundary)
-    rn = F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_h", key))
+    rn = F.row_number().over(Window.partitionBy(*ck, "_b").orderBy("_h", key))
     edge = edge.withColumn(out, rn <= F.col("_k") - F.col("_before"))
     cols = [*df.columns, out]
     return settled.select(*cols).unionByName(edge.select(*cols))
@@ -112,14 +118,16 @@ def class_rank(df: DataFrame, label: str | None = "target", key: str = "ticker",
     """1-based rank of every row within its class in md5(key || seed) order,
     computed as (rows in earlier hash buckets) + (rank inside the bucket):
     the ordered windows run per (class, bucket), never per whole class."""
-    lab = F.col(label) if label else F.lit("all")
-    base = df.withColumn("_h", split_hash(key, seed)).withColumn("_c", lab).withColumn(
-        "_b", F.conv(F.substring("_h", 1, prefix_hex), 16, 10).cast(LongType()))
-    per_bucket = base.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    run = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    before = per_bucket.select("_c", "_b", F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before"))
-    rn = F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_h", key))
-    return (base.join(F.broadcast(before), ["_c", "_b"])
+    ck = ["_c"] if label else []
+    base = df.withColumn("_h", split_hash(key, seed))
+    if label:
+        base = base.withColumn("_c", F.col(label))
+    base = base.withColumn("_b", F.conv(F.substring("_h", 1, prefix_hex), 16, 10).cast(LongType()))
+    per_bucket = base.groupBy(*ck, "_b").agg(F.count(F.lit(1)).alias("_nb"))
+    run = Window.partitionBy(*ck).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_bucket.select(*ck, "_b", F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before"))
+    rn = F.row_number().over(Window.partitionBy(*ck, "_b").orderBy("_h", key))
+    return (base.join(F.broadcast(before), [*ck, "_b"])
                 .select(*df.columns, (F.col("_before") + rn).alias(out)))
 
 

@@ -16,7 +16,7 @@ PROBA = {"Buy": "ml_buy_proba", "Hold": "ml_hold_proba", "Sell": "ml_sell_proba"
 
 
 def _scored(spark, sf_dir) -> DataFrame:
-    return materialize(scored(spark, sf_dir), "persist")
+    return materialize(scored(spark, sf_dir))
 
 
 def _sql(body: str) -> str:

@@ -13,14 +13,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..session import materialize
+
+
+# Key sets up to this many rows are broadcast to a semi join (a few MB).
+BROADCAST_KEYS = 2_000_000
+
 
 def history_filter(df: DataFrame, prices: DataFrame, min_rows: int = 252,
                    key: str = "ticker") -> DataFrame:
     """Keep rows of ``df`` whose ticker has more than ``min_rows`` price
     rows (tickers without history drop out).  The count is a partial
-    aggregate; the semi join never duplicates rows."""
-    ok = prices.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_rows)
-    return df.join(ok.select(key), key, "left_semi")
+    aggregate; the semi join never duplicates rows.  The qualifying key set
+    is broadcast when its counted size allows (a shuffle join on a few
+    tickers would put a hot ticker's rows in one task); beyond that the
+    shuffle join stays, with AQE splitting skewed partitions."""
+    ok = (prices.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > min_rows).select(key))
+    ok = materialize(ok)
+    right = F.broadcast(ok) if ok.count() <= BROADCAST_KEYS else ok
+    return df.join(right, key, "left_semi")
 
 
 def date_window(prices: DataFrame, end=None, years: int = 2, date_col: str = "date") -> DataFrame:
@@ -83,10 +95,12 @@ def asof_last(probes: DataFrame, prices: DataFrame, probe_date: str, out: str =
 
 def forward_return(prices: DataFrame, months: int = 12, key: str = "ticker",
                    date_col: str = "date", value: str = "close",
-                   out: str = "forward_return") -> DataFrame:
+                   out: str = "forward_return", barrier: str = "checkpoint") -> DataFrame:
     """(P[t + months] - P[t]) / P[t] for every (ticker, date) row, with
     P[t + months] the last close on or before that date; NULL when the
-    horizon passes the ticker's last price date."""
+    horizon passes the ticker's last price date.  The panel is read twice
+    (as prices and as probes), so it is materialized once first."""
+    prices = materialize(prices.select(key, date_col, value), barrier)
     base = prices.select(key, date_col, value,
                          F.add_months(F.col(date_col), months).alias("_target"))
     hit = asof_last(base, prices, "_target", "_future", key, date_col, value, keep_last=True)
