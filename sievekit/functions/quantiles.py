@@ -220,6 +220,16 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 sketch.unpersist()
                 return _small_wide(df, cols, probs, by)
     long = quantiles_long(df, cols, probs, by, method, accuracy, sketch)
+    out = _wide(long, cols, probs, by)
+    if sketch is not None:
+        # the statistics are small (one row per group): write them once, then
+        # release the cached sketch instead of holding it for the session
+        out = materialize(out)
+        sketch.unpersist()
+    return out
+
+
+def _wide(long: DataFrame, cols, probs, by) -> DataFrame:
     wide_cols = [F.expr(f"max(CASE WHEN column = {lit_str(c)} AND prob = {lit_num(p)} "
                         f"THEN value END) AS {q(qname(c, p))}")
                  for c in cols for p in probs]
