@@ -74,7 +74,9 @@ def impute_group_median(df: DataFrame, cols: Sequence[str], by: str = "sector",
     if not cols:
         return df
     med = quantiles(df, cols, [0.5], by=[by], method=method)
-    med = med.select(by, *[F.col(qname(c, 0.5)).alias(c) for c in cols])
+    # the median table is small (one row per group): write it once, so the
+    # imputed frame is a cheap join that downstream passes may recompute
+    med = materialize(med.select(by, *[F.col(qname(c, 0.5)).alias(c) for c in cols]))
     j = attach_by_group(df, med, [by])
     return j.selectExpr(*[f"coalesce({q(c)}, {q('_s_' + c)}) AS {q(c)}" if c in cols else q(c)
                           for c in df.columns])
@@ -152,9 +154,11 @@ class CleanConfig:
 def clean_and_engineer(raw: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
     """The composite cleaning chain C1 -> C12 (lazy apart from barriers).
 
-    Barriers sit where a statistic pass must read a frame that is also
-    read again downstream: before the median passes and before the
-    winsor pass.  ``cfg.barrier='none'`` keeps one plan (small inputs).
+    One full-data barrier sits before the statistic passes.  Everything
+    after it is the barrier's rows joined with a small per-sector median
+    table (itself written once) and projected with literal statistics, so
+    each later pass re-reads the barrier instead of a new copy of the
+    data.  ``cfg.barrier='none'`` keeps one plan (small inputs).
     """
     df = coerce_numeric(nan_to_null(raw))
     df = drop_sparse_rows(df, cfg.min_present)
@@ -163,10 +167,9 @@ def clean_and_engineer(raw: DataFrame, cfg: CleanConfig = CleanConfig()) -> Data
     if has_sector:
         df = materialize(fill_sector(df), cfg.barrier)
         df = impute_group_median(df, cols, "sector", cfg.quantile_method)
-        df = materialize(df, cfg.barrier)
     else:
         df = materialize(df, cfg.barrier)
-    df = materialize(impute_global_median(df, cols, cfg.quantile_method), cfg.barrier)
+    df = impute_global_median(df, cols, cfg.quantile_method)
     bounds = winsor_bounds(df, cols, cfg.winsor_lower, cfg.winsor_upper,
                            cfg.quantile_method).first()
     df = winsorize(df, cols, cfg.winsor_lower, cfg.winsor_upper, bounds=bounds)
