@@ -64,7 +64,7 @@ def fill_sector(df: DataFrame, sector: str = "sector", value: str = "Unknown") -
 
 
 def impute_group_median(df: DataFrame, cols: Sequence[str], by: str = "sector",
-                        method: str = "exact") -> DataFrame:
+                        method: str = "exact", barrier: str = "checkpoint") -> DataFrame:
     """Fill NULLs with the median of the row's peer group.
 
     One grouped quantile pass for all columns; the per-group table (one row
@@ -76,7 +76,7 @@ def impute_group_median(df: DataFrame, cols: Sequence[str], by: str = "sector",
     med = quantiles(df, cols, [0.5], by=[by], method=method)
     # the median table is small (one row per group): write it once, so the
     # imputed frame is a cheap join that downstream passes may recompute
-    med = materialize(med.select(by, *[F.col(qname(c, 0.5)).alias(c) for c in cols]))
+    med = materialize(med.select(by, *[F.col(qname(c, 0.5)).alias(c) for c in cols]), barrier)
     j = attach_by_group(df, med, [by])
     return j.selectExpr(*[f"coalesce({q(c)}, {q('_s_' + c)}) AS {q(c)}" if c in cols else q(c)
                           for c in df.columns])
@@ -166,7 +166,7 @@ def clean_and_engineer(raw: DataFrame, cfg: CleanConfig = CleanConfig()) -> Data
     has_sector = "sector" in df.columns
     if has_sector:
         df = materialize(fill_sector(df), cfg.barrier)
-        df = impute_group_median(df, cols, "sector", cfg.quantile_method)
+        df = impute_group_median(df, cols, "sector", cfg.quantile_method, cfg.barrier)
     else:
         df = materialize(df, cfg.barrier)
     df = impute_global_median(df, cols, cfg.quantile_method)
