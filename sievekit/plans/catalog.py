@@ -39,10 +39,12 @@ def _stage(spark, sf_dir, upto: str, barrier: str = "checkpoint") -> DataFrame:
     df = materialize(C.fill_sector(df), barrier)
     if upto == "c4":
         return df
-    df = materialize(C.impute_group_median(df, cols, "sector"), barrier)
+    # as in the library chain: one full-data barrier (above), the median
+    # table is written by the imputation itself, later steps are projections
+    df = C.impute_group_median(df, cols, "sector", barrier=barrier)
     if upto == "c5":
         return df
-    df = materialize(C.impute_global_median(df, cols), barrier)
+    df = C.impute_global_median(df, cols)
     if upto == "c6":
         return df
     return C.winsorize(df, cols)
