@@ -106,3 +106,12 @@ def test_rulebook_table_roundtrip(spark):
     t = R.rulebook_table(spark, R.STRICT)
     rb = R.rulebook_from_table(t.collect(), "copy", "sell")
     assert rb.buy == R.STRICT.buy and rb.sell == R.STRICT.sell
+
+
+def test_strict_threshold_at_exact_tie(spark):
+    # 0.08 exactly does not pass "> 0.08"; one ulp above does (the sf0.1 case)
+    import math
+    above = math.nextafter(0.08, 1.0)
+    rows = [("tie", 10.0, 0.2, 1.0, 0.1, 0.08), ("ulp", 10.0, 0.2, 1.0, 0.1, above)]
+    got = _screen(spark, rows, R.STRICT)
+    assert got == {"tie": "Hold", "ulp": "Buy"}
