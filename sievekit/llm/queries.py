@@ -11,6 +11,12 @@ from .frames import table
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
+def tokenizer_path(name: str) -> str:
+    """Default place of the public vocabulary files; the operators take any path."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         QUERIES[name] = (fn, sql)
@@ -46,3 +52,26 @@ LEFT JOIN (SELECT x AS doc_id, min(y) AS m FROM reach GROUP BY 1) USING (doc_id)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import jaccard_components
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import token_counts
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op1_sentencepiece")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .pieces import encode
+    docs = table(spark, sf_dir, "documents")
+    rows = encode(docs, tokenizer_path("piece_bpe_32k.model"))
+    return rows.select("doc_id", "ids", "n_pieces", "decoded", F.length("decoded").cast("long").alias("n_chars"))
+
+
+@query("op10_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
