@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -18,14 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The frame read back from reliable files in the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=False)
+    """The frame written as Parquet to the shared checkpoint folder and read back.
 
-
-def column_names(df: DataFrame, *names: str) -> list:
-    """The named columns by position-safe reference, whatever else the frame holds."""
-    return [F.col(f"`{n}`") for n in names]
+    One pass, columnar, cuts the lineage and outlives lost executors; the files
+    go with the application's own checkpoint folder.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def grouped_rows(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -51,8 +51,3 @@ def grouped_rows(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
             held.append(part)
     if held:
         yield pa.Table.from_batches(held)
-
-
-def cpu_threads_one() -> None:
-    """Keep numeric libraries on one thread per task, as Spark counts one core per task."""
-    os.environ.setdefault("OMP_NUM_THREADS", "1")

@@ -75,3 +75,31 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op4_html_main_text")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pages import main_texts
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
+#: the key of the registered queries; a real run takes its own secret
+SURROGATE_KEY = "surrogates of the registered queries"
+
+
+@query("op5_pii_surrogates")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .private import with_surrogates
+    return with_surrogates(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op9_secret_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import secret_spans
+    return secret_spans(table(spark, sf_dir, "documents"))
