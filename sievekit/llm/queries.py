@@ -127,3 +127,10 @@ FROM embeddings LEFT JOIN degree ON degree.x = vec_id LEFT JOIN least_of ON leas
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .vectors import near_duplicates
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_suffix_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import without_repeats
+    rows = without_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
