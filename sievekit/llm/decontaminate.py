@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from .words import ALNUM, Words, hash_words, mix64, slices, string_buffers
 
@@ -139,14 +140,19 @@ def search(w: Words, p: Patterns) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(ends) if ends else at[:0], np.concatenate(which) if which else at[:0]
 
 
-def _scan(tables, last: bool):
+_FIELDS = [StructField("n_words", LongType()), StructField("n_hit", LongType()), StructField("n_items", LongType()),
+           StructField("items_sha256", StringType()), StructField("contaminated", BooleanType()),
+           StructField("spans", ArrayType(LongType())), StructField("items", ArrayType(StringType()))]
+
+
+def _scan(tables, last: bool, prefix: str):
     """Add the hits of one benchmark block; the last pass gives the digest columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = string_buffers(batch.column(1))
-            spans = batch.column(2).to_pylist()
-            items = batch.column(3).to_pylist()
+            raw, offsets = string_buffers(batch.column(batch.num_columns - 3))
+            spans = batch.column(batch.num_columns - 2).to_pylist()
+            items = batch.column(batch.num_columns - 1).to_pylist()
             n_words = np.zeros(batch.num_rows, np.int64)
             for i, j in slices(offsets):
                 w = hash_words(raw, offsets[i:j + 1], ALNUM)
@@ -167,17 +173,17 @@ def _scan(tables, last: bool):
             spans = [_merge(x) for x in spans]
             items = [sorted(set(x)) if x else [] for x in items]
             if not last:
-                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.int64())),
-                                       pa.array(items, pa.list_(pa.string()))], names=["doc_id", "text", "spans", "items"])
+                yield pa.record_batch([*batch.columns[:-2], pa.array(spans, pa.list_(pa.int64())),
+                                       pa.array(items, pa.list_(pa.string()))], names=batch.schema.names)
                 continue
             n_hit = [sum(x[1::2]) - sum(x[::2]) for x in spans]
             yield pa.record_batch(
-                [batch.column(0), pa.array(n_words), pa.array(n_hit, pa.int64()),
+                [*batch.columns[:-3], pa.array(n_words), pa.array(n_hit, pa.int64()),
                  pa.array([len(x) for x in items], pa.int64()),
                  pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
                  pa.array([n > 0 for n in n_hit], pa.bool_()), pa.array(spans, pa.list_(pa.int64())),
                  pa.array(items, pa.list_(pa.string()))],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items"])
+                names=[*batch.schema.names[:-3], *(prefix + f.name for f in _FIELDS)])
 
     return run
 
@@ -196,9 +202,10 @@ def _merge(flat: list[int] | None) -> list[int]:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                  block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, the hit
-    word ``spans`` (flat start, end pairs) and the sorted ``items``.
+                  block_words: int = BLOCK_WORDS, keep: tuple[str, ...] | None = None, prefix: str = "") -> DataFrame:
+    """Per document: the ``keep`` columns (the id as ``doc_id`` by default) and n_words, n_hit, n_items,
+    items_sha256, contaminated, the hit word ``spans`` (flat start, end pairs) and the sorted
+    ``items``, named with ``prefix``.
 
     Null and wordless texts have no words and no hits; benchmark items without
     words match nothing, those with a null id hit words but aren't listed, rows
@@ -209,15 +216,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                               F.col(f"`{item_text_col}`").cast("string").alias("text")).where("text is not null")
     chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
     n_blocks = max(1, -(-chars // (5 * block_words)))
-    now = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
-                      F.lit(None).cast("array<bigint>").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
-    spark = docs.sparkSession
+    kept = [F.col(f"`{c}`") for c in keep] if keep else [F.col(f"`{id_col}`").cast("long").alias("doc_id")]
+    now = docs.select(*kept, F.col(f"`{text_col}`").cast("string").alias("_whole_text"),
+                      F.lit(None).cast("array<bigint>").alias("_spans_so_far"), F.lit(None).cast("array<string>").alias("_items_so_far"))
+    done = StructType([*now.schema.fields[:-3], *(StructField(prefix + f.name, f.dataType) for f in _FIELDS)])
     for b in range(n_blocks):
         part = source.where(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == b)
-        tables = spark.sparkContext.broadcast(build_patterns([(r[0], r[1]) for r in part.collect()], window))
+        tables = docs.sparkSession.sparkContext.broadcast(build_patterns([(r[0], r[1]) for r in part.collect()], window))
         last = b == n_blocks - 1
-        now = now.mapInArrow(_scan(tables, last), (
-            "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
-            "spans array<bigint>, items array<string>") if last else
-            "doc_id long, text string, spans array<bigint>, items array<string>")
+        now = now.mapInArrow(_scan(tables, last, prefix), done if last else now.schema)
     return now
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) without any benchmark window."""
+    rows = contamination(docs, benchmark, keep=tuple(docs.columns), prefix="_")
+    return rows.where("not _contaminated").select(*[F.col(f"`{c}`") for c in docs.columns])

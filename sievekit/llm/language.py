@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 LETTERS = 46            # of the alphabet, besides the blank and the code of other letters
 ORDERS = (1, 2, 3)
@@ -34,6 +35,8 @@ TRAIN_CHARS = 2_000
 LANDMARKS_PER_LANGUAGE = 60
 RIDGE = 1e-3
 UNDETERMINED = "und"
+#: a document whose best language scores less stands out from no other one and is rejected
+MIN_SCORE = 0.3
 
 
 @dataclass
@@ -158,32 +161,43 @@ def held_out(id_col):
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) of every row, learned from the rows not held out.
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+             keep: tuple[str, ...] | None = None, prefix: str = "") -> DataFrame:
+    """The ``keep`` columns (the id as ``doc_id`` by default) of every row with held_out, lang_pred
+    and score (named with ``prefix``), learned from the rows not held out.
 
     Null texts and texts without a letter are ``und`` with score 0, as is every
     text when no labelled one exists; ids may be null or repeat; other columns
     aren't read; an empty table gives no rows.  Whole texts are scored.
     """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
-                       F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    rows = rows.withColumn("held_out", held_out(F.col("doc_id")))
-    model = fit(training_sample(rows.where("not held_out")))
+    text = F.col(f"`{text_col}`").cast("string")
+    out = held_out(F.col(f"`{id_col}`").cast("long"))
+    kept = [F.col(f"`{c}`") for c in keep] if keep else [F.col(f"`{id_col}`").cast("long").alias("doc_id")]
+    model = fit(training_sample(docs.select(text.alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"), out.alias("out"))
+                                .where("not out")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = [prefix + n for n in ("held_out", "lang_pred", "score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                texts = pc.fill_null(part.column(1), "")
+                texts = pc.fill_null(part.column(part.num_columns - 1), "")
                 known = np.asarray(pc.match_substring_regex(texts, r"\p{L}").to_pylist(), bool) & bool(m.languages)
                 lang = np.full(len(part), UNDETERMINED, object)
                 score = np.zeros(len(part))
                 if known.any():
                     lang[known], score[known] = m.predict(texts.filter(pa.array(known)).to_pylist())
-                yield pa.record_batch([part.column(0), part.column(2), pa.array(lang, pa.string()), pa.array(score)],
-                                      names=["doc_id", "held_out", "lang_pred", "score"])
+                yield pa.record_batch([*part.columns[:-1], pa.array(lang, pa.string()), pa.array(score)],
+                                      names=[*part.schema.names[:-1], *names[1:]])
 
-    return (rows.select("doc_id", "text", "held_out")
-            .mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double"))
+    rows = docs.select(*kept, out.alias(names[0]), text.alias("_whole_text"))
+    schema = StructType([*rows.schema.fields[:-1], StructField(names[1], StringType()), StructField(names[2], DoubleType())])
+    return rows.mapInArrow(run, schema)
+
+
+def identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose language is determined with at least ``min_score``."""
+    rows = identify(docs, keep=tuple(docs.columns), prefix="_")
+    return rows.where((F.col("_lang_pred") != UNDETERMINED) & (F.col("_score") >= min_score)).select(*[F.col(f"`{c}`") for c in docs.columns])

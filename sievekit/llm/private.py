@@ -214,7 +214,7 @@ def _replaced(text: str, found: list[tuple[int, int, str]], key: bytes, turns: l
     return "".join([*out, text[at:]])
 
 
-def _apply(key: bytes, turns, last: bool):
+def _apply(key: bytes, turns, last: bool, prefix: str):
     """Note the turns of one block of the collision table; the last pass writes the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +233,7 @@ def _apply(key: bytes, turns, last: bool):
             names = batch.schema.names[:-2]
             if last:
                 yield pa.record_batch([*rest, pa.array(texts, pa.string()), pa.array(count, pa.int64()), pa.array(spans, pa.string())],
-                                      names=[*names, "text", "n_entities", "entities"])
+                                      names=[*names, "text", f"{prefix}n_entities", f"{prefix}entities"])
             else:
                 yield pa.record_batch([*rest, batch.column(batch.num_columns - 2), pa.array(noted, pa.list_(pa.int32()))],
                                       names=batch.schema.names)
@@ -246,9 +246,9 @@ TURNS_AT_ONCE = 200_000
 
 
 def with_surrogates(docs: DataFrame, key: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
-                    turns_at_once: int = TURNS_AT_ONCE) -> DataFrame:
-    """The ``keep`` columns, ``text`` with surrogates, ``n_entities`` and ``entities``
-    (kind:start:end in the original) of every row.
+                    turns_at_once: int = TURNS_AT_ONCE, prefix: str = "") -> DataFrame:
+    """The ``keep`` columns, ``text`` with surrogates, and ``n_entities`` and ``entities``
+    (kind:start:end in the original), the last two named with ``prefix``, of every row.
 
     Null texts stay null with no entities and an empty list; ids may be null or
     repeat; one entity has one surrogate in all rows; an empty table gives no
@@ -262,11 +262,11 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text", keep: tup
     kept = [F.col(f"`{c}`") for c in keep]
     now = docs.select(*kept, F.col(f"`{text_col}`").cast("string").alias("_text"), F.lit(None).cast("array<int>").alias("_turns"))
     from pyspark.sql.types import LongType, StringType, StructField, StructType
-    done = StructType([*now.schema.fields[:-2], StructField("text", StringType()), StructField("n_entities", LongType()),
-                       StructField("entities", StringType())])
+    done = StructType([*now.schema.fields[:-2], StructField("text", StringType()), StructField(f"{prefix}n_entities", LongType()),
+                       StructField(f"{prefix}entities", StringType())])
     for b in range(blocks):
         rows = turns.where(F.pmod(F.xxhash64("kind", "entity"), F.lit(blocks)) == b).collect() if total else []
         table = docs.sparkSession.sparkContext.broadcast({(r["kind"], r["entity"]): r["turn"] for r in rows})
         last = b == blocks - 1
-        now = now.mapInArrow(_apply(secret, table, last), done if last else now.schema)
+        now = now.mapInArrow(_apply(secret, table, last, prefix), done if last else now.schema)
     return now
