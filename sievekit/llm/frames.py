@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -28,6 +29,14 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def columns_as(df: DataFrame, **wanted: tuple[str, str]) -> DataFrame:
+    """``df`` with only the wanted columns, name=(source column, type); a column that has
+    its name and type already is taken as it is, which keeps equal plans equal."""
+    types = dict(df.dtypes)
+    return df.select(*[F.col(f"`{src}`") if src == name and types.get(src) == kind else F.col(f"`{src}`").cast(kind).alias(name)
+                       for name, (src, kind) in wanted.items()])
+
+
 def grouped_rows(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Consecutive rows with one value of ``key`` as one table (rows come sorted by key)."""
     held: list[pa.RecordBatch] = []
