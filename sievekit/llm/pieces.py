@@ -20,7 +20,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: words, and judged pairs, remembered per Python worker
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 CACHE_PAIRS = 500_000
 
 
@@ -70,15 +70,24 @@ class PieceModel:
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         if self.bpe:  # pieces that merging never gives can't end a prefix
-            self.reached = {p for p in self.score if len(p) == 1 or self._merge(p) == [p]}
+            self.reached = {p for p in self.score if len(p) > 1 and self._merge(p) == [p]}
+            # ends of pieces: a longer end can't be a piece's if a shorter one isn't
+            self.ends = {p[i:] for p in self.reached for i in range(len(p) - 1)}
+        self.tuples = {p: (i,) for p, i in self.ids.items()}
+        self.cut = self._cuts()
+
+    def _cuts(self) -> re.Pattern | None:
+        """A pattern that splits a marked text where no piece can reach across."""
         multi = [p for p in self.score if len(p) > 1]
         joined = set("".join(multi))
         if any(MARK in p.lstrip(MARK) for p in multi):
-            self.cut = None  # a piece reaches over a word's end: the text is one word
-        else:
-            alone = "".join(c for c in map(chr, range(128)) if c not in joined)
-            own = re.escape(alone)
-            self.cut = re.compile(f"[{own}]|{MARK}*[^{MARK}{own}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
+            return None  # a piece reaches over a word's end: the text is one word
+        ascii_ = [chr(i) for i in range(128)]
+        alone = re.escape("".join(c for c in ascii_ if c not in joined))
+        after_letter = {y for p in multi for x, y in zip(p, p[1:]) if x.isalpha()}
+        ends = re.escape("".join(c for c in ascii_ if not c.isalnum() and c not in after_letter)) + MARK
+        stop = f"[{alone}]|" if alone else ""
+        return re.compile(rf"{MARK}*+[^\W\d_]++(?=[{ends}{alone}]|\Z)|{stop}{MARK}*+[^{MARK}{alone}]++|{MARK}++")
 
     def _merge(self, text: str) -> list[str]:
         """Plain merging of a short string: the highest score first, the leftmost of equals."""
@@ -116,9 +125,7 @@ class PieceModel:
         return self.cut.findall(text) if self.cut else [text] if text else []
 
     def _piece_ids(self, piece: str) -> tuple[int, ...]:
-        i = self.ids.get(piece)
-        if i is not None:
-            return (i,)
+        """A character outside the vocabulary: its bytes, or the unknown piece."""
         if self.bytes_known:
             return tuple(self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass"))
         return (self.unknown,)
@@ -127,36 +134,44 @@ class PieceModel:
         """Ids of sorted distinct words; the forward table of a common prefix is kept."""
         last: list[str] = [""]       # last[i]: last piece of the best segmentation of word[:i]
         total: list[float] = [0.0]   # unigram: its score
-        before = ""
+        before, tuples = "", self.tuples
+        extend = self._extend_bpe if self.bpe else self._extend_unigram
         for word in words:
             same, most = 0, min(len(before), len(word), len(last) - 1)
             while same < most and before[same] == word[same]:
                 same += 1
             del last[same + 1:], total[same + 1:]
-            (self._extend_bpe if self.bpe else self._extend_unigram)(word, last, total)
-            out: list[tuple[int, ...]] = []
+            extend(word, last, total)
+            out: tuple[int, ...] = ()
             i = len(word)
             while i:
-                out.append(self._piece_ids(last[i]))
-                i -= len(last[i])
-            yield word, tuple(chain.from_iterable(reversed(out)))
+                piece = last[i]
+                out = (tuples.get(piece) or self._piece_ids(piece)) + out
+                i -= len(piece)
+            yield word, out
             before = word
 
     def _extend_bpe(self, word: str, last: list[str], total: list[float]) -> None:
-        reached, pairs, follows, longest = self.reached, self.pairs, self._follows, self.longest
+        reached, ends, pairs, follows = self.reached, self.ends, self.pairs, self._follows
         for i in range(len(last), len(word) + 1):
-            found = None
-            for j in range(max(0, i - longest), i - 1):
-                piece = word[j:i]
+            able = []
+            j = i - 2
+            while j >= 0 and (piece := word[j:i]) in ends:
                 if piece in reached:
-                    if j == 0:
-                        found = piece
-                        break
-                    ok = pairs.get((last[j], piece))
-                    if ok or (ok is None and follows(last[j], piece)):
-                        found = piece
-                        break
-            last.append(found or word[i - 1])
+                    able.append(piece)
+                j -= 1
+            found = word[i - 1]
+            while able:
+                piece = able.pop()
+                j = i - len(piece)
+                if j == 0:
+                    found = piece
+                    break
+                ok = pairs.get((last[j], piece))
+                if ok or (ok is None and follows(last[j], piece)):
+                    found = piece
+                    break
+            last.append(found)
             total.append(0.0)
 
     def _extend_unigram(self, word: str, last: list[str], total: list[float]) -> None:
@@ -179,13 +194,9 @@ class PieceModel:
         number.default_factory = None
         known = self.words
         new = sorted(w for w in number if w not in known)
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = sorted(number)
         fresh = dict(self.encode_sorted(new))
         ids = [known[w] if w in known else fresh[w] for w in number]
-        if len(known) + len(fresh) <= CACHE_WORDS:
-            known.update(fresh)
+        known.update(islice(fresh.items(), max(0, CACHE_WORDS - len(known))))
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))
         first = np.concatenate(([0], np.cumsum(size)))
@@ -224,8 +235,8 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 4000):
+                part = batch.slice(at, 4000)
                 null = pc.is_null(part.column(1))
                 offsets, ids = m.encode_batch(pc.fill_null(part.column(1), "").to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
