@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+
+from .nulls import to_double
 
 # Fixed value: the placeholder shown for a missing number.
 MISSING = "—"
@@ -19,11 +20,11 @@ def fixed(v: Column, nd: int) -> Column:
 
 def fmt_pct(x: Column) -> Column:
     """``12.34%`` from 0.1234; '—' for NULL or non-numeric text."""
-    v = x.cast("string").try_cast(DoubleType())
+    v = to_double(x)
     return F.when(v.isNull(), F.lit(MISSING)).otherwise(F.concat(fixed(v * 100, 2), F.lit("%")))
 
 
 def fmt_num(x: Column, nd: int = 3) -> Column:
     """Fixed ``nd`` decimals; '—' for NULL or non-numeric text."""
-    v = x.cast("string").try_cast(DoubleType())
+    v = to_double(x)
     return F.when(v.isNull(), F.lit(MISSING)).otherwise(fixed(v, nd))

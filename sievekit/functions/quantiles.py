@@ -12,17 +12,16 @@ that:
    *inside* the band to (value, count) -- out-of-band rows fold into one
    partial-aggregate row per task, so the shuffle is tiny and ties (even a
    hot value) collapse to a single row;
-3. a running sum over the in-band distinct values (a window over at most a
-   few times n/accuracy rows per group) locates ranks floor((n-1)p) and
-   ceil((n-1)p); the result is lo + (hi - lo) * frac, the same linear rule as
-   pandas ``quantile`` and SQL ``quantile_cont``.
-
+3. the in-band distinct values are cut into ``BAND_BINS`` bins by value; prefix
+   sums over the bins (a table of that many rows per group, column and
+   probability) name the one or two bins that hold ranks floor((n-1)p) and
+   ceil((n-1)p), and only their values are ordered by a window, per bin.  The
+   result is lo + (hi - lo) * frac, the same linear rule as pandas
+   ``quantile`` and SQL ``quantile_cont``.
+
+There is one path for all sizes; the largest window holds about
+6n / (accuracy * BAND_BINS) distinct values of a group of n rows.
 ``method="approx"`` is plain ``percentile_approx`` (one pass, bounded memory).
-
-Pass 1 also counts the rows of every group.  When the largest group has at
-most ``small_rows`` rows, the band machinery is skipped: each group's values
-are few enough to sort in one task, so a sorted ``collect_list`` gives the
-same order statistics in one more pass.
 Results are small DataFrames: one row per group, one column per
 (column, probability), named by :func:`qname`.
 """
@@ -39,9 +38,8 @@ from ..session import materialize
 from .sqlexpr import lit_num, lit_str, q, unpivot_expr
 
 DEFAULT_ACCURACY = 10000
-# Inputs with at most this many rows take the one-pass path: every group
-# then has at most this many values, so a sorted list per group is bounded.
-SMALL_INPUT_ROWS = 500_000
+# Bins of a band (a table bound, not a limit on rows).
+BAND_BINS = 1024
 
 
 def qname(column: str, prob: float) -> str:
@@ -63,25 +61,6 @@ def _unpivot(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame
               .where(F.col("x").isNotNull()))
 
 
-def _interp(arr: str, p: float) -> str:
-    """Linear interpolation on a sorted array, the same rule as below."""
-    pos = f"(CAST(size({arr}) - 1 AS DOUBLE) * {lit_num(p)})"
-    lo = f"element_at({arr}, CAST(floor({pos}) AS INT) + 1)"
-    hi = f"element_at({arr}, CAST(ceil({pos}) AS INT) + 1)"
-    return (f"CASE WHEN size({arr}) > 0 THEN {lo} + ({hi} - {lo}) * ({pos} - floor({pos})) END")
-
-
-def _small_wide(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                by: Sequence[str]) -> DataFrame:
-    """One pass for inputs proven small: sorted value lists per group."""
-    arrays = df.groupBy(*by).agg(*[
-        F.expr(f"sort_array(collect_list(CAST({q(c)} AS DOUBLE))) AS _a{i}")
-        for i, c in enumerate(cols)])
-    return arrays.selectExpr(*[q(b) for b in by], *[
-        f"{_interp(f'_a{i}', p)} AS {q(qname(c, p))}"
-        for i, c in enumerate(cols) for p in probs])
-
-
 def _arr(ps) -> str:
     return "array(" + ", ".join(lit_num(p) for p in ps) + ")"
 
@@ -89,23 +68,21 @@ def _arr(ps) -> str:
 def sketch_bounds(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                   by: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Pass 1: per group, ``percentile_approx`` at p -/+ 3/accuracy for every
-    column (``_b<i>``: lower bounds then upper bounds) and the row count
-    ``_n``.  One row per group."""
+    column (``_b<i>``: lower bounds then upper bounds).  One row per group."""
     delta = 3.0 / accuracy
     lo_ps = [max(p - delta, 0.0) for p in probs]
     hi_ps = [min(p + delta, 1.0) for p in probs]
     return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
         *[F.expr(f"percentile_approx(CAST({q(c)} AS DOUBLE), {_arr(lo_ps + hi_ps)}, {accuracy}) AS _b{i}")
           for i, c in enumerate(cols)])
 
 
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                    by: Sequence[str] = (), method: str = "exact",
-                   accuracy: int = DEFAULT_ACCURACY, sketch: DataFrame | None = None) -> DataFrame:
+                   accuracy: int = DEFAULT_ACCURACY) -> tuple[DataFrame, DataFrame | None]:
     """Long form: (by..., column, prob, value) by the banded algorithm (or
-    the sketch for ``approx``).  Groups/columns with no non-null value
-    produce no row."""
+    the sketch for ``approx``), and the cached in-band counts to release
+    afterwards.  Groups/columns with no non-null value produce no row."""
     by = list(by)
     cols = list(cols)
     probs = [float(p) for p in probs]
@@ -116,14 +93,13 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         items = ", ".join(f"struct({lit_str(c)} AS column, {lit_num(p)} AS prob, _b{i}[{j}] AS value)"
                           for i, c in enumerate(cols) for j, p in enumerate(probs))
         return (wide.select(*by, F.expr(f"inline(array({items}))"))
-                    .where(F.col("value").isNotNull()))
+                    .where(F.col("value").isNotNull())), None
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
 
     # -- pass 1: sketch bounds around each target rank ---------------------
     delta = 3.0 / accuracy
-    if sketch is None:
-        sketch = sketch_bounds(df, cols, probs, by, accuracy)
+    sketch = sketch_bounds(df, cols, probs, by, accuracy)
     k = len(probs)
     items = []
     for i, c in enumerate(cols):
@@ -160,48 +136,67 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         F.max("x_below").alias("pred"),        # largest value under the band
         F.min("x_above").alias("succ"))        # smallest value over the band
 
-    # -- pass 3: ranks inside the (bounded) band ---------------------------
+    # -- ranks inside the band, bin by bin ---------------------------------
     # The sketch places each bound within the rank slack of the target, and
     # the interpolation ranks floor/ceil((n-1)p) can sit at most one rank
     # outside the band: that rank is held by ``pred`` or ``succ`` (ties
     # included), so no count of them is needed.
-    part = Window.partitionBy(*keys)
-    ordered = part.orderBy(F.col("bx").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
+    counted = materialize(counted, "persist")
     in_band_cnt = F.when(F.col("bx").isNotNull(), F.col("cnt")).otherwise(F.lit(0))
-    ranked = (counted
-              .withColumn("n", F.sum("cnt").over(part))
-              .withColumn("n_below", F.sum("below").over(part))
-              .withColumn("n_band", F.sum(in_band_cnt).over(part))
-              .withColumn("pred_all", F.max("pred").over(part))
-              .withColumn("succ_all", F.min("succ").over(part))
-              .withColumn("cum", F.sum(in_band_cnt).over(ordered))
-              .where(F.col("bx").isNotNull()))
+    totals = counted.groupBy(*keys).agg(
+        F.sum("cnt").alias("n"), F.sum("below").alias("n_below"), F.sum(in_band_cnt).alias("n_band"),
+        F.max("pred").alias("pred"), F.min("succ").alias("succ"),
+        F.min("bx").alias("b_min"), F.max("bx").alias("b_max"))
     pos = (F.col("n") - 1).cast(DoubleType()) * F.col("prob")
-    reach = F.col("n_below") + F.col("cum")          # ranks covered are < reach
-    # the order statistics are window aggregates over the same partition as
-    # the running sum (no further shuffle); every band row then carries them
-    ranked = ranked.withColumn("pos", pos)
-    b_lo = F.min(F.when(reach > F.floor(F.col("pos")), F.col("bx"))).over(part)
-    b_hi = F.min(F.when(reach > F.ceil(F.col("pos")), F.col("bx"))).over(part)
+    totals = totals.withColumn("pos", pos)
+    tkeys = [f"_t{i}" for i in range(len(keys))]
+    right = totals.select(*[F.col(k).alias(t) for k, t in zip(keys, tkeys)], "b_min", "b_max")
+    span = F.col("b_max") - F.col("b_min")
+    share = F.try_divide(F.col("bx") - F.col("b_min"), F.when(span > 0, span))
+    # an infinite span leaves one bin: shares are then 0 or NaN
+    bin_no = F.least(F.floor(F.coalesce(F.nanvl(share, F.lit(0.0)), F.lit(0.0)) * BAND_BINS), F.lit(BAND_BINS - 1))
+    band = counted.where(F.col("bx").isNotNull())
+    band = (band.join(right, _null_safe_on(band, right, keys, tkeys))
+            .select(*keys, "bx", "cnt", bin_no.cast("int").alias("_bin")))
+    ordered_bins = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = (band.groupBy(*keys, "_bin").agg(F.sum("cnt").alias("_in"))
+            .withColumn("_upto", F.coalesce(F.sum("_in").over(ordered_bins), F.lit(0))))
+    wanted = totals.select(*[F.col(k).alias(t) for k, t in zip(keys, tkeys)],
+                           (F.floor("pos") - F.col("n_below")).alias("_lo"),
+                           (F.ceil("pos") - F.col("n_below")).alias("_hi"))
+
+    def holds(rank):
+        return (rank >= F.col("_upto")) & (rank < F.col("_upto") + F.col("_in"))
+
+    chosen = (bins.join(wanted, _null_safe_on(bins, wanted, keys, tkeys))
+              .where(holds(F.col("_lo")) | holds(F.col("_hi"))))
+    bkeys = [f"_k{i}" for i in range(len(keys))]
+    chosen = chosen.select(*[F.col(k).alias(b) for k, b in zip(keys, bkeys)], F.col("_bin").alias("_chosen"),
+                           "_upto", "_lo", "_hi")
+    on = _null_safe_on(band, chosen, keys, bkeys) & (band["_bin"] == chosen["_chosen"])
+    within = Window.partitionBy(*keys, "_bin").orderBy("bx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = F.col("_upto") + F.sum("cnt").over(within)          # ranks covered are < reach
+    ranked = (band.join(chosen, on).withColumn("_reach", reach).withColumn("_from", F.col("_reach") - F.col("cnt")))
+    found = ranked.groupBy(*keys).agg(
+        F.min(F.when((F.col("_lo") >= F.col("_from")) & (F.col("_lo") < F.col("_reach")), F.col("bx"))).alias("b_lo"),
+        F.min(F.when((F.col("_hi") >= F.col("_from")) & (F.col("_hi") < F.col("_reach")), F.col("bx"))).alias("b_hi"))
+    found = found.select(*[F.col(k).alias(t) for k, t in zip(keys, tkeys)], "b_lo", "b_hi")
+    out = totals.join(found, _null_safe_on(totals, found, keys, tkeys), "left")
 
     def at(rank, band_value):
-        return (F.when(rank < F.col("n_below"), F.col("pred_all"))
-                 .when(rank >= F.col("n_below") + F.col("n_band"), F.col("succ_all"))
+        return (F.when(rank < F.col("n_below"), F.col("pred"))
+                 .when(rank >= F.col("n_below") + F.col("n_band"), F.col("succ"))
                  .otherwise(band_value))
 
-    x_lo = at(F.floor(F.col("pos")), b_lo)
-    x_hi = at(F.ceil(F.col("pos")), b_hi)
+    x_lo = at(F.floor(F.col("pos")), F.col("b_lo"))
+    x_hi = at(F.ceil(F.col("pos")), F.col("b_hi"))
     frac = F.col("pos") - F.floor(F.col("pos"))
-    return (ranked.withColumn("value", x_lo + (x_hi - x_lo) * frac)
-                  .withColumn("_first", F.col("bx") == F.min("bx").over(part))
-                  .where(F.col("_first")).select(*keys, "value"))
+    return out.select(*keys, (x_lo + (x_hi - x_lo) * frac).alias("value")), counted
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               by: Sequence[str] = (), method: str = "exact",
-              accuracy: int = DEFAULT_ACCURACY,
-              small_rows: int | None = SMALL_INPUT_ROWS) -> DataFrame:
+              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Wide form: one row per group of ``by`` with one column per
     (column, prob) named ``qname(column, prob)``; NULL where a group has no
     value for a column.  With ``by=()`` the result has exactly one row; a
@@ -209,23 +204,13 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     by = list(by)
     cols = list(cols)
     probs = [float(p) for p in probs]
-    sketch = None
-    if method == "exact":
-        # pass 1 also counts rows per group; the largest group decides the path
-        sketch = materialize(sketch_bounds(df, cols, probs, by, accuracy), "persist")
-        if small_rows:
-            largest = sketch.agg(F.max("_n")).first()[0] or 0
-            if largest <= small_rows:
-                # every group is proven small: one pass, same interpolation
-                sketch.unpersist()
-                return _small_wide(df, cols, probs, by)
-    long = quantiles_long(df, cols, probs, by, method, accuracy, sketch)
+    long, cached = quantiles_long(df, cols, probs, by, method, accuracy)
     out = _wide(long, cols, probs, by)
-    if sketch is not None:
+    if cached is not None:
         # the statistics are small (one row per group): write them once, then
-        # release the cached sketch instead of holding it for the session
+        # release the cached counts instead of holding them for the session
         out = materialize(out)
-        sketch.unpersist()
+        cached.unpersist()
     return out
 
 

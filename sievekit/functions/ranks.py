@@ -12,8 +12,7 @@ window ordered over the whole table runs in one task; instead:
 3. prefix-sum the per-bucket totals (a table of ``buckets`` rows), then
    run the ordered window *within* each bucket.
 
-A distinct table proven small by its count skips steps 2-3 (one bucket,
-one window).
+There is one path for all sizes.  NaN counts as missing, like NULL.
 
 Output: one row per distinct value with the weights and their sums over
 strictly earlier values.
@@ -28,9 +27,6 @@ from pyspark.sql.types import DoubleType
 
 from ..session import materialize
 
-# Distinct-value tables up to this size are prefix-summed in one window.
-SMALL_DISTINCT = 200_000
-
 
 def _bucket_count(df: DataFrame, buckets: int | None) -> int:
     if buckets:
@@ -45,32 +41,22 @@ def prefix_table(df: DataFrame, value: str, weights: dict[str, Column],
     ``before_<w>`` sums ``w`` over rows whose value sorts strictly before
     (ascending, or descending when ``descending``).
     """
-    key = F.col(value).cast(DoubleType())
+    key = F.nanvl(F.col(value).cast(DoubleType()), F.lit(None).cast(DoubleType()))
     sort_key = -key if descending else key
     distinct = (df.where(key.isNotNull())
                   .groupBy(sort_key.alias("_k"))
                   .agg(*[F.sum(e).alias(n) for n, e in weights.items()]))
-    # computed once, read by the size check, the sketch and the windows
-    distinct = materialize(distinct, "persist")
+    # written once, read by the sketch and the windows; nothing stays cached
+    distinct = materialize(distinct)
     nb = _bucket_count(df, buckets)
-    if buckets is None and distinct.count() <= SMALL_DISTINCT:
-        nb = 1            # proven small: one ordered window over the distinct values
     names = list(weights)
+    cuts: list[float] = []
     if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        row = distinct.agg(F.percentile_approx("_k", probs, 10000).alias("s")).first()
-        cuts = sorted(set(v for v in (row["s"] or []) if v is not None))
-        splits = [float("-inf"), *cuts, float("inf")]
-        if len(splits) < 3:
-            splits = [float("-inf"), float("inf")]
-        bucketed = Bucketizer(splits=splits, inputCol="_k", outputCol="_b").transform(distinct)
-    else:
-        # proven small: one ordered window, nothing to offset
-        upto = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-        return distinct.select(
-            (-F.col("_k") if descending else F.col("_k")).alias(value),
-            *[F.col(n) for n in names],
-            *[F.coalesce(F.sum(n).over(upto), F.lit(0)).alias(f"before_{n}") for n in names])
+        row = distinct.agg(F.percentile_approx("_k", [i / nb for i in range(1, nb)], 10000).alias("s")).first()
+        cuts = sorted(set(v for v in (row["s"] or []) if v is not None and abs(v) != float("inf")))
+    splits = [float("-inf"), *cuts, float("inf")]
+    bucketed = (Bucketizer(splits=splits, inputCol="_k", outputCol="_b").transform(distinct) if cuts
+                else distinct.withColumn("_b", F.lit(0.0)))
     totals = bucketed.groupBy("_b").agg(*[F.sum(n).alias(f"_t_{n}") for n in names])
     # a window over the bucket table only (``buckets`` rows)
     upto_prev = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

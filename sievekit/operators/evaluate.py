@@ -30,35 +30,30 @@ def class_list(df: DataFrame, *cols: str) -> list[str]:
 
 
 def label_codes(df: DataFrame, target: str = "target") -> DataFrame:
-    """(label, code): alphabetical codes of the target's labels (Buy=0...)."""
-    labels = df.select(F.col(target).alias("label")).where(F.col("label").isNotNull()).distinct()
-    # a window over the distinct labels only
-    return labels.select("label", (F.dense_rank().over(Window.orderBy("label")) - 1).alias("code"))
+    """(label, code): alphabetical codes of the target's labels (Buy=0...); the
+    labels are a bounded list, proven before it reaches the driver."""
+    labels = bounded_distinct(df, target)
+    return df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(labels)], "label string, code long")
 
 
 def encode_signal(df: DataFrame, signal: str = "signal_rules", target: str = "target",
                   out: str = "signal_rules_encoded", default: str = HOLD) -> DataFrame:
     """V1: map a signal to the target's codes; unknown -> the default's code."""
-    codes = label_codes(df, target)
-    dflt = codes.where(F.col("label") == default).select("code").scalar()
-    # one row per class label: broadcast
-    j = df.join(F.broadcast(codes.withColumnRenamed("label", "_lbl")), df[signal] == F.col("_lbl"),
-                "left")
-    return j.select(*df.columns, F.coalesce(F.col("code"), dflt, F.lit(0)).cast(LongType())
-                    .alias(out))
+    labels = bounded_distinct(df, target)
+    code = F.array_position(F.array(*[F.lit(c) for c in labels]).cast("array<string>"), F.col(signal).cast("string")) - 1
+    other = labels.index(default) if default in labels else 0
+    return df.select("*", F.when(code >= 0, code).otherwise(F.lit(other)).cast(LongType()).alias(out))
 
 
 def confusion(df: DataFrame, true: str, pred: str, classes: Sequence[str]) -> DataFrame:
     """V2: long confusion matrix (true_label, pred_label, n), zero cells kept,
     fixed label order; predictions outside ``classes`` are ignored."""
-    classes = list(classes)
-    cells = [F.count(F.when((F.col(true) == t) & (F.col(pred) == p), F.lit(1))).alias(f"c{i}_{j}")
-             for i, t in enumerate(classes) for j, p in enumerate(classes)]
-    wide = df.agg(*cells)
-    items = [F.struct(F.lit(t).alias("true_label"), F.lit(p).alias("pred_label"),
-                      F.col(f"c{i}_{j}").alias("n"))
-             for i, t in enumerate(classes) for j, p in enumerate(classes)]
-    return wide.select(F.inline(F.array(*items)))
+    labels = F.array(*[F.lit(c) for c in classes])
+    counts = df.groupBy(F.col(true).alias("_t"), F.col(pred).alias("_p")).agg(F.count(F.lit(1)).alias("n"))
+    grid = (df.sparkSession.range(1).select(F.explode(labels).alias("true_label"))
+            .select("true_label", F.explode(labels).alias("pred_label")))
+    on = (grid["true_label"] == counts["_t"]) & (grid["pred_label"] == counts["_p"])
+    return grid.join(counts, on, "left").select("true_label", "pred_label", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def _class_counts(df: DataFrame, true: str, pred: str, classes: Sequence[str]) -> DataFrame:
@@ -178,7 +173,7 @@ def auc(df: DataFrame, true: str, score: str, positive: str,
     t = prefix_table(base, score, {"pos": is_pos, "neg": 1 - is_pos}, descending=True,
                      buckets=buckets)
     agg = t.agg(F.sum(F.col("neg") * (F.col("before_pos") + F.col("pos") / 2.0)).alias("w"),
-                F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+                F.sum("pos").cast(DoubleType()).alias("P"), F.sum("neg").cast(DoubleType()).alias("N"))
     return (agg.where((F.col("P") > 0) & (F.col("N") > 0))
                .select(F.lit(positive).alias("class"),
                        (F.col("w") / (F.col("P") * F.col("N"))).alias("auc")))
@@ -231,6 +226,7 @@ def high_stakes_errors(df: DataFrame, true: str, signals: Sequence[str]) -> Data
     return rows
 
 
+# The metric names of the comparison table.
 METRICS = ("Accuracy", "F1-Weighted", "IC (ML Only)", "Spread (Buy-Sell)")
 
 
@@ -240,13 +236,28 @@ def comparison_table(df: DataFrame, true: str = "target", rules: str = "signal_r
                      buckets: int | None = None) -> DataFrame:
     """Metric x (rules_based, ml_logistic_reg); IC is NULL for rules."""
     classes = classes or class_list(df, true)
-    base = df.agg(accuracy(df, true, rules).alias("acc_r"), accuracy(df, true, ml).alias("acc_m"),
-                  spread(rules, outcome).alias("sp_r"), spread(ml, outcome).alias("sp_m"))
-    f1r = weighted_f1(df, true, rules, classes).select(F.col("f1_weighted").alias("f1_r"))
-    f1m = weighted_f1(df, true, ml, classes).select(F.col("f1_weighted").alias("f1_m"))
-    ic = information_coefficient(df, score, outcome, buckets)
-    s = {**scalars(base, ["acc_r", "acc_m", "sp_r", "sp_m"]), **scalars(f1r, ["f1_r"]),
-         **scalars(f1m, ["f1_m"]), **scalars(ic, ["ic"])}
+    # one pass for everything but the ranks
+    aggs = [accuracy(df, true, rules).alias("acc_r"), accuracy(df, true, ml).alias("acc_m"),
+            spread(rules, outcome).alias("sp_r"), spread(ml, outcome).alias("sp_m")]
+    for side, pred in (("r", rules), ("m", ml)):
+        for i, c in enumerate(classes):
+            t, p = F.col(true) == c, F.col(pred) == c
+            aggs += [F.count(F.when(t & p, 1)).alias(f"tp_{side}{i}"), F.count(F.when(t, 1)).alias(f"su_{side}{i}"),
+                     F.count(F.when(p, 1)).alias(f"pc_{side}{i}")]
+    base = df.agg(*aggs)
+
+    def f1(side: str) -> Column:
+        total, weighted = F.lit(0.0), F.lit(0.0)
+        for i in range(len(classes)):
+            tp, su, pc = (F.col(f"{k}_{side}{i}").cast(DoubleType()) for k in ("tp", "su", "pc"))
+            precision, recall = _zdiv(tp, pc), _zdiv(tp, su)
+            total = total + su
+            weighted = weighted + _zdiv(2 * precision * recall, precision + recall) * su
+        return _zdiv(weighted, total)
+
+    row = scalars(base.select("acc_r", "acc_m", "sp_r", "sp_m", f1("r").alias("f1_r"), f1("m").alias("f1_m")),
+                  ["acc_r", "acc_m", "sp_r", "sp_m", "f1_r", "f1_m"])
+    s = {**row, **scalars(information_coefficient(df, score, outcome, buckets), ["ic"])}
     null = F.lit(None).cast(DoubleType())
     items = [F.struct(F.lit(METRICS[0]).alias("metric"), s["acc_r"].alias("rules_based"),
                       s["acc_m"].alias("ml_logistic_reg")),
@@ -256,7 +267,7 @@ def comparison_table(df: DataFrame, true: str = "target", rules: str = "signal_r
                       s["ic"].alias("ml_logistic_reg")),
              F.struct(F.lit(METRICS[3]).alias("metric"), s["sp_r"].alias("rules_based"),
                       s["sp_m"].alias("ml_logistic_reg"))]
-    return base.select(F.inline(F.array(*items)))
+    return df.sparkSession.range(1).select(F.inline(F.array(*items)))
 
 
 def comparison_long(table: DataFrame) -> DataFrame:

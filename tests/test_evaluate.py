@@ -138,3 +138,30 @@ def test_comparison_table_shape(scored):
     assert list(rows) == list(V.METRICS)
     assert rows["IC (ML Only)"].rules_based is None
     assert V.comparison_long(t).count() == 8
+
+
+def test_auc_of_very_many_rows_does_not_overflow(spark):
+    from pyspark.sql import functions as F
+
+    from sievekit.operators import evaluate as V
+    n = 4 * 10**9
+    t = spark.createDataFrame([(0.5, n, n)], "s double, pos long, neg long")
+    # the aggregate of auc() on one tied score, with counts whose product exceeds a long
+    import sievekit.operators.evaluate as mod
+    original = mod.prefix_table
+    mod.prefix_table = lambda *a, **k: t.withColumn("before_pos", F.lit(0).cast("long")).withColumn("before_neg", F.lit(0).cast("long"))
+    try:
+        df = spark.createDataFrame([("A", 0.5), ("B", 0.5)], "y string, s double")
+        assert abs(V.auc(df, "y", "s", "A").first()["auc"] - 0.5) < 1e-12
+    finally:
+        mod.prefix_table = original
+
+
+def test_ranks_treat_nan_as_missing_with_many_buckets(spark):
+    from sievekit.functions.ranks import average_ranks
+    vals = [float("nan"), None] + [float(i % 13) for i in range(200)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    import pandas as pd
+    want = pd.Series(vals[2:]).rank().groupby(vals[2:]).first()
+    got = {r["v"]: r["r"] for r in average_ranks(df, "v", "r", buckets=5).collect()}
+    assert got == want.to_dict()
