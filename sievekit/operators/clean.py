@@ -73,22 +73,43 @@ def impute_group_median(df: DataFrame, cols: Sequence[str], by: str = "sector",
     cols = list(cols)
     if not cols:
         return df
+    return fill_from_groups(df, group_medians(df, cols, by, method, barrier), cols, by)
+
+
+def group_medians(df: DataFrame, cols: Sequence[str], by: str, method: str = "exact",
+                  barrier: str = "checkpoint") -> DataFrame:
+    """One row per group with the median of every column, written once: the
+    table is small, and the imputed frame stays a cheap join."""
     med = quantiles(df, cols, [0.5], by=[by], method=method)
-    # the median table is small (one row per group): write it once, so the
-    # imputed frame is a cheap join that downstream passes may recompute
-    med = materialize(med.select(by, *[F.col(qname(c, 0.5)).alias(c) for c in cols]), barrier)
+    return materialize(med.select(by, *[F.col(qname(c, 0.5)).alias(c) for c in cols]), barrier)
+
+
+def fill_from_groups(df: DataFrame, med: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
     j = attach_by_group(df, med, [by])
     return j.selectExpr(*[f"coalesce({q(c)}, {q('_s_' + c)}) AS {q(c)}" if c in cols else q(c)
                           for c in df.columns])
 
 
+def global_medians(df: DataFrame, cols: Sequence[str], method: str = "exact",
+                   groups: DataFrame | None = None) -> dict[str, float | None]:
+    """Overall median per column.  With the group medians already filled in,
+    only columns that some group left NULL can still hold NULLs, and only
+    those are computed (the others map to None: nothing to fill)."""
+    need = list(cols)
+    if groups is not None and need:
+        has = groups.agg(*[F.max(F.col(c).isNull()).alias(c) for c in need]).first()
+        need = [c for c in need if has[c]]
+    row = quantiles(df, need, [0.5], method=method).first() if need else None
+    return {c: row[qname(c, 0.5)] if c in need else None for c in cols}
+
+
 def impute_global_median(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataFrame:
     """Fill remaining NULLs with the column's overall median."""
     cols = list(cols)
     if not cols:
         return df
-    med = quantiles(df, cols, [0.5], method=method).first()
-    return df.selectExpr(*[_coalesce_lit(c, med[qname(c, 0.5)]) if c in cols else q(c)
+    med = global_medians(df, cols, method)
+    return df.selectExpr(*[_coalesce_lit(c, med[c]) if c in cols else q(c)
                            for c in df.columns])
 
 
@@ -111,14 +132,15 @@ def winsorize(df: DataFrame, cols: Sequence[str], lower: float = 0.01, upper: fl
     bounds = bounds if bounds is not None else winsor_bounds(df, cols, lower, upper, method)
     row = bounds.first() if isinstance(bounds, DataFrame) else bounds
 
-    def clip(c):
-        lo, hi = row[qname(c, lower)], row[qname(c, upper)]
-        if lo is None or hi is None:       # all-NULL column: nothing to clip
-            return q(c)
-        return (f"CASE WHEN {q(c)} IS NULL THEN NULL ELSE "
-                f"least(greatest({q(c)}, {lit_num(lo)}), {lit_num(hi)}) END AS {q(c)}")
+    return df.selectExpr(*[_clip(c, row[qname(c, lower)], row[qname(c, upper)]) if c in cols else q(c)
+                           for c in df.columns])
 
-    return df.selectExpr(*[clip(c) if c in cols else q(c) for c in df.columns])
+
+def _clip(c: str, lo, hi) -> str:
+    if lo is None or hi is None:       # all-NULL column: nothing to clip
+        return q(c)
+    return (f"CASE WHEN {q(c)} IS NULL THEN NULL ELSE "
+            f"least(greatest({q(c)}, {lit_num(lo)}), {lit_num(hi)}) END AS {q(c)}")
 
 
 def add_engineered(df: DataFrame, max_de=None) -> DataFrame:
@@ -151,33 +173,69 @@ class CleanConfig:
     barrier: str = "checkpoint"         # lineage cut between statistic passes
 
 
-def clean_and_engineer(raw: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
-    """The composite cleaning chain C1 -> C12 (lazy apart from barriers).
-
-    One full-data barrier sits before the statistic passes.  Everything
+@dataclass
+class FittedCleaner:
+    """The statistics of one cleaning run, to treat later records alike."""
+    columns: list[str]
+    medians: DataFrame | None           # one row per sector
+    overall: dict[str, float | None]
+    bounds: dict[str, tuple[float | None, float | None]]
+    max_de: float | None
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """Raw rows imputed, winsorized and engineered with the fitted statistics;
+        no row is dropped, a column absent from ``rows`` counts as NULL."""
+        df = coerce_numeric(nan_to_null(rows))
+        for c in self.columns:
+            if c not in df.columns:
+                df = df.withColumn(c, F.lit(None).cast(DoubleType()))
+        if "sector" not in df.columns:
+            df = df.withColumn("sector", F.lit(None).cast(StringType()))
+        df = fill_sector(df)
+        if self.medians is not None:
+            j = attach_by_group(df, self.medians, ["sector"])
+            df = j.selectExpr(*[f"coalesce({q(c)}, {q('_s_' + c)}) AS {q(c)}" if c in self.columns else q(c)
+                                for c in df.columns])
+        df = df.selectExpr(*[_coalesce_lit(c, self.overall.get(c)) if c in self.columns else q(c) for c in df.columns])
+        df = df.selectExpr(*[_clip(c, *self.bounds[c]) if c in self.columns else q(c) for c in df.columns])
+        return add_engineered(df, F.lit(self.max_de).cast(DoubleType()))
+
+
+def fit_clean(raw: DataFrame, cfg: CleanConfig = CleanConfig()) -> tuple[DataFrame, FittedCleaner]:
+    """C13 with its fitted state: the chain C1 -> C12 and the statistics it used.
+
+    C1 counts missing values on the rows as they come; C2 reads text after
+    that.  One full-data barrier sits before the statistic passes.  Everything
     after it is the barrier's rows joined with a small per-sector median
     table (itself written once) and projected with literal statistics, so
     each later pass re-reads the barrier instead of a new copy of the
     data.  ``cfg.barrier='none'`` keeps one plan (small inputs).
     """
-    df = coerce_numeric(nan_to_null(raw))
-    df = drop_sparse_rows(df, cfg.min_present)
+    df = coerce_numeric(drop_sparse_rows(nan_to_null(raw), cfg.min_present))
     cols = feature_columns(df)
-    has_sector = "sector" in df.columns
-    if has_sector:
+    medians = None
+    if "sector" in df.columns:
         df = materialize(fill_sector(df), cfg.barrier)
-        df = impute_group_median(df, cols, "sector", cfg.quantile_method, cfg.barrier)
+        medians = group_medians(df, cols, "sector", cfg.quantile_method, cfg.barrier) if cols else None
+        df = fill_from_groups(df, medians, cols, "sector") if cols else df
     else:
         df = materialize(df, cfg.barrier)
-    df = impute_global_median(df, cols, cfg.quantile_method)
-    bounds = winsor_bounds(df, cols, cfg.winsor_lower, cfg.winsor_upper,
-                           cfg.quantile_method).first()
-    df = winsorize(df, cols, cfg.winsor_lower, cfg.winsor_upper, bounds=bounds)
+    overall = global_medians(df, cols, cfg.quantile_method, medians)
+    df = df.selectExpr(*[_coalesce_lit(c, overall[c]) if c in cols else q(c) for c in df.columns])
+    bounds = {}
+    if cols:
+        row = winsor_bounds(df, cols, cfg.winsor_lower, cfg.winsor_upper, cfg.quantile_method).first()
+        bounds = {c: (row[qname(c, cfg.winsor_lower)], row[qname(c, cfg.winsor_upper)]) for c in cols}
+    df = df.selectExpr(*[_clip(c, *bounds[c]) if c in cols else q(c) for c in df.columns])
     # max of a column clipped at its upper quantile is that quantile
-    top = bounds[qname("DE_ratio", cfg.winsor_upper)] if "DE_ratio" in cols else None
-    max_de = F.lit(top).cast(DoubleType())
-    df = add_engineered(df, max_de)
-    return drop_incomplete(df)
+    top = bounds["DE_ratio"][1] if "DE_ratio" in cols else None
+    fitted = FittedCleaner(cols, medians, overall, bounds, top)
+    return drop_incomplete(add_engineered(df, F.lit(top).cast(DoubleType()))), fitted
+
+
+def clean_and_engineer(raw: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
+    """The composite cleaning chain C1 -> C12 (lazy apart from barriers)."""
+    return fit_clean(raw, cfg)[0]
 
 
 def clean_report(raw: DataFrame, cleaned: DataFrame, min_present: float = 0.70) -> DataFrame:

@@ -11,12 +11,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType
+from pyspark.sql.types import AtomicType, DoubleType, LongType
 
 from ..functions.nulls import bounded_distinct
 from ..functions.stats import scalars
 from ..sources.conform import dense_index
 
+# Identifier and label columns that are never features.
 ID_AND_LABELS = ("ticker", "forward_return", "target", "signal_rules")
 LABEL_ORDER = "alphabetAsc"
 
@@ -66,9 +67,34 @@ def label_decode(col, classes: Sequence[str]):
 
 
 # --------------------------------------------------------------------- M4/M5
-def split_hash(key: str = "ticker", seed: int = 42):
-    """The deterministic shuffle key: md5 of the key text and the seed."""
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
+def split_hash(key: str = "ticker", seed: int = 42, others: Sequence[str] = ()):
+    """The deterministic shuffle key: md5 of the key text and the seed.
+
+    A NULL key takes a hash of the row's ``others`` instead, so keyless rows
+    spread over the hash buckets and none is lost."""
+    text = F.col(key).cast("string")
+    if others:
+        text = F.coalesce(text, F.xxhash64(*[F.col(c) for c in others]).cast("string"))
+    return F.md5(F.concat(F.coalesce(text, F.lit("")), F.lit(str(seed))))
+
+
+def _bucketed(df: DataFrame, label: str | None, key: str, seed: int, prefix_hex: int):
+    """Rows with hash ``_h``, bucket ``_b`` and class ``_c``; rows per (class, bucket)."""
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    base = (df.withColumn("_h", split_hash(key, seed, plain))
+              .withColumn("_b", F.conv(F.substring("_h", 1, prefix_hex), 16, 10).cast(LongType()))
+              .withColumn("_c", F.col(label).cast("string") if label else F.lit(None).cast("string")))
+    return base, base.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_nb"))
+
+
+def _with_buckets(base: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Join on (class, bucket); a NULL class is a class of its own.
+
+    The bucket table has at most classes x 16^prefix_hex rows, classes being a
+    list whose length callers have bounded: broadcast."""
+    right = buckets.withColumnRenamed("_c", "_c2").withColumnRenamed("_b", "_b2")
+    on = base["_b"].eqNullSafe(right["_b2"]) & base["_c"].eqNullSafe(right["_c2"])
+    return base.join(F.broadcast(right), on)
 
 
 def stratified_split(df: DataFrame, label: str | None = "target", key: str = "ticker",
@@ -77,38 +103,25 @@ def stratified_split(df: DataFrame, label: str | None = "target", key: str = "ti
     """M4 (M5 with ``label=None``): exactly round(test_frac * n_class) rows
     of each class go to test -- those first in md5(key || seed) order.
 
-    No task ranks a whole class: rows are counted per (class, hash-prefix
-    bucket) -- a table of at most classes x 16^prefix_hex rows -- whose
-    running sums show which buckets are wholly in test; only the one
+    Every input row comes out once, also with a NULL key or label (NULL labels
+    are one class).  No task ranks a whole class: rows are counted per (class,
+    hash-prefix bucket) -- a table of at most classes x 16^prefix_hex rows --
+    whose running sums show which buckets are wholly in test; only the one
     boundary bucket per class (about n / 16^prefix_hex rows) is ranked.
     """
-    h = split_hash(key, seed)
-    # without a label every row is one class: key on the hash bucket alone
-    # (a constant class key would fold into a keyless join)
-    ck = ["_c"] if label else []
-    base = df.withColumn("_h", h)
-    if label:
-        base = base.withColumn("_c", F.col(label))
-    base = base.withColumn("_b", F.conv(F.substring("_h", 1, prefix_hex), 16, 10).cast(LongType()))
-    per_bucket = base.groupBy(*ck, "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    k_expr = F.round(F.sum("_nb").cast(DoubleType()) * F.lit(float(test_frac))).cast(LongType())
-    # window over the bucket-count table (bounded by 16^prefix_hex per class)
-    run = Window.partitionBy(*ck).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    if ck:
-        quota = per_bucket.groupBy(*ck).agg(k_expr.alias("_k"))
-        with_k = per_bucket.join(F.broadcast(quota), ck)
-    else:
-        with_k = per_bucket.withColumn("_k", scalars(per_bucket.agg(k_expr.alias("k")), ["k"])["k"])
-    buckets = with_k.select(*ck, "_b", "_k",
-                            F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before"), "_nb")
-    # at most classes x 16^prefix_hex rows: a bound we set, so broadcast
-    tagged = base.join(F.broadcast(buckets), [*ck, "_b"])
+    base, per_bucket = _bucketed(df, label, key, seed, prefix_hex)
+    # windows over the bucket-count table (bounded by 16^prefix_hex per class)
+    whole = Window.partitionBy("_c")
+    run = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    k_expr = F.round(F.sum("_nb").over(whole).cast(DoubleType()) * F.lit(float(test_frac))).cast(LongType())
+    buckets = per_bucket.select("_c", "_b", k_expr.alias("_k"), "_nb",
+                                F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before"))
+    tagged = _with_buckets(base, buckets)
     whole_in = F.col("_before") + F.col("_nb") <= F.col("_k")
     boundary = (F.col("_before") < F.col("_k")) & ~whole_in
     settled = tagged.where(~boundary).withColumn(out, whole_in)
-    edge = tagged.where(boundary)
-    rn = F.row_number().over(Window.partitionBy(*ck, "_b").orderBy("_h", key))
-    edge = edge.withColumn(out, rn <= F.col("_k") - F.col("_before"))
+    rn = F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_h", key))
+    edge = tagged.where(boundary).withColumn(out, rn <= F.col("_k") - F.col("_before"))
     cols = [*df.columns, out]
     return settled.select(*cols).unionByName(edge.select(*cols))
 
@@ -117,18 +130,13 @@ def class_rank(df: DataFrame, label: str | None = "target", key: str = "ticker",
                seed: int = 42, prefix_hex: int = 4, out: str = "_rank") -> DataFrame:
     """1-based rank of every row within its class in md5(key || seed) order,
     computed as (rows in earlier hash buckets) + (rank inside the bucket):
-    the ordered windows run per (class, bucket), never per whole class."""
-    ck = ["_c"] if label else []
-    base = df.withColumn("_h", split_hash(key, seed))
-    if label:
-        base = base.withColumn("_c", F.col(label))
-    base = base.withColumn("_b", F.conv(F.substring("_h", 1, prefix_hex), 16, 10).cast(LongType()))
-    per_bucket = base.groupBy(*ck, "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    run = Window.partitionBy(*ck).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    before = per_bucket.select(*ck, "_b", F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before"))
-    rn = F.row_number().over(Window.partitionBy(*ck, "_b").orderBy("_h", key))
-    return (base.join(F.broadcast(before), [*ck, "_b"])
-                .select(*df.columns, (F.col("_before") + rn).alias(out)))
+    the ordered windows run per (class, bucket), never per whole class.  No
+    row is lost to a NULL key or label."""
+    base, per_bucket = _bucketed(df, label, key, seed, prefix_hex)
+    run = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_bucket.select("_c", "_b", F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before"))
+    rn = F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_h", key))
+    return _with_buckets(base, before).select(*df.columns, (F.col("_before") + rn).alias(out))
 
 
 def temporal_split(df: DataFrame, order_by: Sequence[str], train_frac: float = 0.70,

@@ -12,7 +12,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -22,6 +24,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions.nulls import bounded_distinct
 from ..session import materialize
+from .clean import ENGINEERED, FittedCleaner
 from .evaluate import classification_report
 from .features import (Scaler, class_rank, feature_list, fit_categories, fit_scaler,
                        label_decode, label_index, one_hot, stratified_split)
@@ -73,17 +76,18 @@ class GridResult:
     best_c: float
     scores: dict[float, float] = field(default_factory=dict)
     folds: int = 0
+    reason: str = ""                     # why the default C was taken, if it was
 
 
 def grid_search(train: DataFrame, classes: Sequence[float], grid: Sequence[float] = C_GRID,
-                max_folds: int = MAX_FOLDS, parallelism: int = 8) -> GridResult:
+                max_folds: int = MAX_FOLDS, parallelism: int | None = None) -> GridResult:
     """Mean weighted F1 over stratified folds for each C; the first
     best C wins (smallest on ties).  Fewer than 5 rows -> C=1.0.  The fits
     are independent Spark jobs submitted from a small driver thread pool.
     """
     n = train.count()
     if n < 5:
-        return GridResult(DEFAULT_C, {}, 0)
+        return GridResult(DEFAULT_C, {}, 0, "fewer than 5 training rows")
     k = min(max_folds, n)
     folded = assign_folds(train, k)
     folded = materialize(folded.repartition(max(1, -(-n // ROWS_PER_PARTITION))), "persist")
@@ -96,14 +100,19 @@ def grid_search(train: DataFrame, classes: Sequence[float], grid: Sequence[float
         m = make_lr(c, n - sizes.get(f, 0)).fit(tr)
         return c, f, weighted_f1(m.transform(va), classes)
 
+    if parallelism is None:
+        # each running fit caches its own copy of the folds it trains on
+        parallelism = 8 if n <= ROWS_PER_PARTITION else 2
     jobs = [(c, f) for c in grid for f in range(k)]
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             results = list(pool.map(fit_score, jobs))
-    except Exception:  # noqa: BLE001 - tuning failure falls back to the default C
+    except (IllegalArgumentException, ValueError, ArithmeticError) as e:
+        # the data can't be fitted (a fold with one class, say); a lost executor
+        # or a lack of memory raises
+        return GridResult(DEFAULT_C, {}, k, f"{type(e).__name__}: {e}"[:500])
+    finally:
         folded.unpersist()
-        return GridResult(DEFAULT_C, {}, k)
-    folded.unpersist()
     scores = {c: sum(s for cc, _, s in results if cc == c) / k for c in grid}
     best = max(grid, key=lambda c: (scores[c], -grid.index(c)))
     return GridResult(best, scores, k)
@@ -120,28 +129,36 @@ class ScreenModel:
     model: LogisticRegressionModel
     best_c: float
     grid: GridResult | None = None
+    cleaner: FittedCleaner | None = None
 
     # T5 / T8 ---------------------------------------------------------------
     def score(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """Score raw rows.  Encode with the fitted list, fill absent
-        features with 0, scale with train statistics, predict; adds
-        ``ml_pred_class`` and one ``ml_<class>_proba`` column per class."""
+        """Score raw rows.  Impute, winsorize and engineer with the fitted
+        statistics (unless the rows hold the engineered ratios already), encode
+        with the fitted list, scale with train statistics, predict; adds
+        ``ml_pred_class`` and one ``ml_<class>_proba`` column per class.  A row
+        with a feature that stays NULL gets a NULL class and NULL probabilities;
+        only a sector dummy absent from the rows counts as 0."""
+        if self.cleaner is not None and not all(c in df.columns for c in ENGINEERED):
+            df = self.cleaner.transform(df)
         raw = df if "sector" in df.columns else df.withColumn("sector", F.lit(None).cast("string"))
         x = one_hot(raw.drop(*[c for c in raw.columns if c in self.features and c.startswith("sector_")]),
                     self.categories)
         x = x.select(*[c for c in x.columns if c not in self.features],
-                     *[(F.col(c) if c in x.columns else F.lit(0.0)).cast(DoubleType()).alias(c)
-                       for c in self.features])
+                     *[(F.col(c) if c in x.columns else F.lit(0.0 if c.startswith("sector_") else None))
+                       .cast(DoubleType()).alias(c) for c in self.features])
         return self.predict(self.scaler.transform(x), keep)
 
     def predict(self, prepared: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """T5: predictions for rows already encoded and scaled (M1-M6)."""
         p = self.model.transform(assemble(prepared, self.features))
         prob = vector_to_array("probability")
-        extra = [F.element_at(prob, i + 1).alias(f"ml_{c.lower()}_proba")
+        whole = reduce(lambda a, b: a & b, [F.coalesce(~F.isnan(F.col(f)), F.lit(False)) for f in self.features],
+                       F.lit(True))
+        extra = [F.when(whole, F.element_at(prob, i + 1)).alias(f"ml_{c.lower()}_proba")
                  for i, c in enumerate(self.classes)]
         cols = [c for c in keep if c in p.columns]
-        return p.select(*cols, label_decode(F.col("prediction"), self.classes).alias("ml_pred_class"),
+        return p.select(*cols, F.when(whole, label_decode(F.col("prediction"), self.classes)).alias("ml_pred_class"),
                         *extra)
 
     # T6 / T7 ---------------------------------------------------------------
@@ -171,13 +188,17 @@ class Prepared:
     categories: list[str]
     classes: list[str]
     scaler: Scaler
+    cleaner: FittedCleaner | None = None
 
 
 def prepare(df: DataFrame, label: str = "target", test_frac: float = 0.30, seed: int = 42,
-            barrier: str = "checkpoint") -> Prepared:
+            barrier: str = "checkpoint", cleaner: FittedCleaner | None = None) -> Prepared:
     """M1-M7: encode, split (stratified when >= 2 classes), fit the scaler on
-    train, scale both sides, index the label."""
+    train, scale both sides, index the label.  A frame without a labelled row
+    raises ValueError: there is nothing to learn from."""
     classes = bounded_distinct(df, label)
+    if not classes:
+        raise ValueError("no labelled rows to train on")
     cats = fit_categories(df)
     enc = one_hot(df if "sector" in df.columns else df.withColumn("sector", F.lit(None).cast("string")),
                   cats)
@@ -191,18 +212,20 @@ def prepare(df: DataFrame, label: str = "target", test_frac: float = 0.30, seed:
     train = split.where(~F.col("is_test"))
     test = split.where(F.col("is_test"))
     scaler = fit_scaler(train, feats)
-    return Prepared(scaler.transform(train), scaler.transform(test), feats, cats, classes, scaler)
+    return Prepared(scaler.transform(train), scaler.transform(test), feats, cats, classes, scaler, cleaner)
 
 
 def train_screen_model(prep: Prepared, grid: Sequence[float] = C_GRID, tune: bool = True,
-                       parallelism: int = 8) -> ScreenModel:
+                       parallelism: int | None = None) -> ScreenModel:
     """Tune C by stratified CV (optional), refit on all train rows."""
     train = assemble(prep.train, prep.features)
     n = train.count()
+    if n == 0:
+        raise ValueError("no training rows")
     train = materialize(train.repartition(max(1, -(-n // ROWS_PER_PARTITION))), "persist")
     codes = [float(i) for i in range(len(prep.classes))]
     res = grid_search(train, codes, grid, parallelism=parallelism) if tune else GridResult(DEFAULT_C)
     model = make_lr(res.best_c, n).fit(train)
     train.unpersist()
     return ScreenModel(prep.categories, prep.features, prep.scaler, prep.classes, model,
-                       res.best_c, res)
+                       res.best_c, res, prep.cleaner)

@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from ..functions.nulls import col_or_null, truthy
 
@@ -115,12 +115,35 @@ def add_distances(df: DataFrame, rulebook: Rulebook = INCLUSIVE) -> DataFrame:
     """Signed distance to each Buy threshold (positive = passes
     with margin) and their row-wise minimum, NULLs skipped."""
     cols = []
-    for name, src, t, sign in rulebook.distances:
+    for name, src, t, sign in distances_of(rulebook):
         x = col_or_null(df, src)
         cols.append(((x - F.lit(t)) if sign > 0 else (F.lit(t) - x)).cast(DoubleType()).alias(name))
     out = df.select("*", *cols)
-    names = [d[0] for d in rulebook.distances]
-    return out.withColumn(MIN_DISTANCE, F.least(*[F.col(n) for n in names]))
+    names = [F.col(d[0]) for d in distances_of(rulebook)]
+    least = names[0] if len(names) == 1 else F.least(*names) if names else F.lit(None).cast(DoubleType())
+    return out.withColumn(MIN_DISTANCE, least)
+
+
+# Short names of the screened columns in distance columns.
+_SHORT = {"PE_ratio": "PE", "ROE": "ROE", "DE_ratio": "DE", "revenue_growth": "rev_growth",
+          "profit_margin": "profit_margin"}
+
+
+def distances_of(rulebook: Rulebook) -> tuple[tuple[str, str, float, int], ...]:
+    """The distance columns of a rulebook: those it states, else one for each
+    Buy rule: to its maximum for an upper threshold (t - x), to its minimum for a
+    lower one (x - t).  The lower end of a column that also has an upper one is
+    no distance (a small P/E is no near miss)."""
+    if rulebook.distances:
+        return rulebook.distances
+    capped = {r.column for r in rulebook.buy if r.op in ("<", "<=")}
+    out = []
+    for r in rulebook.buy:
+        upper = r.op in ("<", "<=")
+        if upper or r.column not in capped:
+            out.append((f"dist_{_SHORT.get(r.column, r.column)}_to_{'max' if upper else 'min'}_buy", r.column,
+                        float(r.value), -1 if upper else 1))
+    return tuple(dict.fromkeys(out))
 
 
 def screen_with_distances(df: DataFrame, rulebook: Rulebook = INCLUSIVE) -> DataFrame:
@@ -130,24 +153,40 @@ def screen_with_distances(df: DataFrame, rulebook: Rulebook = INCLUSIVE) -> Data
 
 _RULE_SCHEMA = StructType([
     StructField("rulebook", StringType()), StructField("side", StringType()),
-    StructField("column", StringType()), StructField("op", StringType()),
-    StructField("value", DoubleType())])
+    StructField("position", IntegerType()), StructField("column", StringType()),
+    StructField("op", StringType()), StructField("value", DoubleType()),
+    StructField("name", StringType())])
 
 
 def rulebook_table(spark: SparkSession, rulebook: Rulebook) -> DataFrame:
-    """The rulebook as a small DataFrame (what the committee approves)."""
-    rows = ([(rulebook.name, "buy", r.column, r.op, float(r.value)) for r in rulebook.buy]
-            + [(rulebook.name, "sell", r.column, r.op, float(r.value)) for r in rulebook.sell])
+    """The rulebook as a small DataFrame (what the committee approves).
+
+    Sides 'buy' and 'sell' hold the rules in order, 'precedence' the side that
+    wins (in ``op``), 'distance' the stated distance columns (``name``, the sign
+    in ``op``)."""
+    rows = [(rulebook.name, side, i, r.column, r.op, float(r.value), None)
+            for side, rules in (("buy", rulebook.buy), ("sell", rulebook.sell)) for i, r in enumerate(rules)]
+    rows.append((rulebook.name, "precedence", 0, None, rulebook.precedence, None, None))
+    rows += [(rulebook.name, "distance", i, src, "+" if sign > 0 else "-", float(t), name)
+             for i, (name, src, t, sign) in enumerate(rulebook.distances)]
     return spark.createDataFrame(rows, _RULE_SCHEMA)
 
 
-def rulebook_from_table(table_rows, name: str = "custom", precedence: str = "sell") -> Rulebook:
-    """Rebuild a rulebook from rows of :func:`rulebook_table` (bounded)."""
-    buy = tuple(Rule(r["column"], r["op"], r["value"]) for r in table_rows if r["side"] == "buy")
-    sell = tuple(Rule(r["column"], r["op"], r["value"]) for r in table_rows if r["side"] == "sell")
-    return Rulebook(name, buy, sell, precedence)
+def rulebook_from_table(table_rows, name: str | None = None, precedence: str | None = None) -> Rulebook:
+    """Rebuild a rulebook from rows of :func:`rulebook_table` (bounded), in any order.
+    ``name`` and ``precedence`` override what the table says."""
+    rows = sorted((r.asDict() if hasattr(r, "asDict") else dict(r) for r in table_rows),
+                  key=lambda r: (r["side"], r.get("position") or 0))
+    rules = {side: tuple(Rule(r["column"], r["op"], r["value"]) for r in rows if r["side"] == side)
+             for side in ("buy", "sell")}
+    stated = next((r["op"] for r in rows if r["side"] == "precedence"), "sell")
+    distances = tuple((r["name"], r["column"], r["value"], 1 if r["op"] == "+" else -1)
+                      for r in rows if r["side"] == "distance")
+    known = next((r["rulebook"] for r in rows), "custom")
+    return Rulebook(name or known, rules["buy"], rules["sell"], precedence or stated, distances)
 
 
+# The columns of the signal sample.
 SAMPLE_COLUMNS = ("ticker", "PE_ratio", "ROE", "DE_ratio", "revenue_growth", "profit_margin",
                   "signal_rules", MIN_DISTANCE, "target")
 

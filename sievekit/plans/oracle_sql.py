@@ -14,17 +14,18 @@ fundamentals AS (
   WITH o AS (
     SELECT o_custkey AS k,
       CAST(COUNT(CASE WHEN o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN 1 END) AS DOUBLE) AS n,
-      AVG(CASE WHEN o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN o_totalprice END) AS avg_price,
-      SUM(CASE WHEN o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN o_totalprice END) AS tot,
-      SUM(CASE WHEN o_orderdate < TIMESTAMP '1997-01-01 00:00:00' THEN o_totalprice END) AS rev0,
-      SUM(CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN o_totalprice END) AS rev1,
-      SUM(CASE WHEN o_orderdate >= TIMESTAMP '1999-01-01 00:00:00' THEN o_totalprice END) AS rev2,
-      SUM(CASE WHEN o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN o_totalprice END) AS st_f,
-      SUM(CASE WHEN o_orderstatus = 'O' AND o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN o_totalprice END) AS st_o,
-      SUM(CASE WHEN o_orderstatus = 'P' AND o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN o_totalprice END) AS st_p
+      CAST(SUM(CASE WHEN o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN CAST(ROUND(o_totalprice * 100) AS BIGINT) END) AS DOUBLE) / 100 / NULLIF(COUNT(CASE WHEN o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN o_totalprice END), 0) AS avg_price,
+      CAST(SUM(CASE WHEN o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN CAST(ROUND(o_totalprice * 100) AS BIGINT) END) AS DOUBLE) / 100 AS tot,
+      CAST(SUM(CASE WHEN o_orderdate < TIMESTAMP '1997-01-01 00:00:00' THEN CAST(ROUND(o_totalprice * 100) AS BIGINT) END) AS DOUBLE) / 100 AS rev0,
+      CAST(SUM(CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN CAST(ROUND(o_totalprice * 100) AS BIGINT) END) AS DOUBLE) / 100 AS rev1,
+      CAST(SUM(CASE WHEN o_orderdate >= TIMESTAMP '1999-01-01 00:00:00' THEN CAST(ROUND(o_totalprice * 100) AS BIGINT) END) AS DOUBLE) / 100 AS rev2,
+      CAST(SUM(CASE WHEN o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN CAST(ROUND(o_totalprice * 100) AS BIGINT) END) AS DOUBLE) / 100 AS st_f,
+      CAST(SUM(CASE WHEN o_orderstatus = 'O' AND o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN CAST(ROUND(o_totalprice * 100) AS BIGINT) END) AS DOUBLE) / 100 AS st_o,
+      CAST(SUM(CASE WHEN o_orderstatus = 'P' AND o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN CAST(ROUND(o_totalprice * 100) AS BIGINT) END) AS DOUBLE) / 100 AS st_p
     FROM orders GROUP BY o_custkey),
   l AS (
-    SELECT o_custkey AS k, AVG(l_discount) AS disc, AVG(l_tax) AS tax
+    SELECT o_custkey AS k, CAST(SUM(CAST(ROUND(l_discount * 100) AS BIGINT)) AS DOUBLE) / 100 / NULLIF(COUNT(l_discount), 0) AS disc,
+           CAST(SUM(CAST(ROUND(l_tax * 100) AS BIGINT)) AS DOUBLE) / 100 / NULLIF(COUNT(l_tax), 0) AS tax
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00' GROUP BY o_custkey)
   SELECT c_name AS ticker,
@@ -45,7 +46,7 @@ PRICES = """
 prices AS (
   SELECT concat(c_mktsegment, '/', o_orderpriority) AS ticker,
          CAST(o_orderdate AS DATE) AS date,
-         AVG(o_totalprice) AS close
+         CAST(SUM(CAST(ROUND(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 / COUNT(o_totalprice) AS close
   FROM orders JOIN customer ON o_custkey = c_custkey
   GROUP BY concat(c_mktsegment, '/', o_orderpriority), CAST(o_orderdate AS DATE))"""
 

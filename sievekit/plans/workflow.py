@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as V
 from ..operators import model as T
-from ..operators.clean import CleanConfig, clean_and_engineer
+from ..operators.clean import CleanConfig, clean_and_engineer, fit_clean
 from ..operators.labels import BATCH_POLICY, LabelPolicy, quantile_label
 from ..operators.rules import STRICT, Rulebook, screen
 from ..session import materialize
@@ -60,8 +60,12 @@ def main_analysis(spark: SparkSession, sf_dir: str, tune: bool = True,
                   cfg: CleanConfig = CleanConfig()) -> AnalysisResult:
     """The batch workflow end to end: ingest -> clean -> label -> screen ->
     prepare -> tune/train -> evaluate rules vs model on the test rows."""
-    df = screened(spark, sf_dir, cfg=cfg)
-    prep = T.prepare(df, barrier=cfg.barrier)
+    clean, cleaner = fit_clean(fundamentals(spark, sf_dir), cfg)
+    clean = materialize(clean, cfg.barrier)
+    if clean.isEmpty():
+        raise ValueError("cleaning left no rows to analyse")
+    df = screen(quantile_label(clean, BATCH_POLICY, method=cfg.quantile_method), STRICT)
+    prep = T.prepare(df, barrier=cfg.barrier, cleaner=cleaner)
     model = T.train_screen_model(prep, tune=tune)
     pred = materialize(model.predict(prep.test, keep=["ticker", "forward_return", "target",
                                                       "signal_rules"]), cfg.barrier)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="sievekit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -60,8 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     """Cut lineage between dependent statistic passes.
 
-    ``checkpoint`` writes the frame to the shared checkpoint folder (the
-    plan below it is dropped, and the data survives executor loss);
+    ``checkpoint`` writes the frame as Parquet to the shared checkpoint folder
+    (the plan below it is dropped, and the data survives executor loss);
     ``persist`` keeps it in memory/disk with lineage for recomputation;
     ``none`` returns the frame untouched (small plans, unit tests).
     """
@@ -71,10 +74,8 @@ def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     if how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
-        # persist first: an eager reliable checkpoint runs one job to count
-        # and a second to write the files, which would recompute the plan
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out = cached.checkpoint(eager=True)
-        cached.unpersist(blocking=False)
-        return out
+        # one pass: a written table, which Spark reads back column by column
+        path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     raise ValueError(f"unknown materialize mode {how!r}")

@@ -30,6 +30,11 @@ FEATURE_END = "1999-01-01 00:00:00"
 GROWTH_SPLIT = "1997-01-01 00:00:00"
 
 
+def _cents(c: str):
+    """A two-decimal amount as whole cents: sums are exact in any order."""
+    return F.round(F.col(c) * 100).cast("long")
+
+
 def _ts(s: str):
     return F.lit(s).cast("timestamp_ntz")
 
@@ -43,27 +48,30 @@ def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_discount", "l_tax"])
 
     per_order = lineitem.groupBy("l_orderkey").agg(
-        F.sum("l_discount").alias("sd"), F.count("l_discount").alias("nd"),
-        F.sum("l_tax").alias("st"), F.count("l_tax").alias("nt"))
+        F.sum(_cents("l_discount")).alias("sd"), F.count("l_discount").alias("nd"),
+        F.sum(_cents("l_tax")).alias("st"), F.count("l_tax").alias("nt"))
 
     end, split = _ts(FEATURE_END), _ts(GROWTH_SPLIT)
-    d, p, s = F.col("o_orderdate"), F.col("o_totalprice"), F.col("o_orderstatus")
+    d, p, s = F.col("o_orderdate"), _cents("o_totalprice"), F.col("o_orderstatus")
+
+    def total(cents):
+        return F.sum(cents).cast(DoubleType()) / 100
     pre = d < end
     o = (orders.join(per_order, orders["o_orderkey"] == per_order["l_orderkey"], "left")
          .groupBy("o_custkey")
          .agg(F.count(F.when(pre, F.lit(1))).cast(DoubleType()).alias("n"),
-              F.avg(F.when(pre, p)).alias("avg_price"),
-              F.sum(F.when(pre, p)).alias("tot"),
-              F.sum(F.when(d < split, p)).alias("rev0"),
-              F.sum(F.when((d >= split) & pre, p)).alias("rev1"),
-              F.sum(F.when(d >= end, p)).alias("rev2"),
-              F.sum(F.when((s == "F") & pre, p)).alias("st_f"),
-              F.sum(F.when((s == "O") & pre, p)).alias("st_o"),
-              F.sum(F.when((s == "P") & pre, p)).alias("st_p"),
+              F.try_divide(total(F.when(pre, p)), F.count(F.when(pre, p)).cast(DoubleType())).alias("avg_price"),
+              total(F.when(pre, p)).alias("tot"),
+              total(F.when(d < split, p)).alias("rev0"),
+              total(F.when((d >= split) & pre, p)).alias("rev1"),
+              total(F.when(d >= end, p)).alias("rev2"),
+              total(F.when((s == "F") & pre, p)).alias("st_f"),
+              total(F.when((s == "O") & pre, p)).alias("st_o"),
+              total(F.when((s == "P") & pre, p)).alias("st_p"),
               # lineitem averages over orders before the cut (NULL when none)
-              F.try_divide(F.sum(F.when(pre, F.col("sd"))),
+              F.try_divide(total(F.when(pre, F.col("sd"))),
                            F.sum(F.when(pre, F.col("nd"))).cast(DoubleType())).alias("disc"),
-              F.try_divide(F.sum(F.when(pre, F.col("st"))),
+              F.try_divide(total(F.when(pre, F.col("st"))),
                            F.sum(F.when(pre, F.col("nt"))).cast(DoubleType())).alias("tax")))
 
     def ratio(a, b):
@@ -99,11 +107,11 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
                         ["o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
     pre = (orders.groupBy("o_custkey", F.to_date("o_orderdate").alias("date"), "o_orderpriority")
-                 .agg(F.sum("o_totalprice").alias("s"), F.count("o_totalprice").alias("n")))
+                 .agg(F.sum(_cents("o_totalprice")).alias("s"), F.count("o_totalprice").alias("n")))
     j = pre.join(customer, pre["o_custkey"] == customer["c_custkey"], "inner")
     return (j.groupBy(F.concat(F.col("c_mktsegment"), F.lit("/"), F.col("o_orderpriority"))
                        .alias("ticker"), "date")
-             .agg((F.sum("s") / F.sum("n")).alias("close")))
+             .agg((F.sum("s").cast(DoubleType()) / 100 / F.sum("n").cast(DoubleType())).alias("close")))
 
 
 def scored(spark: SparkSession, sf_dir: str, fund: DataFrame | None = None) -> DataFrame:

@@ -16,23 +16,16 @@ from pyspark.sql.types import DoubleType
 from ..session import materialize
 
 
-# Key sets up to this many rows are broadcast to a semi join (a few MB).
-BROADCAST_KEYS = 2_000_000
-
-
 def history_filter(df: DataFrame, prices: DataFrame, min_rows: int = 252,
                    key: str = "ticker") -> DataFrame:
     """Keep rows of ``df`` whose ticker has more than ``min_rows`` price
     rows (tickers without history drop out).  The count is a partial
-    aggregate; the semi join never duplicates rows.  The qualifying key set
-    is broadcast when its counted size allows (a shuffle join on a few
-    tickers would put a hot ticker's rows in one task); beyond that the
-    shuffle join stays, with AQE splitting skewed partitions."""
+    aggregate; the semi join never duplicates rows.  Adaptive execution
+    broadcasts the key set when its measured size allows and otherwise splits
+    the partitions of a hot ticker."""
     ok = (prices.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
                 .where(F.col("_n") > min_rows).select(key))
-    ok = materialize(ok)
-    right = F.broadcast(ok) if ok.count() <= BROADCAST_KEYS else ok
-    return df.join(right, key, "left_semi")
+    return df.join(ok, key, "left_semi")
 
 
 def date_window(prices: DataFrame, end=None, years: int = 2, date_col: str = "date") -> DataFrame:
@@ -51,7 +44,9 @@ def asof_last(probes: DataFrame, prices: DataFrame, probe_date: str, out: str =
               key: str = "ticker", date_col: str = "date", value: str = "close",
               keep_last: bool = False, last_col: str = "_last") -> DataFrame:
     """Backward as-of lookup: for each probe row, ``value`` at the latest
-    price date <= ``probe_date`` of the same key (NULL if none).
+    price date <= ``probe_date`` of the same key (NULL if none).  A NULL price is
+    no price: the last known one before it counts.  Of several prices of one key
+    and date the largest counts.
 
     Probe rows keep all their columns; one output row per probe row.  With
     ``keep_last`` the key's last price date is added as ``last_col``.
@@ -70,8 +65,10 @@ def asof_last(probes: DataFrame, prices: DataFrame, probe_date: str, out: str =
     # month table has one row per month with prices or probes, so the
     # window below holds at most the months of one ticker's history.
     per_month = (events.where(F.col("_probe") == 0)
-                       .groupBy("_k", "_m").agg(F.max_by("_v", "_d").alias("_mv"),
-                                                F.max("_d").alias("_md")))
+                       .groupBy("_k", "_m").agg(
+                           # the last close that is known; of several on one day the largest
+                           F.max(F.when(F.col("_v").isNotNull(), F.struct("_d", "_v")))["_v"].alias("_mv"),
+                           F.max("_d").alias("_md")))
     probe_only = (events.where(F.col("_probe") == 1).select("_k", "_m").distinct()
                         .join(per_month.select("_k", "_m"), ["_k", "_m"], "left_anti")
                         .withColumn("_mv", F.lit(None).cast(DoubleType()))
@@ -84,7 +81,7 @@ def asof_last(probes: DataFrame, prices: DataFrame, probe_date: str, out: str =
                               F.max("_md").over(whole).alias(last_col)))
 
     # within-bucket running last value; prices sort before probes on a day
-    within = (Window.partitionBy("_k", "_m").orderBy("_d", "_probe")
+    within = (Window.partitionBy("_k", "_m").orderBy("_d", "_probe", F.col("_v").asc_nulls_first())
                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = events.withColumn("_local", F.last("_v", ignorenulls=True).over(within))
     hits = local.where(F.col("_probe") == 1).join(carry, ["_k", "_m"], "left")

@@ -139,3 +139,29 @@ def test_temporal_split_keeps_order(spark):
     df = spark.createDataFrame([(i, f"d{i:03d}") for i in range(50)], "i int, d string")
     out = M.temporal_split(df, ["d"]).toPandas().sort_values("d")
     assert out.is_test.sum() == 15 and not out.is_test.iloc[:35].any()
+
+
+def test_split_and_folds_keep_rows_without_key_or_label(spark):
+    rows = [(None if i % 3 == 0 else f"T{i}", None if i % 4 == 0 else "AB"[i % 2], float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "ticker string, target string, x double")
+    for label in ("target", None):
+        out = M.stratified_split(df, label).collect()
+        assert sorted(r.x for r in out) == [float(i) for i in range(60)]
+        if label:
+            for c in ("A", "B", None):
+                mine = [r for r in out if r.target == c]
+                assert sum(r.is_test for r in mine) == round(0.3 * len(mine) + 1e-9)
+    ranks = M.class_rank(df, "target").collect()
+    assert len(ranks) == 60
+    for c in ("A", "B", None):
+        mine = sorted(r["_rank"] for r in ranks if r.target == c)
+        assert mine == list(range(1, len(mine) + 1))
+
+
+def test_no_training_rows_raise(spark):
+    import pytest
+
+    from sievekit.operators import model as T
+    df = spark.createDataFrame([], "ticker string, sector string, x double, forward_return double, target string")
+    with pytest.raises(ValueError):
+        T.prepare(df, barrier="none")
