@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: words, and judged pairs, remembered per Python worker
-CACHE_WORDS = 400_000
-CACHE_PAIRS = 500_000
+CACHE_WORDS = 200_000
+CACHE_PAIRS = 300_000
 
 
 class PieceModel:
@@ -235,8 +235,8 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 4000):
-                part = batch.slice(at, 4000)
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
                 null = pc.is_null(part.column(1))
                 offsets, ids = m.encode_batch(pc.fill_null(part.column(1), "").to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
