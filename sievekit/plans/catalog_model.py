@@ -139,7 +139,7 @@ def q_m05(spark, sf_dir):
 
 def _z_sql() -> str:
     cols = ", ".join(
-        f"ROUND((sp.{c} - st.{c}_m) / COALESCE(NULLIF(st.{c}_s, 0), 1.0), 9) AS {c}" for c in EDA_COLS)
+        f"ROUND((sp.{c} - st.{c}_m) / COALESCE(NULLIF(st.{c}_s, 0), 1.0), 6) AS {c}" for c in EDA_COLS)
     stats = ", ".join(f"AVG({c}) AS {c}_m, STDDEV_POP({c}) AS {c}_s" for c in EDA_COLS)
     return _SPLIT + f""",
 st AS (SELECT {stats} FROM sp WHERE NOT is_test)
@@ -150,7 +150,8 @@ SELECT sp.ticker, sp.is_test, {cols} FROM sp, st"""
 def q_m06(spark, sf_dir):
     sp = materialize(M.stratified_split(screened(spark, sf_dir)))
     scaler = M.fit_scaler(sp.where(~F.col("is_test")), EDA_COLS)
-    return rounded(scaler.transform(sp).select("ticker", "is_test", *EDA_COLS))
+    # means and deviations carry summation noise: compare six decimals
+    return rounded(scaler.transform(sp).select("ticker", "is_test", *EDA_COLS), 6)
 
 
 @register("m07_test_metadata", O.with_ctes(*_SCR, body=_SPLIT + """
