@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
+from .frames import free_prefix, trimmed
 from .words import ALNUM, Words, hash_words, mix64, slices, string_buffers
 
 WINDOW = 10
@@ -145,12 +146,12 @@ _FIELDS = [StructField("n_words", LongType()), StructField("n_hit", LongType()),
            StructField("spans", ArrayType(LongType())), StructField("items", ArrayType(StringType()))]
 
 
-def _scan(tables, last: bool, prefix: str):
+def _scan(tables, last: bool, prefix: str, at_text: int, n_kept: int):
     """Add the hits of one benchmark block; the last pass gives the digest columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = string_buffers(batch.column(batch.num_columns - 3))
+            raw, offsets = string_buffers(batch.column(at_text))
             spans = batch.column(batch.num_columns - 2).to_pylist()
             items = batch.column(batch.num_columns - 1).to_pylist()
             n_words = np.zeros(batch.num_rows, np.int64)
@@ -178,12 +179,12 @@ def _scan(tables, last: bool, prefix: str):
                 continue
             n_hit = [sum(x[1::2]) - sum(x[::2]) for x in spans]
             yield pa.record_batch(
-                [*batch.columns[:-3], pa.array(n_words), pa.array(n_hit, pa.int64()),
+                [*batch.columns[:n_kept], pa.array(n_words), pa.array(n_hit, pa.int64()),
                  pa.array([len(x) for x in items], pa.int64()),
                  pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
                  pa.array([n > 0 for n in n_hit], pa.bool_()), pa.array(spans, pa.list_(pa.int64())),
                  pa.array(items, pa.list_(pa.string()))],
-                names=[*batch.schema.names[:-3], *(prefix + f.name for f in _FIELDS)])
+                names=[*batch.schema.names[:n_kept], *(prefix + f.name for f in _FIELDS)])
 
     return run
 
@@ -217,18 +218,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
     n_blocks = max(1, -(-chars // (5 * block_words)))
     kept = [F.col(f"`{c}`") for c in keep] if keep else [F.col(f"`{id_col}`").cast("long").alias("doc_id")]
-    now = docs.select(*kept, F.col(f"`{text_col}`").cast("string").alias("_whole_text"),
-                      F.lit(None).cast("array<bigint>").alias("_spans_so_far"), F.lit(None).cast("array<string>").alias("_items_so_far"))
-    done = StructType([*now.schema.fields[:-3], *(StructField(prefix + f.name, f.dataType) for f in _FIELDS)])
+    same = bool(keep) and text_col in keep and dict(docs.dtypes)[text_col] == "string"
+    at_text, n_kept = keep.index(text_col) if same else len(kept), len(kept)
+    p = free_prefix(list(keep or ["doc_id"]), ("whole_text", "spans_so_far", "items_so_far"))
+    text = [] if same else [F.col(f"`{text_col}`").cast("string").alias(p + "whole_text")]
+    now = docs.select(*kept, *text, F.lit(None).cast("array<bigint>").alias(p + "spans_so_far"),
+                      F.lit(None).cast("array<string>").alias(p + "items_so_far"))
+    done = StructType([*now.schema.fields[:n_kept], *(StructField(prefix + f.name, f.dataType) for f in _FIELDS)])
     for b in range(n_blocks):
         part = source.where(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == b)
         tables = docs.sparkSession.sparkContext.broadcast(build_patterns([(r[0], r[1]) for r in part.collect()], window))
         last = b == n_blocks - 1
-        now = now.mapInArrow(_scan(tables, last, prefix), done if last else now.schema)
+        now = now.mapInArrow(trimmed(_scan(tables, last, prefix, at_text, n_kept)), done if last else now.schema)
     return now
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) without any benchmark window."""
-    rows = contamination(docs, benchmark, keep=tuple(docs.columns), prefix="_")
-    return rows.where("not _contaminated").select(*[F.col(f"`{c}`") for c in docs.columns])
+    p = free_prefix(docs.columns, tuple(f.name for f in _FIELDS))
+    rows = contamination(docs, benchmark, keep=tuple(docs.columns), prefix=p)
+    return rows.where(~F.col(p + "contaminated")).select(*[F.col(f"`{c}`") for c in docs.columns])

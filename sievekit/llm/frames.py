@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -29,6 +30,31 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Hand freed memory back to the system: Python workers outlive tasks, and their
+    allocators keep what a task has freed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def trimmed(fn):
+    """The batch function ``fn``, releasing freed memory after each batch and at its end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def one_by_one() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                del batch
+                release_memory()
+
+        yield from fn(one_by_one())
+        release_memory()
+
+    return run
+
+
 def columns_as(df: DataFrame, **wanted: tuple[str, str]) -> DataFrame:
     """``df`` with only the wanted columns, name=(source column, type); a column that has
     its name and type already is taken as it is, which keeps equal plans equal."""
@@ -37,6 +63,15 @@ def columns_as(df: DataFrame, **wanted: tuple[str, str]) -> DataFrame:
                        for name, (src, kind) in wanted.items()])
 
 
+def free_prefix(columns: list[str], names: tuple[str, ...]) -> str:
+    """Underscores that make none of the prefixed names one of the columns."""
+    prefix = "_"
+    taken = {c.lower() for c in columns}
+    while any(prefix + n in taken for n in names):
+        prefix += "_"
+    return prefix
+
+
 def grouped_rows(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Consecutive rows with one value of ``key`` as one table (rows come sorted by key)."""
     held: list[pa.RecordBatch] = []

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from .frames import free_prefix, trimmed
+
 LETTERS = 46            # of the alphabet, besides the blank and the code of other letters
 ORDERS = (1, 2, 3)
 #: bounds of the training sample: texts per language, and characters taken from each of those texts
@@ -183,21 +185,27 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                texts = pc.fill_null(part.column(part.num_columns - 1), "")
+                texts = pc.fill_null(part.column(at_text), "")
                 known = np.asarray(pc.match_substring_regex(texts, r"\p{L}").to_pylist(), bool) & bool(m.languages)
                 lang = np.full(len(part), UNDETERMINED, object)
                 score = np.zeros(len(part))
                 if known.any():
                     lang[known], score[known] = m.predict(texts.filter(pa.array(known)).to_pylist())
-                yield pa.record_batch([*part.columns[:-1], pa.array(lang, pa.string()), pa.array(score)],
-                                      names=[*part.schema.names[:-1], *names[1:]])
+                yield pa.record_batch([*part.columns[:n_kept], pa.array(lang, pa.string()), pa.array(score)],
+                                      names=[*part.schema.names[:n_kept], *names[1:]])
 
-    rows = docs.select(*kept, out.alias(names[0]), text.alias("_whole_text"))
-    schema = StructType([*rows.schema.fields[:-1], StructField(names[1], StringType()), StructField(names[2], DoubleType())])
-    return rows.mapInArrow(run, schema)
+    rows = docs.select(*kept, out.alias(names[0]))
+    n_kept = len(rows.columns)
+    same = bool(keep) and text_col in keep and dict(docs.dtypes)[text_col] == "string"
+    at_text = keep.index(text_col) if same else n_kept
+    if not same:
+        rows = docs.select(*kept, out.alias(names[0]), text.alias(free_prefix(rows.columns, ("whole_text",)) + "whole_text"))
+    schema = StructType([*rows.schema.fields[:n_kept], StructField(names[1], StringType()), StructField(names[2], DoubleType())])
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` (all columns) whose language is determined with at least ``min_score``."""
-    rows = identify(docs, keep=tuple(docs.columns), prefix="_")
-    return rows.where((F.col("_lang_pred") != UNDETERMINED) & (F.col("_score") >= min_score)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    p = free_prefix(docs.columns, ("held_out", "lang_pred", "score"))
+    rows = identify(docs, keep=tuple(docs.columns), prefix=p)
+    return rows.where((F.col(p + "lang_pred") != UNDETERMINED) & (F.col(p + "score") >= min_score)).select(*[F.col(f"`{c}`") for c in docs.columns])

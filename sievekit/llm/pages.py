@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import trimmed
+
 #: a path needs this many votes, and this share of its host's pages, to win
 MIN_VOTES = 2
 MIN_SHARE = 0.01
@@ -207,7 +209,7 @@ def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     is a few rows per task; a host has at most 1 / MIN_SHARE winners.
     """
     votes = (pages.select(F.col(f"`{url_col}`").cast("string"), F.col(f"`{html_col}`").cast("string"))
-             .mapInArrow(_vote, "host string, path string").groupBy("host", "path").agg(F.count("*").alias("n")))
+             .mapInArrow(trimmed(_vote), "host string, path string").groupBy("host", "path").agg(F.count("*").alias("n")))
     total = votes.groupBy("host").agg(F.sum("n").alias("total"))
     return (votes.join(total, "host").where((F.col("n") >= MIN_VOTES) & (F.col("n") >= MIN_SHARE * F.col("total")))
             .groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), "path"))).alias("w"))
@@ -228,4 +230,4 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     host = F.udf(host_of, "string")
     return (rows.withColumn("host", host("url")).join(winners, "host", "left")
             .select("page_id", "url", "html", "winners")
-            .mapInArrow(_extract, "page_id long, url string, text string, n_chars long"))
+            .mapInArrow(trimmed(_extract), "page_id long, url string, text string, n_chars long"))

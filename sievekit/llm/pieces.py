@@ -28,9 +28,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import trimmed
+
 MARK = "▁"
 #: words, and judged pairs, remembered per Python worker
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 CACHE_PAIRS = 300_000
 
 
@@ -235,8 +237,8 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
                 null = pc.is_null(part.column(1))
                 offsets, ids = m.encode_batch(pc.fill_null(part.column(1), "").to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
@@ -248,7 +250,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
     return (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         F.col(f"`{text_col}`").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, ids array<int>, n_pieces long, decoded string"))
+            .mapInArrow(trimmed(run), "doc_id long, ids array<int>, n_pieces long, decoded string"))
 
 
 def decode(rows: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stored
+from .frames import free_prefix, stored, trimmed
 
 KINDS = ("email", "ipv4", "card", "iban", "ssn", "phone", "name")
 
@@ -175,7 +175,7 @@ def entity_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield pa.record_batch([pa.array(kinds, pa.string()), pa.array(ents, pa.string())], names=["kind", "entity"])
 
     return (docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
-            .mapInArrow(run, "kind string, entity string").distinct())
+            .mapInArrow(trimmed(run), "kind string, entity string").distinct())
 
 
 def settled_turns(found: DataFrame, key: bytes, rounds: int = 40) -> DataFrame:
@@ -260,7 +260,8 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text", keep: tup
     total = turns.count()
     blocks = max(1, -(-total // turns_at_once))
     kept = [F.col(f"`{c}`") for c in keep]
-    now = docs.select(*kept, F.col(f"`{text_col}`").cast("string").alias("_text"), F.lit(None).cast("array<int>").alias("_turns"))
+    p = free_prefix(list(keep), ("text", "turns"))
+    now = docs.select(*kept, F.col(f"`{text_col}`").cast("string").alias(p + "text"), F.lit(None).cast("array<int>").alias(p + "turns"))
     from pyspark.sql.types import LongType, StringType, StructField, StructType
     done = StructType([*now.schema.fields[:-2], StructField("text", StringType()), StructField(f"{prefix}n_entities", LongType()),
                        StructField(f"{prefix}entities", StringType())])
@@ -268,5 +269,5 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text", keep: tup
         rows = turns.where(F.pmod(F.xxhash64("kind", "entity"), F.lit(blocks)) == b).collect() if total else []
         table = docs.sparkSession.sparkContext.broadcast({(r["kind"], r["entity"]): r["turn"] for r in rows})
         last = b == blocks - 1
-        now = now.mapInArrow(_apply(secret, table, last, prefix), done if last else now.schema)
+        now = now.mapInArrow(trimmed(_apply(secret, table, last, prefix)), done if last else now.schema)
     return now

@@ -70,7 +70,33 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "ids", "n_pieces", "decoded", F.length("decoded").cast("long").alias("n_chars"))
 
 
-@query("op10_decontamination")
+OP10_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+pats AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, w[i:i+9] AS p
+  FROM bw, LATERAL (SELECT unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i) WHERE len(w) > 0),
+places AS (
+  SELECT doc_id, i, m, w[i:i+m-1] AS p FROM dw, (SELECT DISTINCT len(p) AS m FROM pats) l,
+    LATERAL (SELECT unnest(range(1, len(w) - m + 2)) AS i)),
+occ AS (SELECT doc_id, i, m, item FROM places JOIN pats USING (p)),
+hits AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + m)) AS pos FROM (SELECT DISTINCT doc_id, i, m FROM occ)) GROUP BY 1),
+found AS (
+  SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM occ WHERE item IS NOT NULL) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+@query("op10_decontamination", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
@@ -129,7 +155,27 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-@query("op8_suffix_dedup")
+OP8_SQL = r"""
+WITH h AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+win AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s FROM h, LATERAL (SELECT unnest(range(0, n - 49)) AS i)),
+first_in AS (SELECT s, min(doc_id) AS d FROM win GROUP BY s HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, i + k AS pos FROM win JOIN first_in USING (s), range(50) r(k) WHERE doc_id > d),
+spans AS (
+  SELECT doc_id, count(*) AS n_removed, count(CASE WHEN before IS NULL OR before < pos - 1 THEN 1 END) AS n_spans
+  FROM (SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM gone) GROUP BY 1),
+kept AS (
+  SELECT doc_id, string_agg(b, '' ORDER BY pos) AS k
+  FROM (SELECT doc_id, pos, substr(x, 2 * pos + 1, 2) AS b FROM h, LATERAL (SELECT unnest(range(0, n)) AS pos)) a
+  ANTI JOIN gone USING (doc_id, pos) GROUP BY 1)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, ''))) AS kept_sha256
+FROM h LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op8_suffix_dedup", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substrings import without_repeats
     rows = without_repeats(table(spark, sf_dir, "documents"), keep_text=False)

@@ -19,8 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import trimmed
+
 #: characters before and after a part that make up its scope
 SCOPE = 200
+#: no key-like string is longer
+KEY_MAX = 70
 
 # fixed values: the base patterns, each with its least length
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -78,7 +82,9 @@ def linked_spans(text: str, base: list[Span], scope: int = SCOPE) -> list[Span]:
     beside_name = _Reach(names)
     keys: list[Span] = []
     # key-like strings are looked for only inside the joined scopes of the other parts
-    for lo, hi in _joined([(max(0, s - scope), min(len(text), e + scope)) for s, e, _ in names]):
+    # (and a key's length around them, so that none is cut)
+    reach = scope + KEY_MAX
+    for lo, hi in _joined([(max(0, s - reach), min(len(text), e + reach)) for s, e, _ in names]):
         keys += [(m.start(), m.end(), "key") for m in _WEAK_KEY.finditer(text, lo, hi)]
     keys = [k for k in dict.fromkeys(keys) if beside_name.end(k[1] + scope) >= k[0] - scope]
     beside_secret = _Reach([s for s in base if s[2] != "access"] + keys)
@@ -138,4 +144,4 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                   names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
     return (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"))
+            .mapInArrow(trimmed(run), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"))

@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import trimmed
+
 #: fixed value: the pre-tokenisation pattern of byte-level vocabularies
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: distinct pre-tokens remembered per Python worker, and the longest one remembered
@@ -136,4 +138,4 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
 
     return (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         F.col(f"`{text_col}`").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean"))
+            .mapInArrow(trimmed(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean"))

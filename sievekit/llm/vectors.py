@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import grouped_rows, stored
+from .frames import grouped_rows, stored, trimmed
 
 THRESHOLD = 0.98
 WINDOW = 24
@@ -208,15 +208,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     """
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{label_col}`").cast("string").alias("label"),
                           F.col(f"`{vec_col}`").alias("embedding"))
-    clean = stored(rows.mapInArrow(_clean, "vec_id long, label string, vec binary"))
+    clean = stored(rows.mapInArrow(trimmed(_clean), "vec_id long, label string, vec binary"))
     usable = clean.where("vec is not null and vec_id is not null")
     classes = stored(usable.groupBy("label", "vec").agg(F.min("vec_id").alias("cls"), F.count("*").alias("n")))
     steps = passes_for(classes.count(), threshold, window)
     found = stored(classes.select("cls", "label", "vec")
-                   .mapInArrow(_hashed(steps), "pass int, label string, dim int, hash long, cls long, vec binary")
+                   .mapInArrow(trimmed(_hashed(steps)), "pass int, label string, dim int, hash long, cls long, vec binary")
                    .repartitionByRange("pass", "label", "dim", "hash", "cls")
                    .sortWithinPartitions("pass", "label", "dim", "hash", "cls")
-                   .mapInArrow(_pass_pairs(threshold, window), _FOUND))
+                   .mapInArrow(trimmed(_pass_pairs(threshold, window)), _FOUND))
     ends = found.where("side is not null")
     # one row per partition: the partition that follows it among those with rows
     order = ends.select("pid").distinct().selectExpr("pid", "lag(pid) over (order by pid) as junction")
@@ -225,7 +225,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     cols = ["junction", "pass", "label", "dim", "place", F.col("a").alias("cls"), "vec"]
     edges = (lasts.select(F.lit("0last").alias("side"), *cols).union(firsts.select(F.lit("1first").alias("side"), *cols))
              .repartition("junction").sortWithinPartitions("junction", "side", "place")
-             .mapInArrow(_junction_pairs(threshold, window), "a long, b long"))
+             .mapInArrow(trimmed(_junction_pairs(threshold, window)), "a long, b long"))
     links = found.where("side is null").select("a", "b").union(edges)
     groups = stored(components(links).select(F.col("node").alias("cls"), "component"))
 
@@ -236,7 +236,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
               .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
               .select(F.xxhash64("component", "low", "high").alias("key"), "low", "high", "own", "cls", "n", "vec")
               .repartition("key").sortWithinPartitions("key"))
-    counted = blocks.mapInArrow(_block_links(threshold), "cls long, links long").groupBy("cls").agg(F.sum("links").alias("links"))
+    counted = blocks.mapInArrow(trimmed(_block_links(threshold)), "cls long, links long").groupBy("cls").agg(F.sum("links").alias("links"))
     by_class = (classes.join(groups, "cls", "left").join(counted, "cls", "left")
                 .select("label", "vec", F.coalesce("component", "cls").alias("component_id"),
                         (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")))
