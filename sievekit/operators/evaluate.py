@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType
 
-from ..functions.nulls import bounded_distinct
+from ..functions.nulls import MAX_LABELS, bounded_distinct
 from ..functions.quantiles import qname, quantiles
 from ..functions.ranks import average_ranks, prefix_table
 from ..functions.stats import safe_corr, scalars
@@ -21,11 +21,11 @@ from ..functions.stats import safe_corr, scalars
 BUY, HOLD, SELL = "Buy", "Hold", "Sell"
 
 
-def class_list(df: DataFrame, *cols: str) -> list[str]:
-    """Sorted distinct labels over ``cols`` (a bounded, tiny list)."""
+def class_list(df: DataFrame, *cols: str, limit: int = MAX_LABELS) -> list[str]:
+    """Sorted distinct labels over ``cols``; more than ``limit`` in a column raise."""
     vals: set[str] = set()
     for c in cols:
-        vals |= set(bounded_distinct(df, c))
+        vals |= set(bounded_distinct(df, c, limit))
     return sorted(vals)
 
 

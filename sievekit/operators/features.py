@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, DoubleType, LongType
 
-from ..functions.nulls import bounded_distinct
+from ..functions.nulls import MAX_LABELS, bounded_distinct
 from ..functions.stats import scalars
 from ..sources.conform import dense_index
 
@@ -23,11 +23,12 @@ LABEL_ORDER = "alphabetAsc"
 
 
 # --------------------------------------------------------------------- M1/M2
-def fit_categories(df: DataFrame, col: str = "sector", missing: str = "Unknown") -> list[str]:
-    """Sorted distinct categories (the fitted list; a bounded collect)."""
+def fit_categories(df: DataFrame, col: str = "sector", missing: str = "Unknown",
+                   limit: int = MAX_LABELS) -> list[str]:
+    """Sorted distinct categories (the fitted list; more than ``limit`` raise)."""
     if col not in df.columns:
         return [missing]
-    return bounded_distinct(df.select(F.coalesce(F.col(col), F.lit(missing)).alias("c")), "c")
+    return bounded_distinct(df.select(F.coalesce(F.col(col), F.lit(missing)).alias("c")), "c", limit)
 
 
 def one_hot(df: DataFrame, categories: Sequence[str], col: str = "sector",
@@ -182,3 +183,12 @@ def test_metadata(split: DataFrame, flag: str = "is_test",
                   cols: Sequence[str] = ID_AND_LABELS) -> DataFrame:
     """M7: identifiers and labels of the test rows (carried, not re-joined)."""
     return split.where(F.col(flag)).select(*[c for c in cols if c in split.columns])
+
+
+def split_report(split: DataFrame, label: str = "target", flag: str = "is_test") -> DataFrame:
+    """Rows and class shares of the train and test sides: (side, label, n, share)."""
+    side = F.when(F.col(flag), "test").otherwise("train").alias("side")
+    counts = split.groupBy(side, F.col(label)).agg(F.count(F.lit(1)).alias("n"))
+    # a window over the counts only: two sides x classes rows
+    total = F.sum("n").over(Window.partitionBy("side"))
+    return counts.withColumn("share", F.col("n").cast(DoubleType()) / total)

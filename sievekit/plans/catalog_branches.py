@@ -27,7 +27,7 @@ from . import oracle_sql as O
 from .catalog_eval import _REPORT
 from .catalog_model import _SPLIT, EDA_COLS
 from .registry import register, rounded, sel
-from .workflow import cleaned, labelled, screened
+from .workflow import cleaned, labelled, main_analysis, screened
 
 RAW_D = [*O.FEATURES, "forward_return"]
 _LAB = O.clean_prefix(O.LABELLED)
@@ -208,6 +208,30 @@ def q_m04(spark, sf_dir):
             .agg(F.count(F.when(F.col("is_test"), 1)).alias("n_test"), F.count(F.when(~F.col("is_test"), 1)).alias("n_train")))
 
 
+@register("m07_split_report", O.with_ctes(*_SCR, body=_SPLIT + """
+SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS side, target, COUNT(*) AS n,
+       ROUND(CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER (PARTITION BY is_test), 9) AS share
+FROM sp GROUP BY is_test, target"""))
+def q_m07(spark, sf_dir):
+    return rounded(M.split_report(M.stratified_split(screened(spark, sf_dir))))
+
+
+@register("m02_feature_list_with_distances", O.with_ctes(*_LAB, body=f"""
+, s AS (SELECT DISTINCT sector FROM labelled)
+SELECT unnest([{", ".join(f"'{c}'" for c in [*EDA_COLS, *_DERIVED, R.MIN_DISTANCE])}]) AS feature
+UNION ALL SELECT 'sector_' || sector FROM s WHERE sector <> (SELECT MIN(sector) FROM s)"""))
+def q_m02(spark, sf_dir):
+    """The interactive feature set: ratios, sector dummies and the six distance columns."""
+    prep = T.prepare(R.screen_with_distances(labelled(spark, sf_dir)))
+    return spark.createDataFrame([(f,) for f in prep.features], "feature string")
+
+
+@register("a02_interactive_analysis", None)
+def q_a02(spark, sf_dir):
+    """The workflow with distance columns as features; rows only, as the fit is iterative."""
+    return main_analysis(spark, sf_dir, tune=False, distances=True).metrics
+
+
 # --------------------------------------------------------------------- evaluation
 @register("v01_unknown_signal", O.with_ctes(O.FUNDAMENTALS, O.SCORED, body=f"""
 , codes AS (SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS BIGINT) AS code

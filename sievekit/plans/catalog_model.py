@@ -76,13 +76,14 @@ _NORM = repr(1.0 / math.sqrt(2 * math.pi))
 , lx AS ({_unpivot_sql("labelled")}),
 st AS (SELECT feature, hue, COUNT(*) AS n, STDDEV_SAMP(x) AS sd, MIN(x) AS lo, MAX(x) AS hi
        FROM lx GROUP BY feature, hue),
-st2 AS (SELECT *, sd * POW(CAST(n AS DOUBLE), -0.2) AS h FROM st WHERE n >= 2 AND sd > 0),
-bn AS (SELECT lx.feature, lx.hue, st2.n, st2.h, st2.lo, st2.hi,
-         CAST(CASE WHEN st2.hi - st2.lo > 0 THEN LEAST(FLOOR((lx.x - st2.lo) / (st2.hi - st2.lo) * 1024), 1023)
+st1 AS (SELECT *, sd * POW(CAST(n AS DOUBLE), -0.2) AS h FROM st WHERE n >= 2 AND sd > 0),
+st2 AS (SELECT *, CEIL((hi - lo) / (h / 20)) AS nb FROM st1),
+bn AS (SELECT lx.feature, lx.hue, lx.x, st2.n, st2.h, st2.lo, st2.hi, st2.nb,
+         CAST(CASE WHEN st2.hi - st2.lo > 0 THEN LEAST(FLOOR((lx.x - st2.lo) / (st2.hi - st2.lo) * nb), nb - 1)
               ELSE 0 END AS BIGINT) AS b
        FROM lx JOIN st2 ON lx.feature = st2.feature AND lx.hue = st2.hue),
 bw AS (SELECT feature, hue, n, h, lo, hi, b, COUNT(*) AS w,
-              lo + (b + 0.5) * (hi - lo) / 1024 AS c FROM bn GROUP BY feature, hue, n, h, lo, hi, b),
+              AVG(x) AS c FROM bn GROUP BY feature, hue, n, h, lo, hi, nb, b),
 pts AS (SELECT bw.*, g.g, lo - 3.0 * h AS g_lo, ((hi + 3.0 * h) - (lo - 3.0 * h)) / 199 AS step
         FROM bw CROSS JOIN (SELECT CAST(range AS INTEGER) AS g FROM range(0, 200)) g),
 ct AS (SELECT feature, hue, g, n, h, g_lo + g * step AS x,

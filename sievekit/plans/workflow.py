@@ -17,7 +17,7 @@ from ..operators import evaluate as V
 from ..operators import model as T
 from ..operators.clean import CleanConfig, clean_and_engineer, fit_clean
 from ..operators.labels import BATCH_POLICY, LabelPolicy, quantile_label
-from ..operators.rules import STRICT, Rulebook, screen
+from ..operators.rules import INCLUSIVE, STRICT, Rulebook, screen, screen_with_distances
 from ..session import materialize
 from ..sources.fixtures import fundamentals
 
@@ -57,14 +57,17 @@ class AnalysisResult:
 
 
 def main_analysis(spark: SparkSession, sf_dir: str, tune: bool = True,
-                  cfg: CleanConfig = CleanConfig()) -> AnalysisResult:
+                  cfg: CleanConfig = CleanConfig(), distances: bool = False) -> AnalysisResult:
     """The batch workflow end to end: ingest -> clean -> label -> screen ->
-    prepare -> tune/train -> evaluate rules vs model on the test rows."""
+    prepare -> tune/train -> evaluate rules vs model on the test rows.
+    ``distances`` takes the interactive variant: the inclusive rulebook, whose
+    distance columns then are features as well."""
     clean, cleaner = fit_clean(fundamentals(spark, sf_dir), cfg)
     clean = materialize(clean, cfg.barrier)
     if clean.isEmpty():
         raise ValueError("cleaning left no rows to analyse")
-    df = screen(quantile_label(clean, BATCH_POLICY, method=cfg.quantile_method), STRICT)
+    df = quantile_label(clean, BATCH_POLICY, method=cfg.quantile_method)
+    df = screen_with_distances(df, INCLUSIVE) if distances else screen(df, STRICT)
     prep = T.prepare(df, barrier=cfg.barrier, cleaner=cleaner)
     model = T.train_screen_model(prep, tune=tune)
     pred = materialize(model.predict(prep.test, keep=["ticker", "forward_return", "target",

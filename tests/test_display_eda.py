@@ -61,3 +61,16 @@ def test_correlation_diagonal_and_constant(spark):
     assert m[("a", "a")] == pytest.approx(1.0) and m[("a", "b")] == m[("b", "a")]
     assert m[("a", "c")] is None and m[("c", "c")] is None
     assert not math.isnan(m[("a", "b")])
+
+
+def test_kde_is_near_the_exact_density(spark):
+    import numpy as np
+
+    from sievekit.operators import eda as E
+    r = np.random.default_rng(3)
+    x = np.concatenate([r.normal(0, 1, 700), r.normal(5, 0.2, 300), [60.0]])
+    df = spark.createDataFrame([(float(v), "A") for v in x], "x double, target string")
+    k = E.kde_curves(df, ["x"], "target").toPandas().sort_values("grid_idx")
+    h = x.std(ddof=1) * len(x) ** -0.2
+    exact = np.exp(-0.5 * ((k["x"].to_numpy()[:, None] - x) / h) ** 2).sum(axis=1) / (len(x) * h * np.sqrt(2 * np.pi))
+    assert np.abs(k["density"] - exact).max() < 5e-4 * exact.max()
