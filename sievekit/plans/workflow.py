@@ -23,13 +23,15 @@ from ..sources.fixtures import fundamentals
 
 
 def cleaned(spark: SparkSession, sf_dir: str, cfg: CleanConfig = CleanConfig()) -> DataFrame:
-    """fundamentals -> C1..C12, materialized (it feeds the label statistic)."""
-    return materialize(clean_and_engineer(fundamentals(spark, sf_dir), cfg), cfg.barrier)
+    """fundamentals -> C1..C12: a projection of the chain's one written barrier."""
+    return clean_and_engineer(fundamentals(spark, sf_dir), cfg)
 
 
 def labelled(spark: SparkSession, sf_dir: str, policy: LabelPolicy = BATCH_POLICY,
              cfg: CleanConfig = CleanConfig()) -> DataFrame:
-    return quantile_label(cleaned(spark, sf_dir, cfg), policy, method=cfg.quantile_method)
+    # written once: the label statistic reads it, and so do those who use the labels
+    clean = materialize(cleaned(spark, sf_dir, cfg), cfg.barrier)
+    return quantile_label(clean, policy, method=cfg.quantile_method)
 
 
 def screened(spark: SparkSession, sf_dir: str, rulebook: Rulebook = STRICT,
