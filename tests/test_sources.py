@@ -104,7 +104,7 @@ def test_forward_return_matches_bruteforce_with_gaps(spark):
 def test_data_dictionary_defaults(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "ROE double, mystery double")
     d = {r.column: r.meaning for r in S.data_dictionary(spark, df).collect()}
-    assert d["ROE"].startswith("Return on Equity") and d["mystery"] == S.DEFAULT_DEFINITION
+    assert d["ROE"] == S.COLUMN_DEFINITIONS["ROE"] and d["mystery"] == S.DEFAULT_DEFINITION
 
 
 def test_date_window_defaults_to_today(spark):
