@@ -115,7 +115,23 @@ def _window_pairs(batch: pa.RecordBatch, threshold: float, window: int, old: int
             a.append(ids[hit])
             b.append(ids[hit + d])
     none = np.zeros(0, np.int64)
-    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+    return _spanning(np.concatenate(a), np.concatenate(b)) if a else (none, none)
+
+
+def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The links that join something not joined by those before them: a dense group sends
+    one link a row instead of all its pairs."""
+    up: dict[int, int] = {}
+    keep = []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        while (p := up.setdefault(x, x)) != x:
+            up[x] = x = up[p]
+        while (p := up.setdefault(y, y)) != y:
+            up[y] = y = up[p]
+        if x != y:
+            up[y] = x
+            keep.append(k)
+    return a[keep], b[keep]
 
 
 def _found(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
