@@ -1,16 +1,23 @@
-"""Embedding near-duplicates by sorted projection passes (operator 3).
-
-In each pass a vector gets a hash of concatenated random hyperplane bits; the
-rows are range-partitioned and sorted by (pass, label, hash), which orders them
-lexicographically, and each row is compared with its ``WINDOW`` followers.  Rows
-at partition ends are compared with the start of the next partition in a second
-small step.  Verified pairs of all passes are united to components.  Within a
-component all pairs are then compared in blocks, so a group larger than the
-window loses no link.  Equal vectors are collapsed first and counted.
-
-The number of passes follows from the number of vectors: a pair at the
-threshold keeps the same first ``log2(n / WINDOW)`` bits in a pass with a known
-probability, and passes are added until a miss in all of them is below ``MISS``.
+"""Embedding near-duplicates by hyperplane buckets, compared in full (operator 3).
+
+In each pass a vector gets a hash of concatenated random hyperplane bits.  Two
+vectors share the first ``bits`` bits of a pass with a probability that depends
+on their angle alone, so passes are added until a pair at the threshold shares
+them in none with probability below ``MISS``; this holds for any data, as every
+bucket (rows of one pass, label and prefix) is compared in full.
+
+Dense groups are joined first: in ``SEED`` passes the rows are range-partitioned
+and sorted by (pass, label, hash), each row is compared with its ``WINDOW``
+followers, and rows at partition ends with the start of the next partition in a
+second small step.  What is joined then needn't be compared again, so a bucket
+costs its largest component times the rest.  The number of bits follows from
+counts of the rows a bucket holds, not from the number of vectors alone: vectors
+in a cone share many bits, and more bits and passes are cheaper there than large
+buckets.  Buckets over a block are compared by pairs of blocks.
+
+Verified pairs of all passes are united to components.  Within a component all
+pairs are then compared in blocks, so no link inside it is lost.  Equal vectors
+are collapsed first and counted.
 """
 
 from __future__ import annotations
@@ -31,17 +38,34 @@ THRESHOLD = 0.98
 WINDOW = 24
 MISS = 1e-3
 BITS = 62
-#: rows of one block of the all-pairs step inside a component
+#: passes of windows that join dense groups before the buckets are compared
+SEED = 4
+#: rows of a bucket when hashes are spread evenly; bits added at a time where they aren't
+EVEN = 256
+STEP = 4
+#: passes counted to choose the bits, and the comparisons that cost as much as a row of a pass
+TRIALS = 3
+ROW_COST = 1000
+#: rows of one block of the all-pairs steps
 BLOCK = 2048
 
 
-def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, miss: float = MISS) -> int:
-    """Passes until a pair at the threshold is missed with probability below ``miss``."""
-    bits = max(1.0, math.log2(max(n, 2) / window) + 1)
+def bits_for(n: int) -> int:
+    """Bits that leave ``EVEN`` rows or fewer a bucket if hashes are spread evenly."""
+    return max(1, math.ceil(math.log2(max(n, 2) / EVEN)))
+
+
+def passes_at(bits: int, threshold: float = THRESHOLD, miss: float = MISS) -> int:
+    """Passes until a pair at the threshold shares no bucket with probability below ``miss``."""
     agree = (1 - math.acos(threshold) / math.pi) ** bits
     return max(4, math.ceil(math.log(miss) / math.log(1 - agree)))
 
 
+def passes_for(n: int, threshold: float = THRESHOLD, miss: float = MISS) -> int:
+    """The passes of ``n`` vectors whose hashes are spread evenly."""
+    return passes_at(bits_for(n), threshold, miss)
+
+
 def _planes(step: int, dim: int) -> np.ndarray:
     return np.random.default_rng([step, dim]).standard_normal((dim, BITS))
 
@@ -186,6 +210,105 @@ def _junction_pairs(threshold: float, window: int):
     return run
 
 
+def _bucketed(n_passes: int, bits: int, with_vec: bool):
+    """(pass, label, dim, prefix, cls, component[, vec]) for every pass (rows cls, label, vec, component)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = _hashed(n_passes)
+        for batch in batches:
+            component = dict(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True))
+            for h in hashed(iter([batch.select([0, 1, 2])])):
+                step, label, dim, value, cls, vec = h.columns
+                cols = [step, label, dim, pa.array(value.to_numpy() >> (BITS - bits)), cls,
+                        pa.array([component[c] for c in cls.to_pylist()], pa.int64())]
+                yield pa.record_batch([*cols, vec] if with_vec else cols,
+                                      names=["pass", "label", "dim", "prefix", "cls", "component", *(["vec"] if with_vec else [])])
+
+    return run
+
+
+_BUCKET = ["pass", "label", "dim", "prefix"]
+_BUCKETED = "pass int, label string, dim int, prefix long, cls long, component long"
+
+
+def _bucket_counts(rows: DataFrame, n_passes: int, bits: int) -> DataFrame:
+    """Per bucket: n rows, the largest component ``big`` with ``m`` of them, and the ``rest``."""
+    return (rows.mapInArrow(trimmed(_bucketed(n_passes, bits, False)), _BUCKETED)
+            .groupBy(*_BUCKET, "component").agg(F.count("*").alias("m"))
+            .groupBy(*_BUCKET).agg(F.sum("m").alias("n"), F.max(F.struct("m", "component")).alias("most"))
+            .select(*_BUCKET, "n", F.col("most.component").alias("big"), F.col("most.m").alias("m"), (F.col("n") - F.col("most.m")).alias("rest")))
+
+
+def _chosen_bits(rows: DataFrame, n: int, threshold: float) -> int:
+    """The bits whose passes cost least, rows and comparisons counted."""
+
+    def compared(bits: int) -> float:
+        total = _bucket_counts(rows, TRIALS, bits).agg(F.sum(F.col("rest").cast("double") * F.col("n"))).first()[0]
+        return (total or 0.0) / TRIALS
+
+    bits = bits_for(n)
+    pairs = compared(bits)
+    while pairs > ROW_COST * n and bits + STEP <= BITS:
+        fewer = compared(bits + STEP)
+        if passes_at(bits + STEP, threshold) * (ROW_COST * n + fewer) >= passes_at(bits, threshold) * (ROW_COST * n + pairs):
+            break
+        bits, pairs = bits + STEP, fewer
+    return bits
+
+
+def _bucket_links(threshold: float):
+    """(a, b): components linked inside a bucket, a block of it or between two (rows own, low, high, component, vec)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped_rows(batches, "key"):
+            component = group.column("component").to_numpy()
+            names, counts = np.unique(component, return_counts=True)
+            if len(names) == 1:
+                continue
+            own, low, high = (group.column(c).to_numpy() for c in ("own", "low", "high"))
+            if low[0] == high[0]:
+                left, right = np.flatnonzero(component != names[counts.argmax()]), np.arange(len(component))
+            else:
+                left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+            x = _matrix(group.column("vec").combine_chunks())
+            found = [np.zeros((0, 2), np.int64)]
+            for at in range(0, len(left), 512):
+                rows = left[at:at + 512]
+                i, j = np.nonzero(x[rows] @ x[right].T >= threshold)
+                ends = np.stack([component[rows[i]], component[right[j]]], axis=1)
+                ends = np.sort(ends[ends[:, 0] != ends[:, 1]], axis=1)
+                found.append(np.unique(ends, axis=0))
+            ends = np.concatenate(found)
+            if len(ends):
+                a, b = _spanning(ends[:, 0], ends[:, 1])
+                yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return run
+
+
+def bucket_links(rows: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """(a, b) components of ``rows`` (cls, label, vec, component) that some bucket links.
+
+    A bucket over ``block`` rows is dealt into blocks, those outside its largest
+    component first; only pairs of blocks with one of these are compared.
+    """
+    bits = _chosen_bits(rows, rows.count(), threshold)
+    steps = passes_at(bits, threshold)
+    large = (_bucket_counts(rows, steps, bits).where(F.col("n") > block)
+             .select(*_BUCKET, "big", "rest", F.ceil(F.col("rest") / block).cast("int").alias("few"),
+                     F.ceil(F.col("m") / block).cast("int").alias("many")))
+    dealt = (rows.mapInArrow(trimmed(_bucketed(steps, bits, True)), _BUCKETED + ", vec binary")
+             .join(stored(large), _BUCKET, "left").where("rest is null or rest > 0"))
+    deal, of_big = F.xxhash64("cls"), F.col("component") == F.col("big")
+    dealt = (dealt.withColumn("own", F.when(F.col("big").isNull(), 0).when(of_big, F.col("few") + F.pmod(deal, F.col("many")))
+                              .otherwise(F.pmod(deal, F.col("few"))).cast("int"))
+             .withColumn("other", F.explode(F.when(F.col("big").isNull(), F.array(F.lit(0))).when(of_big, F.sequence(F.lit(0), F.col("few") - 1))
+                                            .otherwise(F.sequence(F.lit(0), F.col("few") + F.col("many") - 1))))
+             .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+             .select(F.concat_ws("|", "pass", "dim", "prefix", "low", "high", "label").alias("key"), "low", "high", "own", "component", "vec"))
+    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(trimmed(_bucket_links(threshold)), "a long, b long")
+
+
 def _block_links(threshold: float):
     """(cls, links) inside a block or between two (rows component, low, high, own, cls, n, vec)."""
 
@@ -227,9 +350,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     clean = stored(rows.mapInArrow(trimmed(_clean), "vec_id long, label string, vec binary"))
     usable = clean.where("vec is not null and vec_id is not null")
     classes = stored(usable.groupBy("label", "vec").agg(F.min("vec_id").alias("cls"), F.count("*").alias("n")))
-    steps = passes_for(classes.count(), threshold, window)
     found = stored(classes.select("cls", "label", "vec")
-                   .mapInArrow(trimmed(_hashed(steps)), "pass int, label string, dim int, hash long, cls long, vec binary")
+                   .mapInArrow(trimmed(_hashed(SEED)), "pass int, label string, dim int, hash long, cls long, vec binary")
                    .repartitionByRange("pass", "label", "dim", "hash", "cls")
                    .sortWithinPartitions("pass", "label", "dim", "hash", "cls")
                    .mapInArrow(trimmed(_pass_pairs(threshold, window)), _FOUND))
@@ -243,6 +365,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
              .repartition("junction").sortWithinPartitions("junction", "side", "place")
              .mapInArrow(trimmed(_junction_pairs(threshold, window)), "a long, b long"))
     links = found.where("side is null").select("a", "b").union(edges)
+    joined = stored(components(links).select(F.col("node").alias("cls"), "component"))
+    rows = stored(classes.join(joined, "cls", "left").select("cls", "label", "vec", F.coalesce("component", "cls").alias("component")))
+    links = joined.select(F.col("cls").alias("a"), F.col("component").alias("b")).union(bucket_links(rows, threshold, block))
     groups = stored(components(links).select(F.col("node").alias("cls"), "component"))
 
     members = classes.join(groups, "cls")

@@ -73,3 +73,21 @@ def test_hot_group_larger_than_every_window(spark):
 
 def test_passes_follow_the_number_of_vectors():
     assert V.passes_for(100) <= V.passes_for(10**5) <= V.passes_for(10**9) < 200
+
+
+def test_vectors_in_a_cone(spark):
+    """Isolated pairs are found where far more rows than a window share their hash prefixes."""
+    r = np.random.default_rng(5)
+    n, dim = 3000, 64
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    axis = unit(r.standard_normal(dim))
+    x = unit(np.sqrt(0.9) * axis + np.sqrt(0.1) * unit(r.standard_normal((n, dim))))
+    step = r.standard_normal((n, dim))
+    step = unit(step - (step * x).sum(axis=1, keepdims=True) * x)
+    y = 0.981 * x + np.sqrt(1 - 0.981 ** 2) * step
+    rows = [(i, [float(v) for v in e.astype(np.float32)], 0) for i, e in enumerate(np.concatenate([x, y]))]
+    e = unit(np.array([r_[1] for r_ in rows], np.float32).astype(float))
+    links = ((e @ e.T >= 0.98).sum(axis=1) - 1).tolist()
+    got = {r_.vec_id: r_ for r_ in V.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4), block=512).collect()}
+    missed = sum(got[i].component_id != got[n + i].component_id for i in range(n))
+    assert missed <= 12 and sum(got[i].n_links != k for i, k in enumerate(links)) <= 2 * missed
