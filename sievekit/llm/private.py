@@ -34,13 +34,25 @@ _IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\
 _CARD = r"(?<![\w.])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{3,4}(?:\d{3})?(?!\w)"
 _IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 _SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-_PHONE = (r"(?<![\w.])(?:\+\d{1,3}[^\w\s(]{0,3}[ .-]?)?(?:\(\d{2,4}\)[^\w\s]{0,3}[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w|\.\d)"
-          r"|(?<![\w.])\+\d{8,15}(?!\w)")
-_NAME = r"(?<!\w)(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señora|Señor|Sra|Sr)\.? [A-ZÀ-ÖØ-Þ][\w'’-]+(?: [A-ZÀ-ÖØ-Þ][\w'’-]+)?"
+# phone numbers: +1, French pairs, Spanish groups, any country code, German and other trunk numbers, and short groups;
+# exact national forms come first, so that a number after them isn't taken along
+_PHONE = (r"(?<![\w.])(?:"
+          r"\+1[^\w\s(]{0,3}[ .-]?(?:\(\d{3}\)[^\w\s]{0,3}[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}"
+          r"|(?:(?:\+|00)33[ ./-]?(?:\(0\)[ ./-]?)?[1-9](?:[ ./-]?\d{2}){4}|0[1-9](?:(?: \d{2}){4}|(?:\.\d{2}){4}|(?:-\d{2}){4}|(?:/\d{2}){4}))"
+          r"|(?:(?:\+|00)34[ ./-]?)?[6-9](?:\d{2}(?:[ ./-]\d{2}){3}|\d[ ./-]\d{3}(?:[ ./-]\d{2}){2})"
+          r"|(?=(?:[+ ./()-]{0,3}\d){8})(?:\+|00)[1-9]\d{0,3}(?:(?:[ ./-]|[ ./-]?\(\d{1,5}\)[ ./-]?)\d{1,12}){1,7}"
+          r"|(?=(?:[ ./-]?\d){9})(?!\d\d[./-]\d\d[./-](?:\d\d)?\d\d(?!\d|[./-]\d))0[1-9]\d{0,4}[ ./-](?:\d{5,8}|\d{2,4}(?:(?: \d{2,4}){1,4}|(?:-\d{2,4}){1,4}|(?:\.\d{2,4}){1,4}))"
+          r"|0[1-9]\d{1,4}/\d{5,8}"
+          r"|(?:\+\d{1,3}[^\w\s(]{0,3}[ .-]?)?(?:\(\d{2,4}\)[^\w\s]{0,3}[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}"
+          r"|\+\d{8,15}"
+          r")(?!\w|\.\d)")
+_TITLED = r"(?<!\w)(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señora|Señor|Sra|Sr)\.? "
+_NAME = _TITLED + r"[A-ZÀ-ÖØ-Þ][\w'’-]+(?: [A-ZÀ-ÖØ-Þ][\w'’-]+)?"
 _FIND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in zip(
     KINDS, (_EMAIL, _IPV4, _CARD, _IBAN, _SSN, _PHONE, _NAME), strict=True)))
 
-_MAY_HOLD = re.compile(r"[\d@]|\b(?:Mr|Ms|Mrs|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Sra|Sr)\b")
+# every other kind has a digit or an @
+_MAY_HOLD = re.compile(rf"[\d@]|{_TITLED}")
 
 # fixed values: surrogate names by gender
 GIVEN = {"m": ("Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Gustav", "Hugo", "Ivan", "Jonas", "Karl", "Leon",
@@ -56,10 +68,14 @@ def entities(text: str) -> list[tuple[int, int, str]]:
     out: list[tuple[int, int, str]] = []
     if not _MAY_HOLD.search(text):
         return out
-    for m in _FIND.finditer(text):
-        if m.lastgroup == "phone" and not 7 <= sum(c.isdigit() for c in m.group()) <= 15:
-            continue
-        out.append((m.start(), m.end(), m.lastgroup))
+    at = 0
+    while m := _FIND.search(text, at):
+        start, at = m.span()
+        if m.lastgroup == "phone":
+            while sum(c.isdigit() for c in text[start:at]) > 15:
+                # groups beyond the longest number belong to something else
+                at = start + re.search(r"[^\d]+\d*$", text[start:at]).start()
+        out.append((start, at, m.lastgroup))
     return out
 
 
@@ -139,7 +155,7 @@ def surrogate(key: bytes, kind: str, entity: str, turn: int = 0) -> str:
     if kind == "ssn":
         return f"{draw.below(10**9):09d}"
     if kind == "phone":
-        keep = 2 if entity.startswith("+") else 0
+        keep = 2 if entity.startswith("+") else int(entity.startswith("0"))
         return _same_shape(entity, draw, keep)
     title, *rest = entity.split(" ")
     given = GIVEN["m" if title in _MALE else "f"]

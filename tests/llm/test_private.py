@@ -70,3 +70,28 @@ def test_edges(spark, empty, clashing):
     assert sorted((r.doc_id, r._n_entities) for r in rows) == [(0, 1), (1, 0)]
     long_ = "word " * 200_000 + "97.51.17.173"
     assert len(X.entities(long_)) == 1
+
+
+@pytest.mark.parametrize("title", ["Mr", "Mrs", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señora", "Señor", "Sra", "Sr"])
+def test_each_title_alone(title):
+    for name in (f"{title} García", f"{title}. García"):
+        text = f"hoy vino {name} otra vez"
+        assert [(text[s:e], k) for s, e, k in X.entities(text)] == [(name, "name")]
+
+
+@pytest.mark.parametrize("number", ["01 23 45 67 89", "01.23.45.67.89", "+33 6 12 34 56 78", "+33 (0)6 12 34 56 78", "0033 6 12 34 56 78",
+                                    "+34 612 34 56 78", "612 34 56 78", "91 234 56 78", "+34 91 234 56 78", "030/1234567", "089/12 34 56 78",
+                                    "0171 123 45 67", "+49 171 123 45 67", "+49 (0)30 1234567", "+49 30/1234567", "(030) 123 4567",
+                                    "+1 (017) 555-7713", "555-123-4567", "+4930123456"])
+def test_each_phone_format_alone(number):
+    text = f"call {number}, please"
+    assert [(text[s:e], k) for s, e, k in X.entities(text)] == [(number, "phone")]
+    s = X.in_format("phone", number, X.surrogate(KEY, "phone", X.canonical("phone", number)))
+    assert s != number and [c for c in s if not c.isdigit()] == [c for c in number if not c.isdigit()]
+
+
+def test_phone_neighbours():
+    text = "tel +33 6 12 34 56 78 75001 Paris, 01 23 45 67 89 12 fois"
+    assert [text[s:e] for s, e, _ in X.entities(text)] == ["+33 6 12 34 56 78", "01 23 45 67 89"]
+    for clean in ("am 01.02.2024 um 12:30", "05/12/2024 10 30", "01-02-2024", "01.02.24 12.30", "0.123 4", "2024/12/31"):
+        assert X.entities(clean) == []
