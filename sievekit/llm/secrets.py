@@ -23,8 +23,6 @@ from .frames import trimmed
 
 #: characters before and after a part that make up its scope
 SCOPE = 200
-#: no key-like string is longer
-KEY_MAX = 70
 
 # fixed values: the base patterns, each with its least length
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -35,11 +33,13 @@ ASSIGN_MIN, ACCESS_MIN = 12, 18
 KINDS = ("assign", "access", "hex")
 
 # weak parts: an identifier beside its name, a mixed-case key-like string, a service address
-_WEAK_ID = re.compile(r"""\b(?:client_?id|access_?key_?id|account|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{4,64})""",
+_WEAK_ID = re.compile(r"""\b(?:client_?id|access_?key_?id|account|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{4,})""",
                       re.IGNORECASE | re.ASCII)
-_WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[a-z])"
-                       r"[A-Za-z0-9+/]{24,64}={0,2}(?![A-Za-z0-9+/=_-])")
-_WEAK_END = re.compile(r"\b(?:https?|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?|s3)://[^\s\"'<>]{4,200}", re.IGNORECASE)
+_WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])"
+                       r"[A-Za-z0-9+/_-]{24,}+={0,2}+(?![A-Za-z0-9+/=_-])")
+_KEY_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-")
+_KEY_RUN = re.compile(r"[A-Za-z0-9+/=_-]*")
+_WEAK_END = re.compile(r"\b(?:https?|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?|s3)://[^\s\"'<>]{4,}", re.IGNORECASE)
 
 Span = tuple[int, int, str]
 
@@ -81,11 +81,17 @@ def linked_spans(text: str, base: list[Span], scope: int = SCOPE) -> list[Span]:
         return []
     beside_name = _Reach(names)
     keys: list[Span] = []
-    # key-like strings are looked for only inside the joined scopes of the other parts
-    # (and a key's length around them, so that none is cut)
-    reach = scope + KEY_MAX
-    for lo, hi in _joined([(max(0, s - reach), min(len(text), e + reach)) for s, e, _ in names]):
-        keys += [(m.start(), m.end(), "key") for m in _WEAK_KEY.finditer(text, lo, hi)]
+    # key-like strings are looked for only inside the joined scopes of the other parts, widened
+    # to the ends of the runs there, so that none is cut
+    done = 0
+    for lo, hi in _joined([(max(0, s - scope), min(len(text), e + scope)) for s, e, _ in names]):
+        if hi < done:
+            continue
+        lo = max(lo, done)
+        while lo > done and text[lo - 1] in _KEY_CHARS:
+            lo -= 1
+        done = _KEY_RUN.match(text, hi).end()
+        keys += [(m.start(), m.end(), "key") for m in _WEAK_KEY.finditer(text, lo, done)]
     keys = [k for k in dict.fromkeys(keys) if beside_name.end(k[1] + scope) >= k[0] - scope]
     beside_secret = _Reach([s for s in base if s[2] != "access"] + keys)
     found = keys + [n for n in names if beside_secret.end(n[1] + scope) >= n[0] - scope]
