@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+#: keys holding over 1 / HOT_GROUPS of a table's rows are fewer than this, so a table of
+#: them may be broadcast whatever the table's size
+HOT_GROUPS = 16_384
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,6 +35,18 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join (inner or left) in which no key of ``left`` fills a task: keys with over
+    1 / ``HOT_GROUPS`` of its rows are broadcast with their row of ``right``, which has one row
+    a key; all other keys meet by a shuffle.  Keys are not null.  ``left`` should be cheap to
+    read twice (a written table)."""
+    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = stored(counts.where(F.col("_rows") > max(left.count() / HOT_GROUPS, 1)).select(*on))
+    few = F.broadcast(right.join(F.broadcast(hot), on, "left_semi"))
+    often = left.join(F.broadcast(hot), on, "left_semi").join(few, on, how)
+    return often.unionByName(left.join(F.broadcast(hot), on, "left_anti").join(right, on, how))
+
+
 def release_memory() -> None:
     """Hand freed memory back to the system: Python workers outlive tasks, and their
     allocators keep what a task has freed."""

@@ -180,3 +180,62 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substrings import without_repeats
     rows = without_repeats(table(spark, sf_dir, "documents"), keep_text=False)
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+OP11_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id IS NOT DISTINCT FROM min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+FROM t WINDOW g AS (PARTITION BY t)
+"""
+
+
+@query("op11_exact_dedup", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .exact import exact_duplicates
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, w[i:i+k-1] AS g
+  FROM words, (VALUES (1), (2), (3)) ks(k), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)),
+f AS (SELECT lang, k, g, count(*) AS c FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, g, c AS a FROM f WHERE k > 1 AND c >= 10),
+held AS (
+  SELECT lang, g[1:2] AS g, a AS b FROM cand WHERE k = 3 UNION ALL
+  SELECT lang, g[2:3] AS g, a AS b FROM cand WHERE k = 3),
+most AS (SELECT lang, g, max(b) AS b FROM held GROUP BY ALL),
+kept AS (SELECT c.* FROM cand c LEFT JOIN most m ON c.lang = m.lang AND c.g = m.g WHERE b IS NULL OR 100 * b < 50 * a),
+cuts AS (
+  SELECT c.lang, c.g, a, j, x.c AS l, y.c AS r,
+         (1000000::HUGEINT * a * a) // (x.c::HUGEINT * y.c) AS score
+  FROM kept c, (VALUES (1), (2)) js(j), f x, f y
+  WHERE j < c.k AND x.lang = c.lang AND x.g = c.g[1:j] AND y.lang = c.lang AND y.g = c.g[j+1:c.k]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+named AS (SELECT *, array_to_string(g, ' ') AS phrase FROM best)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a, l, r, n, score::BIGINT AS score
+FROM named JOIN totals USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+
+@query("op12_phrase_collocations", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrases import collocations
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .whitening import whitened
+    return whitened(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
