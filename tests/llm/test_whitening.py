@@ -93,7 +93,5 @@ def test_large_entries_stay_exact(spark):
     rows = whitened(table(spark, v)).collect()
     _, deviation, *_ = brute(v)
     assert {(r.vec_id, int(r.deviation)) for r in rows} == set(enumerate(deviation))
-    v[0, 0] = 2.0**51
-    assert {r.deviation for r in whitened(table(spark, v)).where("vec_id = 0").collect()} != {None}
-    v[:10, 0] = 2.0**51
-    assert {r.deviation for r in whitened(table(spark, v)).collect()} == {None}
+    v[0, 0] = 2.0**51       # over 38 digits for this row alone
+    assert {r.vec_id for r in whitened(table(spark, v)).where("deviation is null").collect()} == {0}
