@@ -5,24 +5,23 @@ merges it in a single task, so one group holding a third of the rows puts a
 third of the distinct values in one task.  ``method="exact"`` here avoids
 that:
 
-1. one ``percentile_approx`` pass gives, per group and column, value bounds
-   that are guaranteed (by the sketch's rank-error bound) to enclose the two
-   order statistics the interpolation needs;
-2. one grouped pass counts the rows *below* the band and collapses the rows
-   *inside* the band to (value, count) -- out-of-band rows fold into one
-   partial-aggregate row per task, so the shuffle is tiny and ties (even a
-   hot value) collapse to a single row;
-3. the in-band distinct values are cut into ``BAND_BINS`` bins by value; prefix
-   sums over the bins (a table of that many rows per group, column and
-   probability) name the one or two bins that hold ranks floor((n-1)p) and
-   ceil((n-1)p), and only their values are ordered by a window, per bin.  The
-   result is lo + (hi - lo) * frac, the same linear rule as pandas
+1. one pass of ``percentile_approx``, minima and maxima gives, per group and
+   column, value bounds that are guaranteed (by the sketch's rank-error bound)
+   to enclose the two order statistics the interpolation needs, but for one rank;
+2. one *wide* aggregate counts, per column and probability, the values below the
+   band, and keeps the nearest value on either side of it: one row per group and
+   task is shuffled, rows are not multiplied;
+3. only values *inside* a band (about 6 / accuracy of the rows per probability)
+   become rows of their own, collapsed to (value, count) and cut into ``BAND_BINS``
+   bins by value.  Prefix sums over the bins name the one or two that hold ranks
+   floor((n-1)p) and ceil((n-1)p), and only their values are ordered by a window,
+   per bin.  The result is lo + (hi - lo) * frac, the same linear rule as pandas
    ``quantile`` and SQL ``quantile_cont``.
 
 There is one path for all sizes; the largest window holds about
-6n / (accuracy * BAND_BINS) distinct values of a group of n rows.
-``method="approx"`` is plain ``percentile_approx`` (one pass, bounded memory).
-Results are small DataFrames: one row per group, one column per
+6n / (accuracy * BAND_BINS) distinct values of a group of n rows.  NaN counts as
+missing, like NULL.  ``method="approx"`` is plain ``percentile_approx`` (one pass,
+bounded memory).  Results are small DataFrames: one row per group, one column per
 (column, probability), named by :func:`qname`.
 """
 
@@ -32,10 +31,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from ..session import materialize
-from .sqlexpr import lit_num, lit_str, q, unpivot_expr
+from .sqlexpr import lit_num, lit_str, q
+from .stats import attach_by_group
 
 DEFAULT_ACCURACY = 10000
 # Bins of a band (a table bound, not a limit on rows).
@@ -55,143 +54,116 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str], rkeys:
     return cond
 
 
-def _unpivot(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """(by..., column, x) with NULL values dropped; generated in-stage, no shuffle."""
-    return (df.select(*by, unpivot_expr(cols))
-              .where(F.col("x").isNotNull()))
-
-
 def _arr(ps) -> str:
     return "array(" + ", ".join(lit_num(p) for p in ps) + ")"
 
 
+def _value(c: str) -> str:
+    """A column as double, NaN as NULL."""
+    return f"nanvl(CAST({q(c)} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
 def sketch_bounds(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                   by: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Pass 1: per group, ``percentile_approx`` at p -/+ 3/accuracy for every
-    column (``_b<i>``: lower bounds then upper bounds).  One row per group."""
+    column (``_b<i>``: lower bounds then upper bounds).  A side past an end of
+    [0, 1] takes the minimum or maximum itself.  One row per group."""
     delta = 3.0 / accuracy
-    lo_ps = [max(p - delta, 0.0) for p in probs]
-    hi_ps = [min(p + delta, 1.0) for p in probs]
-    return df.groupBy(*by).agg(
-        *[F.expr(f"percentile_approx(CAST({q(c)} AS DOUBLE), {_arr(lo_ps + hi_ps)}, {accuracy}) AS _b{i}")
-          for i, c in enumerate(cols)])
+    inner = [p - delta for p in probs] + [p + delta for p in probs]
+    aggs = []
+    for i, c in enumerate(cols):
+        sketch = f"percentile_approx({_value(c)}, {_arr([min(max(p, 0.0), 1.0) for p in inner])}, {accuracy})"
+        bounds = [f"min({_value(c)})" if p <= 0.0 else f"max({_value(c)})" if p >= 1.0 else f"{sketch}[{k}]"
+                  for k, p in enumerate(inner)]
+        aggs.append(F.expr(f"array({', '.join(bounds)}) AS _b{i}"))
+    return df.groupBy(*by).agg(*aggs)
+
+
+def _literal_arrays(row, n_cols: int) -> list[str]:
+    """The bounds of a one-row sketch as SQL array literals."""
+    return ["array(" + ", ".join("CAST(NULL AS DOUBLE)" if v is None else lit_num(v) for v in row[f"_b{i}"]) + ")"
+            for i in range(n_cols)]
 
 
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                    by: Sequence[str] = (), method: str = "exact",
-                   accuracy: int = DEFAULT_ACCURACY) -> tuple[DataFrame, DataFrame | None]:
-    """Long form: (by..., column, prob, value) by the banded algorithm (or
-    the sketch for ``approx``), and the cached in-band counts to release
-    afterwards.  Groups/columns with no non-null value produce no row."""
-    by = list(by)
-    cols = list(cols)
-    probs = [float(p) for p in probs]
+                   accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Long form: (by..., column, prob, value).  Groups/columns with no
+    non-null value produce no row."""
+    by, cols, probs = list(by), list(cols), [float(p) for p in probs]
+    k = len(probs)
     if method == "approx":
         wide = df.groupBy(*by).agg(*[
-            F.expr(f"percentile_approx(CAST({q(c)} AS DOUBLE), {_arr(probs)}, {accuracy}) AS _b{i}")
+            F.expr(f"percentile_approx({_value(c)}, {_arr(probs)}, {accuracy}) AS _b{i}")
             for i, c in enumerate(cols)])
         items = ", ".join(f"struct({lit_str(c)} AS column, {lit_num(p)} AS prob, _b{i}[{j}] AS value)"
                           for i, c in enumerate(cols) for j, p in enumerate(probs))
         return (wide.select(*by, F.expr(f"inline(array({items}))"))
-                    .where(F.col("value").isNotNull())), None
+                    .where(F.col("value").isNotNull()))
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
+    slots = [(i, j) for i in range(len(cols)) for j in range(k)]
 
-    # -- pass 1: sketch bounds around each target rank ---------------------
-    delta = 3.0 / accuracy
+    # -- pass 1: bounds around each target rank, next to every row ----------
     sketch = sketch_bounds(df, cols, probs, by, accuracy)
-    k = len(probs)
-    items = []
-    for i, c in enumerate(cols):
-        for j, p in enumerate(probs):
-            # an open side (p at an end of [0,1]) means "no bound"
-            v_lo = f"_b{i}[{j}]" if p - delta > 0.0 else "CAST(NULL AS DOUBLE)"
-            v_hi = f"_b{i}[{k + j}]" if p + delta < 1.0 else "CAST(NULL AS DOUBLE)"
-            items.append(f"struct({lit_str(c)} AS _c, {lit_num(p)} AS prob, {v_lo} AS v_lo, "
-                         f"{v_hi} AS v_hi)")
-    gkeys = [f"_g{i}" for i in range(len(by))]
-    bounds = sketch.select(*[F.col(b).alias(g) for b, g in zip(by, gkeys)],
-                           F.expr(f"inline(array({', '.join(items)}))"))
-
-    # -- pass 2: below-band counts, in-band distinct values, neighbours ----
-    long = _unpivot(df, by, cols)
-    on = _null_safe_on(long, bounds, by, gkeys)
-    on = (long["column"] == bounds["_c"]) if on is None else on & (long["column"] == bounds["_c"])
-    x, v_lo, v_hi = F.col("x"), F.col("v_lo"), F.col("v_hi")
-    below = v_lo.isNotNull() & (x < v_lo)
-    above = v_hi.isNotNull() & (x > v_hi)
-    # ungrouped, the bounds table has len(cols) x len(probs) rows and the key
-    # is just the column name: broadcast it.  Grouped, its size follows the
-    # group count, so AQE decides at run time (with skew splitting).
-    right = F.broadcast(bounds) if not by else bounds
-    joined = long.join(right, on, "inner").select(
-        *by, "column", "prob",
-        F.when(~below & ~above, x).alias("bx"),
-        F.when(below, x).alias("x_below"),
-        F.when(above, x).alias("x_above"))
-    keys = [*by, "column", "prob"]
-    counted = joined.groupBy(*keys, "bx").agg(
-        F.count(F.lit(1)).alias("cnt"),
-        F.count("x_below").alias("below"),
-        F.max("x_below").alias("pred"),        # largest value under the band
-        F.min("x_above").alias("succ"))        # smallest value over the band
-
-    # -- ranks inside the band, bin by bin ---------------------------------
-    # The sketch places each bound within the rank slack of the target, and
-    # the interpolation ranks floor/ceil((n-1)p) can sit at most one rank
-    # outside the band: that rank is held by ``pred`` or ``succ`` (ties
-    # included), so no count of them is needed.
-    counted = materialize(counted, "persist")
-    in_band_cnt = F.when(F.col("bx").isNotNull(), F.col("cnt")).otherwise(F.lit(0))
-    totals = counted.groupBy(*keys).agg(
-        F.sum("cnt").alias("n"), F.sum("below").alias("n_below"), F.sum(in_band_cnt).alias("n_band"),
-        F.max("pred").alias("pred"), F.min("succ").alias("succ"),
-        F.min("bx").alias("b_min"), F.max("bx").alias("b_max"))
-    pos = (F.col("n") - 1).cast(DoubleType()) * F.col("prob")
-    totals = totals.withColumn("pos", pos)
-    tkeys = [f"_t{i}" for i in range(len(keys))]
-    right = totals.select(*[F.col(k).alias(t) for k, t in zip(keys, tkeys)], "b_min", "b_max")
-    span = F.col("b_max") - F.col("b_min")
-    share = F.try_divide(F.col("bx") - F.col("b_min"), F.when(span > 0, span))
-    # an infinite span leaves one bin: shares are then 0 or NaN
-    bin_no = F.least(F.floor(F.coalesce(F.nanvl(share, F.lit(0.0)), F.lit(0.0)) * BAND_BINS), F.lit(BAND_BINS - 1))
-    band = counted.where(F.col("bx").isNotNull())
-    band = (band.join(right, _null_safe_on(band, right, keys, tkeys))
-            .select(*keys, "bx", "cnt", bin_no.cast("int").alias("_bin")))
-    ordered_bins = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    values = df.select(*by, *[F.expr(f"{_value(c)} AS _x{i}") for i, c in enumerate(cols)])
+    if by:
+        # one row per group, written once; adaptive execution broadcasts it when it is small
+        rows = attach_by_group(values, materialize(sketch), by, prefix="_s")
+        bounds = [f"_s_b{i}" for i in range(len(cols))]
+    else:
+        rows, bounds = values, _literal_arrays(sketch.first(), len(cols))
+
+    # -- pass 2: counts below each band and the nearest values outside it ---
+    aggs = [F.expr(f"count(_x{i}) AS _n{i}") for i in range(len(cols))]
+    for s, (i, j) in enumerate(slots):
+        lo, hi = f"{bounds[i]}[{j}]", f"{bounds[i]}[{k + j}]"
+        aggs += [F.expr(f"count(CASE WHEN _x{i} < {lo} THEN 1 END) AS _below{s}"),
+                 F.expr(f"max(CASE WHEN _x{i} < {lo} THEN _x{i} END) AS _pred{s}"),
+                 F.expr(f"min(CASE WHEN _x{i} > {hi} THEN _x{i} END) AS _succ{s}")]
+    items = ", ".join(f"struct({s} AS slot, _n{i} AS n, (_n{i} - 1) * {lit_num(probs[j])} AS pos, _below{s} AS n_below, "
+                      f"_pred{s} AS pred, _succ{s} AS succ)" for s, (i, j) in enumerate(slots))
+    totals = (rows.groupBy(*by).agg(*aggs).select(*by, F.expr(f"inline(array({items}))"))
+                  .where("n > 0").withColumn("_lo", F.expr("floor(pos) - n_below"))
+                  .withColumn("_hi", F.expr("ceil(pos) - n_below")))
+
+    # -- pass 3: in-band values, binned --------------------------------------
+    items = ", ".join(f"struct({s} AS slot, _x{i} AS x, {bounds[i]}[{j}] AS lo, {bounds[i]}[{k + j}] AS hi)"
+                      for s, (i, j) in enumerate(slots))
+    # an infinite or empty span leaves one bin
+    share = "nanvl(coalesce(try_divide(x - lo, nullif(hi - lo, 0.0D)), 0.0D), 0.0D)"
+    keys = [*by, "slot"]
+    band = (rows.select(*by, F.expr(f"inline(filter(array({items}), e -> e.x >= e.lo AND e.x <= e.hi))"))
+                .withColumn("_bin", F.expr(f"CAST(least(floor({share} * {BAND_BINS}), {BAND_BINS - 1}) AS INT)"))
+                .groupBy(*keys, "_bin", "x").agg(F.count(F.lit(1)).alias("cnt")))
+    earlier = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (band.groupBy(*keys, "_bin").agg(F.sum("cnt").alias("_in"))
-            .withColumn("_upto", F.coalesce(F.sum("_in").over(ordered_bins), F.lit(0))))
-    wanted = totals.select(*[F.col(k).alias(t) for k, t in zip(keys, tkeys)],
-                           (F.floor("pos") - F.col("n_below")).alias("_lo"),
-                           (F.ceil("pos") - F.col("n_below")).alias("_hi"))
-
-    def holds(rank):
-        return (rank >= F.col("_upto")) & (rank < F.col("_upto") + F.col("_in"))
-
-    chosen = (bins.join(wanted, _null_safe_on(bins, wanted, keys, tkeys))
-              .where(holds(F.col("_lo")) | holds(F.col("_hi"))))
-    bkeys = [f"_k{i}" for i in range(len(keys))]
-    chosen = chosen.select(*[F.col(k).alias(b) for k, b in zip(keys, bkeys)], F.col("_bin").alias("_chosen"),
-                           "_upto", "_lo", "_hi")
-    on = _null_safe_on(band, chosen, keys, bkeys) & (band["_bin"] == chosen["_chosen"])
-    within = Window.partitionBy(*keys, "_bin").orderBy("bx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reach = F.col("_upto") + F.sum("cnt").over(within)          # ranks covered are < reach
-    ranked = (band.join(chosen, on).withColumn("_reach", reach).withColumn("_from", F.col("_reach") - F.col("cnt")))
+                .withColumn("_upto", F.coalesce(F.sum("_in").over(earlier), F.lit(0))))
+
+    def renamed(frame: DataFrame, names: Sequence[str], prefix: str, *rest: str) -> DataFrame:
+        return frame.select(*[F.col(n).alias(f"{prefix}{m}") for m, n in enumerate(names)], *rest)
+
+    def tagged(names: Sequence[str], prefix: str) -> list[str]:
+        return [f"{prefix}{m}" for m in range(len(names))]
+
+    wanted = renamed(totals, keys, "_t", "_lo", "_hi")
+    holds = " OR ".join(f"({r} >= _upto AND {r} < _upto + _in)" for r in ("_lo", "_hi"))
+    chosen = bins.join(wanted, _null_safe_on(bins, wanted, keys, tagged(keys, "_t"))).where(holds)
+    bkeys = [*keys, "_bin"]
+    chosen = renamed(chosen, bkeys, "_k", "_upto", "_lo", "_hi")
+    within = Window.partitionBy(*bkeys).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (band.join(chosen, _null_safe_on(band, chosen, bkeys, tagged(bkeys, "_k")))
+                  .withColumn("_reach", F.col("_upto") + F.sum("cnt").over(within)))
     found = ranked.groupBy(*keys).agg(
-        F.min(F.when((F.col("_lo") >= F.col("_from")) & (F.col("_lo") < F.col("_reach")), F.col("bx"))).alias("b_lo"),
-        F.min(F.when((F.col("_hi") >= F.col("_from")) & (F.col("_hi") < F.col("_reach")), F.col("bx"))).alias("b_hi"))
-    found = found.select(*[F.col(k).alias(t) for k, t in zip(keys, tkeys)], "b_lo", "b_hi")
-    out = totals.join(found, _null_safe_on(totals, found, keys, tkeys), "left")
-
-    def at(rank, band_value):
-        return (F.when(rank < F.col("n_below"), F.col("pred"))
-                 .when(rank >= F.col("n_below") + F.col("n_band"), F.col("succ"))
-                 .otherwise(band_value))
-
-    x_lo = at(F.floor(F.col("pos")), F.col("b_lo"))
-    x_hi = at(F.ceil(F.col("pos")), F.col("b_hi"))
-    frac = F.col("pos") - F.floor(F.col("pos"))
-    return out.select(*keys, (x_lo + (x_hi - x_lo) * frac).alias("value")), counted
+        *[F.expr(f"min(CASE WHEN {r} >= _reach - cnt AND {r} < _reach THEN x END) AS b{r}") for r in ("_lo", "_hi")])
+    found = renamed(found, keys, "_f", "b_lo", "b_hi")
+    out = totals.join(found, _null_safe_on(totals, found, keys, tagged(keys, "_f")), "left")
+    # a rank outside the band is the nearest value outside (ties included)
+    ends = [f"CASE WHEN {r} < 0 THEN pred ELSE coalesce(b{r}, succ) END" for r in ("_lo", "_hi")]
+    names = F.expr("element_at(array(" + ", ".join(f"struct({lit_str(cols[i])} AS column, {lit_num(probs[j])} AS prob)"
+                                                   for i, j in slots) + "), slot + 1)")
+    return (out.select(*by, names.alias("_name"), F.expr(f"{ends[0]} + ({ends[1]} - {ends[0]}) * (pos - floor(pos))").alias("value"))
+               .select(*by, "_name.column", "_name.prob", "value"))
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -200,18 +172,11 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """Wide form: one row per group of ``by`` with one column per
     (column, prob) named ``qname(column, prob)``; NULL where a group has no
     value for a column.  With ``by=()`` the result has exactly one row; a
-    group whose every value is NULL has no row (consumers left-join)."""
-    by = list(by)
-    cols = list(cols)
-    probs = [float(p) for p in probs]
-    long, cached = quantiles_long(df, cols, probs, by, method, accuracy)
-    out = _wide(long, cols, probs, by)
-    if cached is not None:
-        # the statistics are small (one row per group): write them once, then
-        # release the cached counts instead of holding them for the session
-        out = materialize(out)
-        cached.unpersist()
-    return out
+    group whose every value is NULL has no row (consumers left-join).
+
+    The result is lazy after pass 1; callers that use it twice write it."""
+    by, cols, probs = list(by), list(cols), [float(p) for p in probs]
+    return _wide(quantiles_long(df, cols, probs, by, method, accuracy), cols, probs, by)
 
 
 def _wide(long: DataFrame, cols, probs, by) -> DataFrame:

@@ -72,6 +72,22 @@ def prefix_table(df: DataFrame, value: str, weights: dict[str, Column],
     return out
 
 
+def dense_sums(table: DataFrame, order_by: list[Column], weight: str, out: str) -> DataFrame:
+    """``table`` with ``out`` = sum of ``weight`` over the rows before it in ``order_by`` order,
+    for values of any type: a range-partitioned sort, a running sum inside each partition, and
+    prefix sums over one total per partition.  The sorted table is written once, so both
+    reads see the same partitions."""
+    tagged = materialize(table.orderBy(*order_by).withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()))
+    totals = tagged.groupBy("_pid").agg(F.sum(weight).alias("_w"))
+    # a window over one row per partition
+    offsets = totals.select("_pid", F.coalesce(F.sum("_w").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    j = tagged.join(F.broadcast(offsets), "_pid")
+    return j.select(*table.columns, (F.col("_off") + F.coalesce(F.sum(weight).over(within), F.lit(0))).alias(out))
+
+
 def average_ranks(df: DataFrame, value: str, out: str, buckets: int | None = None) -> DataFrame:
     """(value, out): 1-based average rank of each distinct value (ties share
     the mean of the ranks they span), as ``rank`` with ``method='average'``."""

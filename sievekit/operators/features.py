@@ -6,16 +6,17 @@ of sectors) and a one-row frame of feature means/standard deviations.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, DoubleType, LongType
+from pyspark.sql.types import AtomicType, DoubleType
 
 from ..functions.nulls import MAX_LABELS, bounded_distinct
+from ..functions.ranks import dense_sums
 from ..functions.stats import scalars
-from ..sources.conform import dense_index
 
 # Identifier and label columns that are never features.
 ID_AND_LABELS = ("ticker", "forward_return", "target", "signal_rules")
@@ -79,23 +80,97 @@ def split_hash(key: str = "ticker", seed: int = 42, others: Sequence[str] = ()):
     return F.md5(F.concat(F.coalesce(text, F.lit("")), F.lit(str(seed))))
 
 
-def _bucketed(df: DataFrame, label: str | None, key: str, seed: int, prefix_hex: int):
-    """Rows with hash ``_h``, bucket ``_b`` and class ``_c``; rows per (class, bucket)."""
+def _hashed(df: DataFrame, label: str | None, key: str, seed: int) -> DataFrame:
+    """Rows with class ``_c`` and order ``_h``: 32 hex digits of the shuffle key, then
+    16 of the row's other columns, so rows tie only when they are equal throughout."""
     plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
-    base = (df.withColumn("_h", split_hash(key, seed, plain))
-              .withColumn("_b", F.conv(F.substring("_h", 1, prefix_hex), 16, 10).cast(LongType()))
+    tail = F.lpad(F.hex(F.xxhash64(*[F.col(c) for c in plain] or [F.lit(0)])), 16, "0")
+    return (df.withColumn("_h", F.concat(split_hash(key, seed, plain), tail))
               .withColumn("_c", F.col(label).cast("string") if label else F.lit(None).cast("string")))
-    return base, base.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_nb"))
 
 
-def _with_buckets(base: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Join on (class, bucket); a NULL class is a class of its own.
-
-    The bucket table has at most classes x 16^prefix_hex rows, classes being a
-    list whose length callers have bounded: broadcast."""
-    right = buckets.withColumnRenamed("_c", "_c2").withColumnRenamed("_b", "_b2")
-    on = base["_b"].eqNullSafe(right["_b2"]) & base["_c"].eqNullSafe(right["_c2"])
-    return base.join(F.broadcast(right), on)
+# Hex digits of ``_h``, and the most rows of a hash bucket that one window orders.
+HASH_DIGITS = 48
+EDGE_ROWS = 200_000
+
+
+def _edges(counts: DataFrame, wanted: DataFrame | None, targets: str | None) -> list:
+    """The buckets (rows ``_c, _p, _nb``) that hold the wanted ranks: (_c, _j, _t, _p, _before, _nb).
+
+    The windows run over bucket counts: 16^digits rows a class or searched bucket."""
+    part = ["_c"] if wanted is None else ["_c", "_q"]
+    whole = Window.partitionBy(*part)
+    run = whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    per = counts.withColumn("_before", F.coalesce(F.sum("_nb").over(run), F.lit(0)))
+    if wanted is None:
+        per = (per.withColumn("n", F.sum("_nb").over(whole))
+                  .select("_c", "_p", "_nb", "_before", F.posexplode(F.expr(targets)).alias("_j", "_t")))
+    else:
+        w = wanted.select(F.col("_c").alias("_c2"), F.col("_p").alias("_q2"), "_j", "_t", F.col("_before").alias("_b0"))
+        per = (per.join(F.broadcast(w), per["_c"].eqNullSafe(w["_c2"]) & (per["_q"] == w["_q2"]))
+                  .withColumn("_before", F.col("_before") + F.col("_b0")))
+    return (per.where("_t > _before AND _t <= _before + _nb")
+               .select("_c", "_j", "_t", "_p", "_before", "_nb").collect())
+
+
+_EDGE = "_c string, _j int, _t long, _p string, _before long, _nb long"
+
+
+def hash_cuts(base: DataFrame, targets: str, prefix_hex: int = 4) -> list:
+    """The rows at given ranks of every class in ``_h`` order, without sorting: (_c, _j, cut, take, ties).
+
+    ``targets`` is SQL for the array of wanted 1-based ranks given the class size ``n``; a rank of 0
+    has no row.  Counts per hash prefix name the bucket a rank falls in; a bucket of over ``EDGE_ROWS``
+    rows is searched by ``prefix_hex`` more digits, others by one ordered window.  ``take`` of the ``ties``
+    rows equal to ``cut`` lie at or before the rank.  The lists collected have a row per class and rank."""
+    spark = base.sparkSession
+    counts = base.groupBy("_c", F.substring("_h", 1, prefix_hex).alias("_p")).agg(F.count(F.lit(1)).alias("_nb"))
+    edges, found, digits = _edges(counts, None, targets), [], prefix_hex
+    while True:
+        small = [e for e in edges if e["_nb"] <= EDGE_ROWS or digits >= HASH_DIGITS]
+        if small:
+            e = spark.createDataFrame(small, _EDGE).withColumnsRenamed({"_c": "_c2"})
+            near = base.select("_c", "_h").join(F.broadcast(e), base["_c"].eqNullSafe(e["_c2"]) & F.startswith("_h", "_p"))
+            order = Window.partitionBy("_c", "_j").orderBy("_h")
+            near = (near.groupBy("_c", "_j", "_t", "_before", "_h").agg(F.count(F.lit(1)).alias("ties"))
+                        .withColumn("_reach", F.col("_before") + F.sum("ties").over(order)))
+            found += (near.where("_t <= _reach AND _t > _reach - ties")
+                          .select("_c", "_j", F.col("_h").alias("cut"), F.expr("_t - _reach + ties").alias("take"), "ties").collect())
+        edges = [e for e in edges if e not in small]
+        if not edges:
+            return found
+        e = spark.createDataFrame(edges, _EDGE)
+        q = e.select(F.col("_c").alias("_c2"), F.col("_p").alias("_q")).distinct()
+        inside = base.select("_c", "_h").join(F.broadcast(q), base["_c"].eqNullSafe(q["_c2"])
+                                              & (F.substring("_h", 1, digits) == F.col("_q")))
+        digits = min(digits + prefix_hex, HASH_DIGITS)
+        counts = inside.groupBy("_c", "_q", F.substring("_h", 1, digits).alias("_p")).agg(F.count(F.lit(1)).alias("_nb"))
+        edges = _edges(counts, e, None)
+
+
+def _dealt(df: DataFrame, label: str | None, key: str, seed: int, prefix_hex: int, targets: str, parts: int, out: str) -> DataFrame:
+    """``df`` with ``out`` = number of cuts before the row (0 .. parts - 1) within its class.
+
+    A filter by a broadcast row per class; only rows equal throughout to a cut that falls
+    between equal rows are numbered by a window."""
+    base = _hashed(df, label, key, seed)
+    found = hash_cuts(base, targets, prefix_hex)
+    cuts: dict = {}
+    for r in found:
+        cuts.setdefault(r["_c"], [("", 0)] * (parts - 1))[r["_j"]] = (r["cut"], r["take"])
+    spark = df.sparkSession
+    table = spark.createDataFrame([(c, v) for c, v in cuts.items()], "_c2 string, _cuts array<struct<cut:string,take:long>>")
+    j = base.join(F.broadcast(table), base["_c"].eqNullSafe(table["_c2"]), "left")
+    none = ", ".join(["struct('' AS cut, 0L AS take)"] * (parts - 1))
+    j = j.withColumn("_cuts", F.expr(f"coalesce(_cuts, array({none}))"))
+    before = "size(filter(_cuts, z -> z.cut < _h OR (z.cut = _h AND z.take < {n})))"
+    columns = [*df.columns, out]
+    if all(r["take"] == r["ties"] for r in found):
+        return j.withColumn(out, F.expr(before.format(n="0L"))).select(*columns)
+    tied = F.expr("exists(_cuts, z -> z.cut = _h)")
+    numbered = j.where(tied).withColumn("_rn", F.row_number().over(Window.partitionBy("_c", "_h").orderBy("_h")))
+    return (j.where(~tied).withColumn(out, F.expr(before.format(n="0L"))).select(*columns)
+            .unionByName(numbered.withColumn(out, F.expr(before.format(n="_rn"))).select(*columns)))
 
 
 def stratified_split(df: DataFrame, label: str | None = "target", key: str = "ticker",
@@ -105,26 +180,19 @@ def stratified_split(df: DataFrame, label: str | None = "target", key: str = "ti
     of each class go to test -- those first in md5(key || seed) order.
 
     Every input row comes out once, also with a NULL key or label (NULL labels
-    are one class).  No task ranks a whole class: rows are counted per (class,
-    hash-prefix bucket) -- a table of at most classes x 16^prefix_hex rows --
-    whose running sums show which buckets are wholly in test; only the one
-    boundary bucket per class (about n / 16^prefix_hex rows) is ranked.
+    are one class).  Nothing is sorted or shuffled but counts: the last test row of
+    each class is found by :func:`hash_cuts`, and the split is a comparison with it.
     """
-    base, per_bucket = _bucketed(df, label, key, seed, prefix_hex)
-    # windows over the bucket-count table (bounded by 16^prefix_hex per class)
-    whole = Window.partitionBy("_c")
-    run = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    k_expr = F.round(F.sum("_nb").over(whole).cast(DoubleType()) * F.lit(float(test_frac))).cast(LongType())
-    buckets = per_bucket.select("_c", "_b", k_expr.alias("_k"), "_nb",
-                                F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before"))
-    tagged = _with_buckets(base, buckets)
-    whole_in = F.col("_before") + F.col("_nb") <= F.col("_k")
-    boundary = (F.col("_before") < F.col("_k")) & ~whole_in
-    settled = tagged.where(~boundary).withColumn(out, whole_in)
-    rn = F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_h", key))
-    edge = tagged.where(boundary).withColumn(out, rn <= F.col("_k") - F.col("_before"))
-    cols = [*df.columns, out]
-    return settled.select(*cols).unionByName(edge.select(*cols))
+    rank = f"array(CAST(round(CAST(n AS DOUBLE) * {float(test_frac)!r}D) AS BIGINT))"
+    return _dealt(df, label, key, seed, prefix_hex, rank, 2, out).withColumn(out, F.col(out) == 0)
+
+
+def hash_folds(df: DataFrame, k: int, label: str | None = "label", key: str = "ticker", seed: int = 42,
+               prefix_hex: int = 4, out: str = "fold") -> DataFrame:
+    """Folds 0 .. k - 1 of equal share (the first n % k hold a row more) within each class,
+    by k - 1 cuts in md5(key || seed) order; a filter like :func:`stratified_split`."""
+    ranks = f"transform(sequence(1L, {k - 1}L), f -> f * (n div {k}) + least(f, n % {k}))" if k > 1 else "array()"
+    return _dealt(df, label, key, seed, prefix_hex, ranks, k, out) if k > 1 else df.withColumn(out, F.lit(0))
 
 
 def class_rank(df: DataFrame, label: str | None = "target", key: str = "ticker",
@@ -132,22 +200,50 @@ def class_rank(df: DataFrame, label: str | None = "target", key: str = "ticker",
     """1-based rank of every row within its class in md5(key || seed) order,
     computed as (rows in earlier hash buckets) + (rank inside the bucket):
     the ordered windows run per (class, bucket), never per whole class.  No
-    row is lost to a NULL key or label."""
-    base, per_bucket = _bucketed(df, label, key, seed, prefix_hex)
+    row is lost to a NULL key or label.  The bucket table has at most classes x
+    16^prefix_hex rows, classes being a list whose length callers have bounded."""
+    base = _hashed(df, label, key, seed).withColumn("_b", F.substring("_h", 1, prefix_hex))
     run = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    before = per_bucket.select("_c", "_b", F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before"))
-    rn = F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_h", key))
-    return _with_buckets(base, before).select(*df.columns, (F.col("_before") + rn).alias(out))
+    buckets = (base.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_nb"))
+               .select(F.col("_c").alias("_c2"), F.col("_b").alias("_b2"), F.coalesce(F.sum("_nb").over(run), F.lit(0)).alias("_before")))
+    rn = F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_h"))
+    j = base.join(F.broadcast(buckets), (base["_b"] == buckets["_b2"]) & base["_c"].eqNullSafe(buckets["_c2"]))
+    return j.select(*df.columns, (F.col("_before") + rn).alias(out))
 
 
 def temporal_split(df: DataFrame, order_by: Sequence[str], train_frac: float = 0.70,
                    out: str = "is_test") -> DataFrame:
-    """M8: the first round(train_frac * n) rows in ``order_by`` order train,
-    the rest test (train strictly precedes test)."""
-    idx = dense_index(df, [F.col(c).asc_nulls_first() for c in order_by], "_i")
-    n = df.agg(F.count(F.lit(1)).alias("n"))
-    k = F.round(scalars(n, ["n"])["n"].cast(DoubleType()) * F.lit(float(train_frac)))
-    return idx.select(*df.columns, (F.col("_i") >= k).alias(out))
+    """M8: the first round(train_frac * n) rows in ``order_by`` order (NULLs
+    first) train, the rest test (train strictly precedes test).
+
+    The last training row is found column by column: counts per value of the first column
+    and their prefix sums give its value, the next column is searched among the rows
+    of that value only.  The split then compares rows with it; rows are neither sorted nor
+    written.  Rows equal in all columns that the cut falls between are numbered in the order
+    of a hash of the row."""
+    order_by = list(order_by)
+    n = df.count()
+    k = int(math.floor(n * float(train_frac) + 0.5))
+    if k <= 0 or k >= n:
+        return df.withColumn(out, F.lit(k <= 0))
+    here, left, values = df, k, []
+    for c in order_by:
+        sums = dense_sums(here.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n")),
+                          [F.col("v").asc_nulls_first()], "n", "before")
+        row = sums.where((F.col("before") < left) & (F.col("before") + F.col("n") >= left)).first()
+        values.append(row["v"])
+        left -= row["before"]
+        here = here.where(F.col(c).eqNullSafe(F.lit(row["v"])))
+        ties = row["n"]
+    key = F.struct(*[F.col(c) for c in order_by])
+    # structs compare field by field, NULLs first
+    last = F.struct(*[F.lit(v).cast(df.schema[c].dataType) for c, v in zip(order_by, values)])
+    if left == ties:
+        return df.withColumn(out, key > last)
+    plain = [F.col(f.name) for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    at = df.where(key == last).withColumn("_rn", F.row_number().over(Window.partitionBy(*order_by).orderBy(F.xxhash64(*plain))))
+    return (df.where(key != last).withColumn(out, key > last)
+            .unionByName(at.withColumn(out, F.col("_rn") > left).drop("_rn")))
 
 
 # --------------------------------------------------------------------- M6

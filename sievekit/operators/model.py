@@ -26,7 +26,7 @@ from ..functions.nulls import bounded_distinct
 from ..session import materialize
 from .clean import ENGINEERED, FittedCleaner
 from .evaluate import classification_report
-from .features import (Scaler, class_rank, feature_list, fit_categories, fit_scaler,
+from .features import (Scaler, feature_list, fit_categories, fit_scaler, hash_folds,
                        label_decode, label_index, one_hot, stratified_split)
 
 # Rows per partition of a training matrix: L-BFGS runs one aggregation job
@@ -55,11 +55,9 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def assign_folds(df: DataFrame, k: int, label: str = "label", key: str = "ticker",
                  seed: int = 42, out: str = "fold") -> DataFrame:
-    """Stratified folds: within each class, rows in md5 order are dealt
-    round-robin to folds 0..k-1 (each fold gets floor/ceil of its share).
-    Ranks come from :func:`class_rank` (bucketed, no class-wide window)."""
-    ranked = class_rank(df, label, key, seed)
-    return ranked.select(*df.columns, ((F.col("_rank") - 1) % k).cast("int").alias(out))
+    """Stratified folds 0..k-1: each takes floor/ceil of its share of every class,
+    cut in md5 order (:func:`hash_folds`; rows are neither sorted nor shuffled)."""
+    return hash_folds(df, k, label, key, seed, out=out)
 
 
 def weighted_f1(pred: DataFrame, classes: Sequence[float]) -> float:

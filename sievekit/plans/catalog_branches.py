@@ -18,6 +18,7 @@ from ..operators import features as M
 from ..operators import labels as L
 from ..operators import model as T
 from ..operators import rules as R
+from ..operators.persist import load_screen, save_screen
 from ..session import materialize
 from ..sources import conform as S
 from ..sources import files as IO
@@ -193,6 +194,21 @@ def q_s05(spark, sf_dir):
     return rounded(S.log_market_cap(S.rename_raw(raw)).select("ticker", "market_cap_log"))
 
 
+_FEED = [c for c in S.EXPECTED_COLUMNS if c not in ("ticker", "beta")]
+
+
+@register("s07_after_conform", O.with_ctes(O.FUNDAMENTALS, body=f"""
+SELECT {sel(_FEED, RAW_D)}, CAST(NULL AS DOUBLE) AS beta, TRUE AS dense FROM fundamentals"""))
+def q_s07_after(spark, sf_dir):
+    """A feed without a ticker column run through S6: every row gets a ticker, SYN0 .. SYN(n-1) once each."""
+    out = materialize(S.conform_columns(fundamentals(spark, sf_dir).drop("ticker", "beta")))
+    number = F.substring("ticker", 4, 20).cast("long")
+    facts = out.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ticker").alias("d"), F.min(number).alias("lo"),
+                    F.max(number).alias("hi")).first()
+    dense = facts["n"] == facts["d"] and (facts["n"] == 0 or (facts["lo"], facts["hi"]) == (0, facts["n"] - 1))
+    return rounded(out.select(*_FEED, "beta", F.lit(dense).alias("dense")))
+
+
 # --------------------------------------------------------------------- split
 @register("m04_split_null_keys", O.with_ctes(*_SCR, body=f"""
 , s AS (SELECT CASE WHEN {_KEY_SQL} % 11 = 0 THEN NULL ELSE target END AS target FROM screened)
@@ -333,8 +349,26 @@ def q_t08(spark, sf_dir):
     want = m.predict(prep.test, keep=["ticker", "target"])
     got = m.score(fundamentals(spark, sf_dir).drop("forward_return"), keep=["ticker"])
     got = got.select(F.col("ticker").alias("_t"), *[F.col(c).alias("_" + c) for c in got.columns if c != "ticker"])
+    return _same_predictions(want, got, m.classes)
+
+
+def _same_predictions(want, got, classes):
     j = want.join(got, F.col("ticker") == F.col("_t"), "left")
     same = F.col("ml_pred_class") == F.col("_ml_pred_class")
-    for c in m.classes:
+    for c in classes:
         same = same & (F.abs(F.col(f"ml_{c.lower()}_proba") - F.col(f"_ml_{c.lower()}_proba")) < 1e-9)
     return j.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.coalesce(same, F.lit(False))).alias("same"))
+
+
+@register("t08_saved_model", O.with_ctes(*_SCR, body=_SPLIT + """
+SELECT target, COUNT(*) AS n, TRUE AS same FROM sp WHERE is_test GROUP BY target"""))
+def q_t08_saved(spark, sf_dir):
+    """The fitted screen saved, loaded by another session and given raw test rows predicts as T5 does."""
+    prep, m = _fitted(spark, sf_dir)
+    path = IO.scratch_path(spark, "screen")
+    save_screen(m, path)
+    other = spark.newSession()
+    got = load_screen(other, path).score(fundamentals(other, sf_dir).drop("forward_return"), keep=["ticker"])
+    scores = IO.scratch_path(spark, "scores")
+    got.select(F.col("ticker").alias("_t"), *[F.col(c).alias("_" + c) for c in got.columns if c != "ticker"]).write.parquet(scores)
+    return _same_predictions(m.predict(prep.test, keep=["ticker", "target"]), spark.read.parquet(scores), m.classes)

@@ -62,16 +62,41 @@ def log_market_cap(df: DataFrame) -> DataFrame:
     return df
 
 
-def conform_columns(df: DataFrame, expected: Sequence[str] = EXPECTED_COLUMNS) -> DataFrame:
+def conform_columns(df: DataFrame, expected: Sequence[str] = EXPECTED_COLUMNS, prefix: str = "SYN") -> DataFrame:
     """Add missing expected columns as typed NULLs, ticker first, then
-    the expected order (extra columns are dropped)."""
+    the expected order (extra columns are dropped).  A missing ticker is generated
+    as S7 does, ``SYN{i}`` with dense i, in the order of :func:`hashed_index`; a ticker
+    column that is there stays as it is, NULLs included."""
     def typed(c):
         if c in df.columns:
             return F.col(c)
         t = StringType() if c in ("ticker", "sector") else DoubleType()
         return F.lit(None).cast(t).alias(c)
     order = ["ticker", *[c for c in expected if c != "ticker"]]
-    return df.select(*[typed(c) for c in order])
+    if "ticker" in df.columns:
+        return df.select(*[typed(c) for c in order])
+    whole = df.select(*[typed(c) for c in order[1:]])
+    return hashed_index(whole).select(F.concat(F.lit(prefix), F.col("_idx").cast("string")).alias("ticker"), *order[1:])
+
+
+# Hash buckets of :func:`hashed_index`: the rows of its broadcast table of offsets.
+INDEX_BUCKETS = 65_536
+
+
+def hashed_index(df: DataFrame, out: str = "_idx") -> DataFrame:
+    """0-based dense row index in two levels, hash bucket and rank inside it: it depends on
+    the rows alone, not on their partitions.  Nothing is written or sorted as a whole: rows
+    are counted per bucket, offsets are prefix sums over ``INDEX_BUCKETS`` counts, and windows
+    order n / ``INDEX_BUCKETS`` rows by (hash, columns).  Only rows equal throughout tie;
+    which of them takes which number makes no difference."""
+    columns = [F.col(c) for c in df.columns]
+    hashed = (df.withColumn("_h", F.xxhash64(*columns))
+                .withColumn("_b", F.pmod("_h", F.lit(INDEX_BUCKETS)).cast("int")))
+    counts = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *columns))
+    return hashed.join(F.broadcast(offsets), "_b").select(*df.columns, (F.col("_off") + rank - 1).alias(out))
 
 
 def dense_index(df: DataFrame, order_by: Sequence, out: str = "_idx",

@@ -4,6 +4,7 @@ writes, and the first-sufficient-source fallback."""
 from __future__ import annotations
 
 import os
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -22,10 +23,60 @@ FUNDAMENTALS_SCHEMA = StructType(
         "current_ratio", "market_cap_log", "beta", "forward_return")])
 
 
+# Published folders: every write goes to a version of its own below ``path``; an empty
+# marker file, created after the write has succeeded, makes it the one that readers take.
+_MARKERS = "_PUBLISHED"
+
+
+def _fs(spark: SparkSession, path: str):
+    """(file system, path class) of the storage that ``path`` names, shared or local."""
+    cls = spark._jvm.org.apache.hadoop.fs.Path
+    return cls(path).getFileSystem(spark._jsc.hadoopConfiguration()), cls
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    fs, cls = _fs(spark, path)
+    markers = cls(path, _MARKERS)
+    if not fs.exists(markers):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(markers))
+
+
+def publish(spark: SparkSession, path: str, write: Callable[[str], None], keep: int = 2) -> str:
+    """Run ``write`` on a fresh folder below ``path`` and publish it; returns the folder.
+
+    Readers see the former version until the marker exists, and a write that fails
+    leaves no marker, so never a half-written one.  The last ``keep`` versions stay (readers
+    may still be on the one before); older ones and what failed writes left below ``path``
+    before them are removed."""
+    version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    target = f"{path}/{version}"
+    write(target)
+    fs, cls = _fs(spark, path)
+    fs.create(cls(f"{path}/{_MARKERS}/{version}"), False).close()
+    known = _versions(spark, path)
+    oldest = known[-keep:][0]
+    for name in known[:-keep]:
+        fs.delete(cls(f"{path}/{_MARKERS}/{name}"), False)
+    for f in fs.listStatus(cls(path)):
+        name = f.getPath().getName()
+        if name.startswith("v") and name < oldest:
+            fs.delete(f.getPath(), True)
+    return target
+
+
+def published(spark: SparkSession, path: str) -> str:
+    """The folder that readers of ``path`` take: its newest published version, or
+    ``path`` itself where nothing was published (a plain file or folder)."""
+    known = _versions(spark, path)
+    return f"{path}/{known[-1]}" if known else path
+
+
 def read_fundamentals(spark: SparkSession, path: str, fmt: str = "csv",
                       schema: StructType | None = FUNDAMENTALS_SCHEMA) -> DataFrame:
-    """Read a cross-section file with a declared schema (no inference
-    pass over the data), then NaN -> NULL once.  ``schema=None`` infers."""
+    """Read a cross-section file or published cache with a declared schema (no
+    inference pass over the data), then NaN -> NULL once.  ``schema=None`` infers."""
+    path = published(spark, path)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
@@ -40,15 +91,21 @@ def write_cache(df: DataFrame, path: str, min_rows: int = 50, fmt: str = "csv")
     """Write ``df`` only if it has at least ``min_rows`` rows.
 
     The check reads at most ``min_rows`` rows (``limit`` stops early), then
-    the write is one distributed job; returns whether it was written.
+    the write is one distributed job into a new version of ``path``, published when it
+    is whole (:func:`publish`): a reader never sees a part of a cache, and a write that
+    fails, or one of too few rows, leaves the previous cache readable.  ``df`` may read the cache
+    it replaces.  Returns whether it was written.
     """
     if df.limit(min_rows).count() < min_rows:
         return False
-    w = df.write.mode("overwrite")
-    if fmt == "csv":
-        w.option("header", True).csv(path)
-    else:
-        w.format(fmt).save(path)
+
+    def write(folder: str) -> None:
+        if fmt == "csv":
+            df.write.option("header", True).csv(folder)
+        else:
+            df.write.format(fmt).save(folder)
+
+    publish(df.sparkSession, path, write)
     return True
 
 

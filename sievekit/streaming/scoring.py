@@ -1,6 +1,7 @@
 """Scoring new records as they arrive (Structured Streaming).
 
-The batch workflow fits everything once (category list, scaler, model);
+The batch workflow fits everything once (category list, scaler, model) and may
+save it (``operators.persist``);
 scoring a new record is then a stateless row transform -- rule signal with
 distances plus model class and probabilities -- so it runs unchanged on a
 streaming DataFrame.  No state store is needed: there is no aggregation
@@ -21,6 +22,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.nulls import nan_to_null
 from ..operators.model import ScreenModel
+from ..operators.persist import load_screen
 from ..operators.rules import INCLUSIVE, Rulebook, screen_with_distances
 from ..sources.files import FUNDAMENTALS_SCHEMA, scratch_path
 
@@ -46,11 +48,14 @@ def read_new_records(spark: SparkSession, path: str, schema: StructType = FUNDAM
     return r.load(path)
 
 
-def start_scoring(spark: SparkSession, model: ScreenModel, source: str, sink: str,
+def start_scoring(spark: SparkSession, model: ScreenModel | str, source: str, sink: str,
                   checkpoint: str | None = None, schema: StructType = FUNDAMENTALS_SCHEMA,
                   fmt: str = "parquet", available_now: bool = False,
                   rulebook: Rulebook = INCLUSIVE) -> StreamingQuery:
-    """Continuously score files landing in ``source`` into parquet at ``sink``."""
+    """Continuously score files landing in ``source`` into parquet at ``sink``, with a
+    fitted model or the folder of a saved one (its newest version when the query starts)."""
+    if isinstance(model, str):
+        model = load_screen(spark, model)
     checkpoint = checkpoint or scratch_path(spark, "scoring-checkpoint")
     scored = score_frame(model, read_new_records(spark, source, schema, fmt), rulebook)
     w = (scored.writeStream.format("parquet").outputMode("append")

@@ -165,3 +165,61 @@ def test_no_training_rows_raise(spark):
     df = spark.createDataFrame([], "ticker string, sector string, x double, forward_return double, target string")
     with pytest.raises(ValueError):
         T.prepare(df, barrier="none")
+
+
+def _split_rows(spark, n=400):
+    return spark.createDataFrame([(f"t{i % 150}" if i % 9 else None, "abc"[i % 3] if i % 7 else None, float(i % 20))
+                                  for i in range(n)], "ticker string, target string, v double").repartition(5)
+
+
+@pytest.mark.parametrize("edge, digits", [(200_000, 4), (3, 1), (1, 2)])
+def test_cuts_match_a_sort_at_every_bucket_size(spark, monkeypatch, edge, digits):
+    """Quotas stay exact with repeated keys, and small buckets only search longer."""
+    monkeypatch.setattr(M, "EDGE_ROWS", edge)
+    df = _split_rows(spark)
+    out = M.stratified_split(df, prefix_hex=digits).toPandas()
+    want = df.toPandas().groupby("target", dropna=False).size()
+    got = out[out.is_test].groupby("target", dropna=False).size()
+    assert len(out) == 400
+    for c, n in want.items():
+        same = got[[g for g in got.index if g == c or (g is None or g != g) and (c is None or c != c)]]
+        assert same.sum() == int(n * 0.3 + 0.5)
+    ranks = M.class_rank(df.select("ticker", "target", "v"), "target").toPandas()
+    folds = M.hash_folds(df, 7, "target", prefix_hex=digits).groupBy("target", "fold").count().toPandas()
+    for c, part in folds.groupby("target", dropna=False):
+        n = part["count"].sum()
+        assert sorted(part["count"]) == sorted([n // 7 + (f < n % 7) for f in range(7)])
+    assert len(ranks) == 400
+
+
+def test_split_of_identical_rows(spark):
+    """Rows equal throughout can't be told apart; the quota still holds."""
+    df = spark.createDataFrame([("x", "a")] * 11 + [("y", "b")] * 3, "ticker string, target string").repartition(4)
+    out = M.stratified_split(df).toPandas()
+    assert out[out.is_test].groupby("target").size().to_dict() == {"a": 3, "b": 1}
+    folds = M.hash_folds(df, 4, "target").toPandas()
+    assert sorted(folds[folds.target == "a"].groupby("fold").size()) == [2, 3, 3, 3]
+
+
+def test_split_of_an_empty_frame(spark):
+    df = spark.createDataFrame([], "ticker string, target string, d int")
+    assert M.stratified_split(df).count() == 0 and M.hash_folds(df, 5, "target").count() == 0
+    assert M.temporal_split(df, ["d"]).count() == 0
+
+
+def test_temporal_cut_with_nulls_and_ties(spark):
+    rows = [(None, "a")] * 4 + [(i // 10, f"t{i % 4}" if i % 5 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "d int, t string").repartition(6)
+    for frac in (0.0, 0.03, 0.31, 0.5, 0.77, 1.0):
+        out = M.temporal_split(df, ["d", "t"], train_frac=frac).toPandas()
+        k = int(len(rows) * frac + 0.5)
+        train = sorted([(r.d == r.d, r.d if r.d == r.d else 0, r.t is not None, r.t or "") for r in out[~out.is_test].itertuples()])
+        every = sorted([(d is not None, d or 0, t is not None, t or "") for d, t in rows])
+        assert train == every[:k]
+
+
+def test_dense_sums(spark):
+    from sievekit.functions.ranks import dense_sums
+    df = spark.createDataFrame([(f"k{i:03d}", i % 5) for i in range(100)], "k string, n int").repartition(7)
+    got = {r.k: r.before for r in dense_sums(df, [F.col("k").asc()], "n", "before").collect()}
+    assert got == {f"k{i:03d}": sum(j % 5 for j in range(i)) for i in range(100)}

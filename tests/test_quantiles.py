@@ -87,3 +87,24 @@ def test_banded_path_on_hot_group_matches_duckdb(spark):
     for flag in exp.index:
         for col in exp.columns:
             assert got.loc[flag, col] == pytest.approx(exp.loc[flag, col], rel=1e-12), (flag, col)
+
+
+def test_nan_counts_as_missing_and_infinities_are_values(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([("g", v) for v in [1.0, 2.0, nan, 4.0, None, inf, 3.0]] + [("h", nan), ("h", None), (None, 5.0)],
+                               "g string, a double")
+    got = {r[0]: (r[1], r[2], r[3]) for r in quantiles(df, ["a"], [0.0, 0.5, 0.75], by=["g"]).collect()}
+    assert got["g"] == (1.0, 3.0, 4.0) and got[None] == (5.0, 5.0, 5.0) and "h" not in got
+
+
+def test_only_in_band_values_become_rows(spark):
+    """Rows aren't multiplied by columns and probabilities: what leaves the generator is the band."""
+    df = spark.range(40_000).select(*[F.rand(i).alias(f"c{i}") for i in range(4)])
+    long = quantiles(df, [f"c{i}" for i in range(4)], [0.01, 0.5, 0.99], accuracy=1000)
+    plan = long._jdf.queryExecution().executedPlan().toString()
+    assert "Generate inline(filter(" in plan.replace("\n", " ")
+    inner = [v for i in range(4) for v in [df.select(f"c{i}").toPandas()[f"c{i}"].quantile([0.01, 0.5, 0.99]).tolist()]]
+    row = long.first()
+    for i in range(4):
+        for p, want in zip((0.01, 0.5, 0.99), inner[i]):
+            assert row[qname(f"c{i}", p)] == pytest.approx(want, rel=1e-12)

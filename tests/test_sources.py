@@ -114,3 +114,36 @@ def test_date_window_defaults_to_today(spark):
     p = spark.createDataFrame(rows, "ticker string, date date, close double")
     got = sorted(r.date for r in P.date_window(p).collect())
     assert got == sorted(today - datetime.timedelta(days=d) for d in (1, 400))
+
+
+def test_cache_versions_are_whole_or_absent(spark, tmp_path):
+    """A reader never sees a failed or too small write; old versions go, the last two stay."""
+    path = str(tmp_path / "cache")
+    frame = lambda k, n: spark.range(n).select((F.col("id") + k).cast("string").alias("ticker"), F.lit("s").alias("sector"),
+                                               *[F.lit(float(k)).alias(f.name) for f in IO.FUNDAMENTALS_SCHEMA.fields[2:]])
+    read = lambda: {r.PE_ratio for r in IO.read_fundamentals(spark, path).collect()}
+    assert IO.write_cache(frame(1, 60), path) and read() == {1.0}
+    assert not IO.write_cache(frame(2, 10), path) and read() == {1.0}
+    bad = frame(3, 60).withColumn("beta", F.when(F.col("ticker") == "40", F.raise_error(F.lit("lost"))).otherwise(F.col("beta")))
+    with pytest.raises(Exception, match="lost"):
+        IO.publish(spark, path, lambda folder: bad.write.option("header", True).csv(folder))
+    assert read() == {1.0}
+    # a cache may be rebuilt from itself
+    assert IO.write_cache(IO.read_fundamentals(spark, path).withColumn("PE_ratio", F.lit(4.0)), path) and read() == {4.0}
+    for k in (5, 6, 7):
+        assert IO.write_cache(frame(k, 50), path) and read() == {float(k)}
+    kept = [f for f in os.listdir(path) if f.startswith("v")]
+    assert len(kept) == 2 and len([m for m in os.listdir(os.path.join(path, "_PUBLISHED")) if m.startswith("v")]) == 2
+
+
+def test_conform_generates_tickers(spark):
+    rows = [(float(i % 50), None if i % 3 else "s") for i in range(400)]
+    df = spark.createDataFrame(rows, "PE_ratio double, sector string").repartition(6)
+    out = S.conform_columns(df).toPandas()
+    assert sorted(out.ticker) == sorted(f"SYN{i}" for i in range(400))
+    again = S.conform_columns(df.repartition(3)).toPandas()
+    key = lambda f: sorted(zip(f.ticker, f.PE_ratio, f.sector.fillna("")))
+    assert key(out) == key(again)
+    assert S.conform_columns(df.limit(0)).count() == 0
+    kept = S.conform_columns(df.withColumn("ticker", F.lit(None).cast("string")))
+    assert kept.where("ticker is not null").count() == 0
