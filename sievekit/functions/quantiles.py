@@ -79,30 +79,25 @@ def sketch_bounds(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return df.groupBy(*by).agg(*aggs)
 
 
-def _literal_arrays(row, n_cols: int) -> list[str]:
-    """The bounds of a one-row sketch as SQL array literals."""
-    return ["array(" + ", ".join("CAST(NULL AS DOUBLE)" if v is None else lit_num(v) for v in row[f"_b{i}"]) + ")"
-            for i in range(n_cols)]
-
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+              by: Sequence[str] = (), method: str = "exact",
+              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Wide form: one row per group of ``by`` with one column per
+    (column, prob) named ``qname(column, prob)``; NULL where a group has no
+    value for a column.  With ``by=()`` the result has exactly one row, also of an empty frame.
 
-def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   by: Sequence[str] = (), method: str = "exact",
-                   accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Long form: (by..., column, prob, value).  Groups/columns with no
-    non-null value produce no row."""
+    The result is lazy after pass 1; callers that use it twice write it."""
     by, cols, probs = list(by), list(cols), [float(p) for p in probs]
     k = len(probs)
+    slots = [(i, j) for i in range(len(cols)) for j in range(k)]
+    names = [q(qname(cols[i], probs[j])) for i, j in slots]
     if method == "approx":
         wide = df.groupBy(*by).agg(*[
             F.expr(f"percentile_approx({_value(c)}, {_arr(probs)}, {accuracy}) AS _b{i}")
             for i, c in enumerate(cols)])
-        items = ", ".join(f"struct({lit_str(c)} AS column, {lit_num(p)} AS prob, _b{i}[{j}] AS value)"
-                          for i, c in enumerate(cols) for j, p in enumerate(probs))
-        return (wide.select(*by, F.expr(f"inline(array({items}))"))
-                    .where(F.col("value").isNotNull()))
+        return wide.select(*by, *[F.expr(f"_b{i}[{j}] AS {n}") for (i, j), n in zip(slots, names)])
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
-    slots = [(i, j) for i in range(len(cols)) for j in range(k)]
 
     # -- pass 1: bounds around each target rank, next to every row ----------
     sketch = sketch_bounds(df, cols, probs, by, accuracy)
@@ -110,26 +105,25 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     if by:
         # one row per group, written once; adaptive execution broadcasts it when it is small
         rows = attach_by_group(values, materialize(sketch), by, prefix="_s")
-        bounds = [f"_s_b{i}" for i in range(len(cols))]
+        lo, hi = [[f"_s_b{i}[{m + j}]" for i, j in slots] for m in (0, k)]
     else:
-        rows, bounds = values, _literal_arrays(sketch.first(), len(cols))
+        row, rows = sketch.first(), values
+        lo, hi = [["CAST(NULL AS DOUBLE)" if row[f"_b{i}"][m + j] is None else lit_num(row[f"_b{i}"][m + j])
+                   for i, j in slots] for m in (0, k)]
 
     # -- pass 2: counts below each band and the nearest values outside it ---
     aggs = [F.expr(f"count(_x{i}) AS _n{i}") for i in range(len(cols))]
-    for s, (i, j) in enumerate(slots):
-        lo, hi = f"{bounds[i]}[{j}]", f"{bounds[i]}[{k + j}]"
-        aggs += [F.expr(f"count(CASE WHEN _x{i} < {lo} THEN 1 END) AS _below{s}"),
-                 F.expr(f"max(CASE WHEN _x{i} < {lo} THEN _x{i} END) AS _pred{s}"),
-                 F.expr(f"min(CASE WHEN _x{i} > {hi} THEN _x{i} END) AS _succ{s}")]
-    items = ", ".join(f"struct({s} AS slot, _n{i} AS n, (_n{i} - 1) * {lit_num(probs[j])} AS pos, _below{s} AS n_below, "
+    for s, (i, _) in enumerate(slots):
+        aggs += [F.expr(f"count(CASE WHEN _x{i} < {lo[s]} THEN 1 END) AS _below{s}"),
+                 F.expr(f"max(CASE WHEN _x{i} < {lo[s]} THEN _x{i} END) AS _pred{s}"),
+                 F.expr(f"min(CASE WHEN _x{i} > {hi[s]} THEN _x{i} END) AS _succ{s}")]
+    items = ", ".join(f"struct({s} AS slot, (_n{i} - 1) * {lit_num(probs[j])} AS pos, _below{s} AS below, "
                       f"_pred{s} AS pred, _succ{s} AS succ)" for s, (i, j) in enumerate(slots))
-    totals = (rows.groupBy(*by).agg(*aggs).select(*by, F.expr(f"inline(array({items}))"))
-                  .where("n > 0").withColumn("_lo", F.expr("floor(pos) - n_below"))
-                  .withColumn("_hi", F.expr("ceil(pos) - n_below")))
+    totals = rows.groupBy(*by).agg(*aggs).select(*by, F.expr(f"inline(array({items}))")).select(
+        *by, "slot", "pos", F.expr("floor(pos) - below AS _lo"), F.expr("ceil(pos) - below AS _hi"), "pred", "succ")
 
     # -- pass 3: in-band values, binned --------------------------------------
-    items = ", ".join(f"struct({s} AS slot, _x{i} AS x, {bounds[i]}[{j}] AS lo, {bounds[i]}[{k + j}] AS hi)"
-                      for s, (i, j) in enumerate(slots))
+    items = ", ".join(f"struct({s} AS slot, _x{i} AS x, {lo[s]} AS lo, {hi[s]} AS hi)" for s, (i, _) in enumerate(slots))
     # an infinite or empty span leaves one bin
     share = "nanvl(coalesce(try_divide(x - lo, nullif(hi - lo, 0.0D)), 0.0D), 0.0D)"
     keys = [*by, "slot"]
@@ -140,11 +134,11 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     bins = (band.groupBy(*keys, "_bin").agg(F.sum("cnt").alias("_in"))
                 .withColumn("_upto", F.coalesce(F.sum("_in").over(earlier), F.lit(0))))
 
-    def renamed(frame: DataFrame, names: Sequence[str], prefix: str, *rest: str) -> DataFrame:
-        return frame.select(*[F.col(n).alias(f"{prefix}{m}") for m, n in enumerate(names)], *rest)
+    def renamed(frame: DataFrame, columns: Sequence[str], prefix: str, *rest: str) -> DataFrame:
+        return frame.select(*[F.col(n).alias(f"{prefix}{m}") for m, n in enumerate(columns)], *rest)
 
-    def tagged(names: Sequence[str], prefix: str) -> list[str]:
-        return [f"{prefix}{m}" for m in range(len(names))]
+    def tagged(columns: Sequence[str], prefix: str) -> list[str]:
+        return [f"{prefix}{m}" for m in range(len(columns))]
 
     wanted = renamed(totals, keys, "_t", "_lo", "_hi")
     holds = " OR ".join(f"({r} >= _upto AND {r} < _upto + _in)" for r in ("_lo", "_hi"))
@@ -154,36 +148,21 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     within = Window.partitionBy(*bkeys).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (band.join(chosen, _null_safe_on(band, chosen, bkeys, tagged(bkeys, "_k")))
                   .withColumn("_reach", F.col("_upto") + F.sum("cnt").over(within)))
-    found = ranked.groupBy(*keys).agg(
-        *[F.expr(f"min(CASE WHEN {r} >= _reach - cnt AND {r} < _reach THEN x END) AS b{r}") for r in ("_lo", "_hi")])
-    found = renamed(found, keys, "_f", "b_lo", "b_hi")
-    out = totals.join(found, _null_safe_on(totals, found, keys, tagged(keys, "_f")), "left")
-    # a rank outside the band is the nearest value outside (ties included)
-    ends = [f"CASE WHEN {r} < 0 THEN pred ELSE coalesce(b{r}, succ) END" for r in ("_lo", "_hi")]
-    names = F.expr("element_at(array(" + ", ".join(f"struct({lit_str(cols[i])} AS column, {lit_num(probs[j])} AS prob)"
-                                                   for i, j in slots) + "), slot + 1)")
-    return (out.select(*by, names.alias("_name"), F.expr(f"{ends[0]} + ({ends[1]} - {ends[0]}) * (pos - floor(pos))").alias("value"))
-               .select(*by, "_name.column", "_name.prob", "value"))
-
-
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              by: Sequence[str] = (), method: str = "exact",
-              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Wide form: one row per group of ``by`` with one column per
-    (column, prob) named ``qname(column, prob)``; NULL where a group has no
-    value for a column.  With ``by=()`` the result has exactly one row; a
-    group whose every value is NULL has no row (consumers left-join).
-
-    The result is lazy after pass 1; callers that use it twice write it."""
-    by, cols, probs = list(by), list(cols), [float(p) for p in probs]
-    return _wide(quantiles_long(df, cols, probs, by, method, accuracy), cols, probs, by)
-
-
-def _wide(long: DataFrame, cols, probs, by) -> DataFrame:
-    wide_cols = [F.expr(f"max(CASE WHEN column = {lit_str(c)} AND prob = {lit_num(p)} "
-                        f"THEN value END) AS {q(qname(c, p))}")
-                 for c in cols for p in probs]
-    if not by:
-        # always exactly one row, even for an empty input
-        return long.agg(*wide_cols)
-    return long.groupBy(*by).agg(*wide_cols)
+    picked = [f"CASE WHEN {r} >= _reach - cnt AND {r} < _reach THEN x END AS b{r}" for r in ("_lo", "_hi")]
+
+    # -- the totals and the values at the ranks meet in one row per group ---
+    null = "CAST(NULL AS DOUBLE)"
+    both = totals.selectExpr(*[q(b) for b in by], "slot", "pos", "_lo", "_hi", "pred", "succ", f"{null} AS b_lo", f"{null} AS b_hi").unionByName(
+        ranked.selectExpr(*[q(b) for b in by], "slot", f"{null} AS pos", "CAST(NULL AS BIGINT) AS _lo", "CAST(NULL AS BIGINT) AS _hi",
+                          f"{null} AS pred", f"{null} AS succ", *picked).where("b_lo IS NOT NULL OR b_hi IS NOT NULL"))
+    out = both.groupBy(*by).agg(*[
+        F.expr(f"max(CASE WHEN slot = {s} THEN struct(pos, _lo, _hi, pred, succ) END) FILTER (WHERE pos IS NOT NULL) AS _t{s}")
+        for s in range(len(slots))], *[
+        F.expr(f"min(CASE WHEN slot = {s} THEN b{r} END) AS _v{s}{r}") for s in range(len(slots)) for r in ("_lo", "_hi")])
+
+    def at(s: int, r: str) -> str:
+        # a rank outside the band is the nearest value outside (ties included)
+        return f"CASE WHEN _t{s}.{r} < 0 THEN _t{s}.pred ELSE coalesce(_v{s}{r}, _t{s}.succ) END"
+
+    return out.select(*by, *[F.expr(f"{at(s, '_lo')} + ({at(s, '_hi')} - {at(s, '_lo')}) * (_t{s}.pos - floor(_t{s}.pos)) AS {n}")
+                             for s, n in enumerate(names)])
