@@ -1,4 +1,4 @@
-"""Attaching fitted statistics back to rows, and guarded correlation."""
+"""Attaching fitted statistics back to rows."""
 
 from __future__ import annotations
 
@@ -43,16 +43,3 @@ def attach_by_group(df: DataFrame, stats: DataFrame, by: Sequence[str],
         c = df[b].eqNullSafe(right[g])
         cond = c if cond is None else cond & c
     return df.join(right, cond, "left").drop(*gk)
-
-
-def safe_corr(a: Column, b: Column) -> Column:
-    """Pearson correlation that is NULL (not an error) for constant input.
-
-    ``F.corr`` raises DIVIDE_BY_ZERO under ANSI mode when a side has zero
-    variance; pandas returns NaN.  Use over pairwise-complete rows.
-    """
-    both = a.isNotNull() & b.isNotNull()
-    aa = F.when(both, a)
-    bb = F.when(both, b)
-    den = F.stddev_pop(aa) * F.stddev_pop(bb)
-    return F.try_divide(F.covar_pop(aa, bb), F.when(den != 0, den))

@@ -15,8 +15,8 @@ from pyspark.sql.types import DoubleType, LongType
 
 from ..functions.nulls import MAX_LABELS, bounded_distinct
 from ..functions.quantiles import qname, quantiles
-from ..functions.ranks import average_ranks, prefix_table
-from ..functions.stats import safe_corr, scalars
+from ..functions.ranks import prefix_table, rank_correlation
+from ..functions.stats import scalars
 
 BUY, HOLD, SELL = "Buy", "Hold", "Sell"
 
@@ -129,12 +129,8 @@ def information_coefficient(df: DataFrame, score: str, outcome: str,
                             buckets: int | None = None) -> DataFrame:
     """V6: Spearman rank correlation (average ranks on ties) of score and
     outcome over pairwise-complete rows; NULL for < 2 rows or constant input."""
-    base = df.select(score, outcome).where(F.col(score).isNotNull() & F.col(outcome).isNotNull())
-    ra = average_ranks(base, score, "_ra", buckets)
-    rb = average_ranks(base, outcome, "_rb", buckets)
-    j = base.join(ra, score).join(rb, outcome)
-    n = F.count(F.lit(1))
-    return j.agg(F.when(n >= 2, safe_corr(F.col("_ra"), F.col("_rb"))).alias("ic"))
+    r = rank_correlation(df, score, outcome, buckets)
+    return r.select(F.when(F.col("n") >= 2, F.col("corr")).alias("ic"))
 
 
 def spread(signal: str, outcome: str = "forward_return") -> Column:
@@ -144,24 +140,42 @@ def spread(signal: str, outcome: str = "forward_return") -> Column:
     return F.avg(F.when(s == BUY, r)) - F.avg(F.when(s == SELL, r))
 
 
+def _roc_prefix(df: DataFrame, true: str, scores: dict[str, str], buckets: int | None) -> DataFrame:
+    """One pass for all classes: (class, threshold, pos, neg, before_..., all_...) per distinct
+    score, highest first, of the classes that have both outcomes."""
+    items = F.array(*[F.struct(F.lit(c).alias("class"), F.col(s).cast(DoubleType()).alias("threshold"),
+                               (F.col(true) == c).cast("long").alias("_hit")) for c, s in scores.items()])
+    long = df.where(F.col(true).isNotNull()).select(F.inline(items)).where(F.col("threshold").isNotNull())
+    t = prefix_table(long, "threshold", {"pos": F.col("_hit"), "neg": 1 - F.col("_hit")}, descending=True,
+                     buckets=buckets, by=["class"])
+    return t.where((F.col("all_pos") > 0) & (F.col("all_neg") > 0))
+
+
+def roc_table(df: DataFrame, true: str, scores: dict[str, str], buckets: int | None = None) -> DataFrame:
+    """V8 for several classes (class -> its score column): (class, threshold, fpr, tpr) at every
+    distinct score of each, plus each class's (0, 0) origin with a NULL threshold.  A class
+    that is the only label, or never is one, has no rows."""
+    t = _roc_prefix(df, true, scores, buckets)
+    point = F.struct(F.col("threshold"), ((F.col("before_neg") + F.col("neg")) / F.col("all_neg")).alias("fpr"),
+                     ((F.col("before_pos") + F.col("pos")) / F.col("all_pos")).alias("tpr"))
+    origin = F.struct(F.lit(None).cast(DoubleType()).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    first = F.col("before_pos") + F.col("before_neg") == 0
+    return t.select("class", F.inline(F.when(first, F.array(origin, point)).otherwise(F.array(point))))
+
+
 def roc_points(df: DataFrame, true: str, score: str, positive: str,
                buckets: int | None = None) -> DataFrame:
     """V8: one-vs-rest ROC points (threshold, fpr, tpr) at every distinct
     score, highest first, plus the (0, 0) origin with a NULL threshold.
     Empty when the true labels hold a single value."""
-    is_pos = (F.col(true) == positive).cast("long")
-    base = df.where(F.col(score).isNotNull() & F.col(true).isNotNull())
-    t = prefix_table(base, score, {"pos": is_pos, "neg": 1 - is_pos}, descending=True,
-                     buckets=buckets)
-    tot = base.agg(F.sum(is_pos).alias("P"), F.sum(1 - is_pos).alias("N"))
-    s = scalars(tot, ["P", "N"])
-    valid = (s["P"] > 0) & (s["N"] > 0)
-    pts = t.select(F.col(score).alias("threshold"),
-                   ((F.col("before_neg") + F.col("neg")) / s["N"]).alias("fpr"),
-                   ((F.col("before_pos") + F.col("pos")) / s["P"]).alias("tpr"))
-    origin = tot.select(F.lit(None).cast(DoubleType()).alias("threshold"),
-                        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return pts.unionByName(origin).where(valid).withColumn("class", F.lit(positive))
+    return roc_table(df, true, {positive: score}, buckets).select("threshold", "fpr", "tpr", "class")
+
+
+def auc_table(df: DataFrame, true: str, scores: dict[str, str], buckets: int | None = None) -> DataFrame:
+    """V9 for several classes in one pass: (class, auc); see :func:`auc`."""
+    t = _roc_prefix(df, true, scores, buckets)
+    above = F.sum(F.col("neg") * (F.col("before_pos") + F.col("pos") / 2.0))
+    return t.groupBy("class").agg((above / (F.first("all_pos").cast(DoubleType()) * F.first("all_neg").cast(DoubleType()))).alias("auc"))
 
 
 def auc(df: DataFrame, true: str, score: str, positive: str,

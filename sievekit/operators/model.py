@@ -77,18 +77,24 @@ class GridResult:
     reason: str = ""                     # why the default C was taken, if it was
 
 
+# Fits of a grid search that run at a time: each caches the blocks of the folds it trains on.
+PARALLEL_FITS = 4
+
+
 def grid_search(train: DataFrame, classes: Sequence[float], grid: Sequence[float] = C_GRID,
-                max_folds: int = MAX_FOLDS, parallelism: int | None = None) -> GridResult:
+                max_folds: int = MAX_FOLDS, parallelism: int = PARALLEL_FITS) -> GridResult:
     """Mean weighted F1 over stratified folds for each C; the first
     best C wins (smallest on ties).  Fewer than 5 rows -> C=1.0.  The fits
-    are independent Spark jobs submitted from a small driver thread pool.
+    are independent Spark jobs submitted from a small driver thread pool, ``parallelism``
+    at a time.  The folded rows are written once; a fit caches the blocks it trains on (Spark
+    ML's own copy) and nothing else is held in memory.
     """
     n = train.count()
     if n < 5:
         return GridResult(DEFAULT_C, {}, 0, "fewer than 5 training rows")
     k = min(max_folds, n)
     folded = assign_folds(train, k)
-    folded = materialize(folded.repartition(max(1, -(-n // ROWS_PER_PARTITION))), "persist")
+    folded = materialize(folded.repartition(max(1, -(-n // ROWS_PER_PARTITION))))
     sizes = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def fit_score(args):
@@ -98,9 +104,6 @@ def grid_search(train: DataFrame, classes: Sequence[float], grid: Sequence[float
         m = make_lr(c, n - sizes.get(f, 0)).fit(tr)
         return c, f, weighted_f1(m.transform(va), classes)
 
-    if parallelism is None:
-        # each running fit caches its own copy of the folds it trains on
-        parallelism = 8 if n <= ROWS_PER_PARTITION else 2
     jobs = [(c, f) for c in grid for f in range(k)]
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -109,8 +112,6 @@ def grid_search(train: DataFrame, classes: Sequence[float], grid: Sequence[float
         # the data can't be fitted (a fold with one class, say); a lost executor
         # or a lack of memory raises
         return GridResult(DEFAULT_C, {}, k, f"{type(e).__name__}: {e}"[:500])
-    finally:
-        folded.unpersist()
     scores = {c: sum(s for cc, _, s in results if cc == c) / k for c in grid}
     best = max(grid, key=lambda c: (scores[c], -grid.index(c)))
     return GridResult(best, scores, k)
@@ -214,7 +215,7 @@ def prepare(df: DataFrame, label: str = "target", test_frac: float = 0.30, seed:
 
 
 def train_screen_model(prep: Prepared, grid: Sequence[float] = C_GRID, tune: bool = True,
-                       parallelism: int | None = None) -> ScreenModel:
+                       parallelism: int = PARALLEL_FITS) -> ScreenModel:
     """Tune C by stratified CV (optional), refit on all train rows."""
     train = assemble(prep.train, prep.features)
     n = train.count()

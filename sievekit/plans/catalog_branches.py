@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.nulls import nan_to_null
+from ..functions.sqlexpr import lit_num, q
 from ..operators import clean as C
 from ..operators import evaluate as V
 from ..operators import features as M
@@ -303,6 +304,38 @@ def q_t02(spark, sf_dir):
     return T.assign_folds(train, 5, "target").groupBy("target", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("t02_choice", O.with_ctes(*_SCR, body="""
+, n AS (SELECT COUNT(*) AS n FROM screened)
+SELECT c.c AS "C", 5 AS folds, TRUE AS in_bounds, TRUE AS chosen_as_ruled
+FROM (VALUES (0.01), (0.1), (1.0), (10.0), (100.0)) c(c), n WHERE n.n >= 5"""))
+def q_t02_choice(spark, sf_dir):
+    """The grid has its five values over five folds; the best is the smallest C of the highest mean score."""
+    g = T.train_screen_model(T.prepare(screened(spark, sf_dir)), tune=True).grid
+    top = max(g.scores.values())
+    best = min(c for c, v in g.scores.items() if v == top)
+    rows = [(float(c), g.folds, 0.0 <= v <= 1.0, (c == g.best_c) == (c == best)) for c, v in g.scores.items()]
+    return spark.createDataFrame(rows, "C double, folds int, in_bounds boolean, chosen_as_ruled boolean")
+
+
+@register("t06_coefficients", O.with_ctes(*_LAB, body=f"""
+SELECT DISTINCT target AS class, CAST({_FEATURES_SQL} + 1 AS BIGINT) AS n_rows, TRUE AS same FROM labelled"""))
+def q_t06(spark, sf_dir):
+    """The coefficient table alone, applied to the test rows, gives the model's probabilities."""
+    prep, m = _fitted(spark, sf_dir)
+    table = m.coefficients(spark).collect()
+    score = {}
+    for cls in m.classes:
+        own = {r["feature"]: r["coefficient"] for r in table if r["class"] == cls}
+        terms = [f"{lit_num(w)} * {q(f)}" for f, w in own.items() if f != "Intercept"]
+        score[cls] = f"exp({' + '.join([lit_num(own['Intercept']), *terms])})"
+    total = " + ".join(score.values())
+    exact = prep.test.select("ticker", *[F.expr(f"{e} / ({total})").alias(f"_p{i}") for i, e in enumerate(score.values())])
+    got = m.predict(prep.test, keep=["ticker"]).join(exact, "ticker")
+    worst = got.agg(*[F.max(F.abs(F.col(f"ml_{c.lower()}_proba") - F.col(f"_p{i}"))).alias(f"w{i}") for i, c in enumerate(m.classes)]).first()
+    rows = [(c, sum(r["class"] == c for r in table), worst[f"w{i}"] is not None and worst[f"w{i}"] < 1e-9) for i, c in enumerate(m.classes)]
+    return spark.createDataFrame(rows, "class string, n_rows long, same boolean")
+
+
 @register("t03_weighted_f1", O.with_ctes(O.FUNDAMENTALS, O.SCORED, body=_REPORT + """
 SELECT ROUND(f1_score, 9) AS f1_weighted FROM rep WHERE label = 'weighted avg' AND method = 'ml_pred_class'"""))
 def q_t03(spark, sf_dir):

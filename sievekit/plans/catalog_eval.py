@@ -179,21 +179,11 @@ FROM c JOIN t ON c.class = t.class WHERE P > 0 AND N > 0
 UNION ALL
 SELECT class, CAST(NULL AS DOUBLE), 0.0, 0.0 FROM t WHERE P > 0 AND N > 0"""))
 def q_v08(spark, sf_dir):
-    s = _scored(spark, sf_dir)
-    out = None
-    for k, col in PROBA.items():
-        r = V.roc_points(s, "target", col, k).select("class", "threshold", "fpr", "tpr")
-        out = r if out is None else out.unionByName(r)
-    return rounded(out)
+    return rounded(V.roc_table(_scored(spark, sf_dir), "target", PROBA))
 
 
 def _aucs(spark, sf_dir):
-    s = _scored(spark, sf_dir)
-    out = None
-    for k, col in PROBA.items():
-        a = V.auc(s, "target", col, k)
-        out = a if out is None else out.unionByName(a)
-    return out
+    return V.auc_table(_scored(spark, sf_dir), "target", PROBA)
 
 
 @register("v09_auc", _sql(_ROC_BASE + """

@@ -48,18 +48,19 @@ def q_s03(spark, sf_dir):
     return rounded(df.select(F.lit(name).alias("source"), *RAW))
 
 
-_RAW_KEYS = {v: k for k, v in S.FEATURE_MAP.items()}
+# The feed's own keys, spelled out here so that a wrong entry of the map shows.
+_FEED_KEYS = {
+    "sector": "sector", "trailingPE": "PE_ratio", "returnOnEquity": "ROE", "debtToEquity": "DE_ratio",
+    "dividendYield": "dividend_yield", "revenueGrowth": "revenue_growth", "profitMargins": "profit_margin",
+    "currentRatio": "current_ratio", "beta": "beta",
+}
 
 
 def _raw_feed(spark, sf_dir):
-    """The fundamentals re-expressed as a raw feed (vendor keys, market cap in USD)."""
+    """The fundamentals as a raw feed delivers them (vendor keys, market cap in USD)."""
     f = fundamentals(spark, sf_dir)
-    cols = [F.col("ticker")]
-    for c in ("sector", "PE_ratio", "ROE", "DE_ratio", "dividend_yield", "revenue_growth",
-              "profit_margin", "current_ratio", "beta"):
-        cols.append(F.col(c).alias(_RAW_KEYS[c]))
-    cols.append(F.pow(F.lit(10.0), F.col("market_cap_log")).alias("marketCap"))
-    return f.select(*cols, "forward_return")
+    cols = [F.col(c).alias(key) for key, c in _FEED_KEYS.items()]
+    return f.select("ticker", *cols, F.pow(F.lit(10.0), F.col("market_cap_log")).alias("marketCap"), "forward_return")
 
 
 _S04_COLS = ["ticker", "sector", "PE_ratio", "ROE", "DE_ratio", "dividend_yield", "revenue_growth",
@@ -143,25 +144,25 @@ def q_s12_head(spark, sf_dir):
     return rounded(S.head(fundamentals(spark, sf_dir)))
 
 
-@register("x01_format_percent", O.with_ctes(*O.clean_prefix(), body="""
-SELECT ticker, CASE WHEN forward_return IS NULL THEN '—'
-                    ELSE printf('%.2f%%', forward_return * 100) END AS forward_return_pct,
-       CASE WHEN ROE IS NULL THEN '—' ELSE printf('%.2f%%', ROE * 100) END AS roe_pct
-FROM clean"""))
+_RATIOS = [*O.FEATURES, "earnings_yield", "quality_score", "leverage_adj_roe", "forward_return"]
+
+
+def _printf(fmt: str, value: str, name: str) -> str:
+    return ", ".join(f"CASE WHEN {c} IS NULL THEN '—' ELSE printf('{fmt}', {value.format(c)}) END AS {c}{name}" for c in _RATIOS)
+
+
+@register("x01_format_percent", O.with_ctes(*O.clean_prefix(), body=f"""
+SELECT ticker, {_printf('%.2f%%', '{} * 100', '_pct')} FROM clean"""))
 def q_x01(spark, sf_dir):
-    # Averages of cent-valued inputs (dividend_yield, profit_margin) sit on
-    # exact decimal ties whose last bit depends on summation order, so the
-    # oracle compare uses full-precision ratios.
+    """Every ratio of the cleaned rows as percent text."""
     c = cleaned(spark, sf_dir)
-    return c.select("ticker", fmt_pct(F.col("forward_return")).alias("forward_return_pct"),
-                    fmt_pct(F.col("ROE")).alias("roe_pct"))
+    return c.select("ticker", *[fmt_pct(F.col(r)).alias(f"{r}_pct") for r in _RATIOS])
 
 
-@register("x02_format_number", O.with_ctes(*O.clean_prefix(), body="""
-SELECT ticker, CASE WHEN PE_ratio IS NULL THEN '—' ELSE printf('%.3f', PE_ratio) END AS pe_text,
-       CASE WHEN ROE IS NULL THEN '—' ELSE printf('%.1f', ROE) END AS roe_text
-FROM clean"""))
+@register("x02_format_number", O.with_ctes(*O.clean_prefix(), body=f"""
+SELECT ticker, {_printf('%.3f', '{}', '_text')}, {_printf('%.1f', '{}', '_short')} FROM clean"""))
 def q_x02(spark, sf_dir):
+    """Every ratio of the cleaned rows with three decimals and with one."""
     c = cleaned(spark, sf_dir)
-    return c.select("ticker", fmt_num(F.col("PE_ratio")).alias("pe_text"),
-                    fmt_num(F.col("ROE"), 1).alias("roe_text"))
+    return c.select("ticker", *[fmt_num(F.col(r)).alias(f"{r}_text") for r in _RATIOS],
+                    *[fmt_num(F.col(r), 1).alias(f"{r}_short") for r in _RATIOS])
