@@ -6,156 +6,237 @@ geometric mean of their own numbers.  A bounded set of labelled texts is the
 training sample; some of them are Nyström landmarks, the kernel against the
 landmarks whitened by their own kernel matrix gives features, and one ridge
 regression per language (one against the rest) is solved in closed form.
-Scoring a batch is sparse presence times landmark presence, then two dense
-matrix products.
 
-Characters are mapped to a small alphabet (the most frequent lower-cased letters
-of the sample, a blank for everything that is no letter, one code for other
-letters), so every n-gram has an address of its own and presence is exact.
+Characters are lower-cased; letters and the marks that belong to them keep their code
+point, runs of anything else are one blank.  Three code points of 21 bits fit one integer,
+so every n-gram of every script is its own number and presence is exact.  Batches are scored by
+matrix products: presence of the n-grams that most landmarks hold times a dense matrix, the
+others by the landmarks' lists; then the kernel rows times the weights.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .frames import free_prefix, trimmed
+from .frames import free_prefix, stored, trimmed
 
-LETTERS = 46            # of the alphabet, besides the blank and the code of other letters
 ORDERS = (1, 2, 3)
-#: bounds of the training sample: texts per language, and characters taken from each of those texts
+#: bounds of the training sample: whole texts per language, and how many of them are landmarks
 TRAIN_PER_LANGUAGE = 400
-TRAIN_CHARS = 2_000
 LANDMARKS_PER_LANGUAGE = 60
 RIDGE = 1e-3
+#: n-grams, those that most landmarks hold, whose presence is multiplied densely; and texts of a product
+DENSE = 16_384
+BLOCK = 64
 UNDETERMINED = "und"
 #: a document whose best language scores less stands out from no other one and is rejected
 MIN_SCORE = 0.3
 
+_BITS = 21
+_BLANK = 1
+
+
+@cache
+def _letters() -> np.ndarray:
+    """Code point -> whether it is a letter or a mark."""
+    return np.array([unicodedata.category(chr(i))[0] in "LM" for i in range(0x110000)])
+
+
+def symbols(text: str) -> np.ndarray:
+    """Code points + 1 of letters, one blank for each run of anything else."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    out = np.where(_letters()[points], points + 1, _BLANK)
+    return out[(out != _BLANK) | (np.concatenate(([0], out[:-1])) != _BLANK)]
+
+
+def ngrams(text: str) -> np.ndarray:
+    """The distinct n-grams of a text, as numbers."""
+    s = np.concatenate(([_BLANK], symbols(text), [_BLANK]))
+    grams = []
+    for n in ORDERS:
+        if len(s) >= n:
+            value = np.zeros(len(s) - n + 1, np.int64)
+            for k in range(n):
+                value = (value << _BITS) | s[k:len(s) - n + 1 + k]
+            grams.append(value)
+    return pd.unique(np.concatenate(grams))
+
+
+@dataclass
+class Landmarks:
+    """The n-grams of the landmarks: which of them hold each."""
+
+    keys: np.ndarray            # sorted n-grams that some landmark holds
+    row: np.ndarray             # their rows; the first ones are rows of ``dense``
+    dense: np.ndarray           # float32, n-gram x landmark
+    first: np.ndarray           # ranges of ``lists`` for the other rows
+    lists: np.ndarray           # landmarks that hold the n-gram
+    size: np.ndarray            # n-grams of each landmark
+
+    @staticmethod
+    def of(grams: list[np.ndarray]) -> Landmarks:
+        size = np.array([len(g) for g in grams], np.float64)
+        flat = np.concatenate([*grams, np.zeros(0, np.int64)])
+        keys, code = np.unique(flat, return_inverse=True)
+        held = np.bincount(code, minlength=len(keys))
+        row = np.empty(len(keys), np.int64)
+        row[np.argsort(-held, kind="stable")] = np.arange(len(keys))
+        at, mark = row[code], np.repeat(np.arange(len(grams)), size.astype(np.int64))
+        wide = min(DENSE, len(keys))
+        dense = np.zeros((wide, len(grams)), np.float32)
+        dense[at[at < wide], mark[at < wide]] = 1
+        order = np.argsort(at[at >= wide], kind="stable")
+        first = np.concatenate(([0], np.cumsum(np.bincount(at[at >= wide] - wide, minlength=len(keys) - wide)))).astype(np.int64)
+        return Landmarks(keys, row, dense, first, mark[at >= wide][order].astype(np.int32), size)
+
+    def kernel(self, grams: list[np.ndarray]) -> np.ndarray:
+        """Kernel values of texts (their n-grams) x landmarks."""
+        marks = len(self.size)
+        out = np.zeros((len(grams), marks))
+        if not len(self.keys):
+            return out
+        for i in range(0, len(grams), BLOCK):
+            block = grams[i:i + BLOCK]
+            n = np.array([len(g) for g in block])
+            flat, text = np.concatenate(block), np.repeat(np.arange(len(block)), n)
+            at = np.minimum(np.searchsorted(self.keys, flat), len(self.keys) - 1)
+            known = self.keys[at] == flat
+            row, text = self.row[at[known]], text[known]
+            near = row < len(self.dense)
+            presence = np.zeros((len(block), len(self.dense)), np.float32)
+            presence[text[near], row[near]] = 1
+            common = (presence @ self.dense).astype(np.float64)
+            far = row[~near] - len(self.dense)
+            count = self.first[far + 1] - self.first[far]
+            place = np.repeat(self.first[far] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            cell = np.repeat(text[~near], count) * marks + self.lists[place]
+            common += np.bincount(cell, minlength=common.size).reshape(common.shape)
+            out[i:i + BLOCK] = common / np.sqrt(np.maximum(n[:, None] * self.size, 1))
+        return out
+
 
 @dataclass
 class KernelModel:
-    code: np.ndarray            # code point -> symbol
-    base: int
-    row: np.ndarray             # n-gram address -> row of landmarks, or -1
-    landmarks: np.ndarray       # float32, n-gram that some landmark holds x landmark
-    landmark_size: np.ndarray
+    landmarks: Landmarks
     weights: np.ndarray         # landmark + 1 x language
     languages: list[str]
 
-    @property
-    def addresses(self) -> int:
-        return sum(self.base ** n for n in ORDERS)
-
-    def symbols(self, text: str) -> np.ndarray:
-        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        out = self.code[np.minimum(points, len(self.code) - 1)]
-        # runs of blanks say nothing: keep one
-        return out[(out != 0) | (np.concatenate(([1], out[:-1])) != 0)]
-
-    def ngrams(self, text: str) -> np.ndarray:
-        """Addresses of the distinct n-grams of a text."""
-        s = np.concatenate(([0], self.symbols(text), [0])).astype(np.int64)
-        seen = np.zeros(self.addresses, bool)
-        offset = 0
-        for n in ORDERS:
-            if len(s) >= n:
-                at = np.full(len(s) - n + 1, offset)
-                value = np.zeros(len(s) - n + 1, np.int64)
-                for k in range(n):
-                    value = value * self.base + s[k:len(s) - n + 1 + k]
-                seen[at + value] = True
-            offset += self.base ** n
-        return np.flatnonzero(seen)
-
     def kernel(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.landmarks.shape[1]), np.float64)
-        for i, t in enumerate(texts):
-            g = self.ngrams(t)
-            r = self.row[g]
-            out[i] = self.landmarks[r[r >= 0]].sum(axis=0) / np.sqrt(np.maximum(len(g) * self.landmark_size, 1))
-        return out
+        return self.landmarks.kernel([ngrams(t) for t in texts])
 
     def scores(self, texts: list[str]) -> np.ndarray:
         k = self.kernel(texts)
         return np.hstack([k, np.ones((len(k), 1))]) @ self.weights
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """Language and a score from 0 to 1 (share of the best regression after a soft maximum)."""
+        """Language and a score from 0 to 1 (share of the best regression after a soft
+        maximum); the first language in alphabetical order wins ties."""
         s = self.scores(texts)
         best = s.argmax(axis=1)
         p = np.exp(6 * (s - s.max(axis=1, keepdims=True)))
         return [self.languages[b] for b in best], (1 / p.sum(axis=1)) if len(s) else np.zeros(0)
 
 
-def _code_table(texts: list[str]) -> np.ndarray:
-    counts = Counter(c for t in texts for c in t.lower() if c.isalpha())
-    code = np.full(0x3000, LETTERS + 1, np.int16)
-    code[[i for i in range(0x3000) if not chr(i).isalpha()]] = 0
-    for k, (c, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]):
-        if ord(c) < len(code) - 1:
-            code[ord(c)] = k + 1
-    code[-1] = LETTERS + 1
-    return code
-
-
-def fit(sample: list[tuple[str, str]]) -> KernelModel:
-    """Nyström kernel ridge regression on (text, language) pairs, in the given order."""
-    languages = sorted({lang for _, lang in sample})
-    m = KernelModel(_code_table([t for t, _ in sample]), LETTERS + 2, np.zeros(0, np.int32), np.zeros((0, 0)),
-                    np.zeros(0), np.zeros((0, 0)), languages)
-    if not languages:
-        return m
-    taken: Counter = Counter()
-    marks = []
-    for t, lang in sample:
-        if taken[lang] < LANDMARKS_PER_LANGUAGE:
-            taken[lang] += 1
-            marks.append(m.ngrams(t))
-    used = np.unique(np.concatenate(marks))
-    m.row = np.full(m.addresses, -1, np.int32)
-    m.row[used] = np.arange(len(used))
-    m.landmarks = np.zeros((len(used), len(marks)), np.float32)
-    for j, g in enumerate(marks):
-        m.landmarks[m.row[g], j] = 1
-    m.landmark_size = np.array([len(g) for g in marks], np.float64)
-    k_mm = m.landmarks.T.astype(np.float64) @ m.landmarks / np.sqrt(np.outer(m.landmark_size, m.landmark_size))
-    value, vector = np.linalg.eigh(k_mm)
+def solve(landmarks: Landmarks, own: np.ndarray, rows: np.ndarray, labels: list[str]) -> KernelModel:
+    """One-versus-rest ridge regressions on Nyström features: ``own`` is the kernel of the
+    landmarks with each other, ``rows`` that of the training texts with the landmarks.
+    Languages weigh alike whatever their numbers of texts."""
+    languages = sorted(set(labels))
+    value, vector = np.linalg.eigh(own)
     keep = value > 1e-8 * value.max()
     whiten = vector[:, keep] / np.sqrt(value[keep])
-    x = m.kernel([t for t, _ in sample]) @ whiten
-    x = np.hstack([x, np.ones((len(x), 1))])
-    lang = np.array([languages.index(v) for _, v in sample])
+    x = np.hstack([rows @ whiten, np.ones((len(rows), 1))])
+    lang = np.array([languages.index(v) for v in labels])
     y = np.where(lang[:, None] == np.arange(len(languages)), 1.0, -1.0)
     weight = 1 / np.bincount(lang, minlength=len(languages))[lang]
     gram = x.T @ (x * weight[:, None])
     solved = np.linalg.solve(gram + RIDGE * np.eye(len(gram)), x.T @ (y * weight[:, None]))
-    m.weights = np.vstack([whiten @ solved[:-1], solved[-1:]])
-    return m
+    return KernelModel(landmarks, np.vstack([whiten @ solved[:-1], solved[-1:]]), languages)
 
 
-def training_sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """At most TRAIN_PER_LANGUAGE texts of each language, those with the smallest hashes of their id.
+def _no_model() -> KernelModel:
+    return KernelModel(Landmarks.of([]), np.zeros((1, 0)), [])
 
-    The bound is a bounded heap per language and task (``min_by`` over hash slots),
-    so a language with most of the rows costs no more than another one.
-    """
+
+def _landmark_rows(labels: list[str]) -> list[int]:
+    """The first LANDMARKS_PER_LANGUAGE rows of each language."""
+    taken: dict[str, int] = {}
+    out = []
+    for i, lang in enumerate(labels):
+        taken[lang] = taken.get(lang, 0) + 1
+        if taken[lang] <= LANDMARKS_PER_LANGUAGE:
+            out.append(i)
+    return out
+
+
+def fit(sample: list[tuple[str, str]]) -> KernelModel:
+    """The model of (text, language) pairs held in memory, in the given order."""
+    if not sample:
+        return _no_model()
+    grams = [ngrams(t) for t, _ in sample]
+    chosen = _landmark_rows([lang for _, lang in sample])
+    marks = Landmarks.of([grams[i] for i in chosen])
+    rows = marks.kernel(grams)
+    return solve(marks, rows[chosen], rows, [lang for _, lang in sample])
+
+
+def training_sample(docs: DataFrame) -> DataFrame:
+    """(lang, slot, text): at most TRAIN_PER_LANGUAGE whole texts of each language, those with the
+    smallest hash of the text in each of as many hash slots; equal texts count once.
+
+    Hashes are folded before they are shuffled; the texts themselves only leave the rows that were
+    chosen, at most TRAIN_PER_LANGUAGE a language."""
     slot = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(TRAIN_PER_LANGUAGE))
-    rows = (docs.where("text is not null and lang is not null")
-            .select("lang", slot.alias("slot"), F.xxhash64("text", F.lit(11)).alias("h"),
-                    F.substring("text", 1, TRAIN_CHARS).alias("text"))
-            .where(F.col("text").rlike(r"\p{L}"))
-            .groupBy("lang", "slot").agg(F.min_by("text", F.struct("h", "text")).alias("text"))
-            .orderBy("lang", "slot").collect())
-    return [(r["text"], r["lang"]) for r in rows]
+    rows = (docs.where("text is not null and lang is not null").where(F.col("text").rlike(r"\p{L}"))
+            .select("lang", slot.alias("slot"), F.xxhash64("text", F.lit(11)).alias("h"), "text"))
+    chosen = stored(rows.groupBy("lang", "slot").agg(F.min("h").alias("h")))
+    return stored(rows.join(F.broadcast(chosen), ["lang", "slot", "h"]).dropDuplicates(["lang", "slot", "h"])
+                  .select("lang", "slot", "text"))
+
+
+def fit_on(docs: DataFrame) -> KernelModel:
+    """The model of a table (text, lang).  Tasks work out n-grams and kernel rows; the driver takes the
+    landmarks' n-grams and one kernel row a training text, both bounded by the sample."""
+    sample = training_sample(docs)
+    order = [(r["lang"], r["slot"]) for r in sample.select("lang", "slot").orderBy("lang", "slot").collect()]
+    if not order:
+        return _no_model()
+    chosen = [order[i] for i in _landmark_rows([lang for lang, _ in order])]
+    wanted = sample.sparkSession.createDataFrame(chosen, "lang string, slot long")
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                yield pa.record_batch([*row.columns[:2], pa.array([ngrams(row.column(2)[0].as_py()).tobytes()])], names=["lang", "slot", "v"])
+
+    schema = "lang string, slot long, v binary"
+    found = {(r["lang"], r["slot"]): np.frombuffer(r["v"], np.int64) for r in
+             sample.join(F.broadcast(wanted), ["lang", "slot"]).select("lang", "slot", "text").mapInArrow(trimmed(grams), schema).collect()}
+    marks = Landmarks.of([found[k] for k in chosen])
+    shared = sample.sparkSession.sparkContext.broadcast(marks)
+
+    def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(i, BLOCK)
+                k = shared.value.kernel([ngrams(t) for t in part.column(2).to_pylist()])
+                yield pa.record_batch([*part.columns[:2], pa.array([v.tobytes() for v in k])], names=["lang", "slot", "v"])
+
+    rows = {(r["lang"], r["slot"]): np.frombuffer(r["v"]) for r in
+            sample.select("lang", "slot", "text").mapInArrow(trimmed(kernels), schema).collect()}
+    return solve(marks, np.array([rows[k] for k in chosen]), np.array([rows[k] for k in order]), [lang for lang, _ in order])
 
 
 def held_out(id_col):
@@ -175,8 +256,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     text = F.col(f"`{text_col}`").cast("string")
     out = held_out(F.col(f"`{id_col}`").cast("long"))
     kept = [F.col(f"`{c}`") for c in keep] if keep else [F.col(f"`{id_col}`").cast("long").alias("doc_id")]
-    model = fit(training_sample(docs.select(text.alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"), out.alias("out"))
-                                .where("not out")))
+    model = fit_on(docs.select(text.alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"), out.alias("out")).where("not out"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [prefix + n for n in ("held_out", "lang_pred", "score")]
 

@@ -63,3 +63,69 @@ def test_edges(spark, empty):
     assert not {1000, 1001, 1002} & {r.doc_id for r in kept.collect()}
     long_ = [(0, "bada " * 100_000, "aa")] + labelled(spark, 30)[1:]
     assert L.identify(spark.createDataFrame(long_, "doc_id long, text string, lang string")).where("doc_id = 0").first().lang_pred == "aa"
+
+
+def _brute_scores(sample, texts):
+    """Kernel ridge regression on Nyström features, from sets and dense algebra."""
+    def grams(text):
+        s = "\0" + "".join(c if c.isalpha() else "\0" for c in text.lower()) + "\0"
+        return {s[i:i + n] for n in L.ORDERS for i in range(len(s) - n + 1)}
+
+    def k(a, b):
+        return len(a & b) / np.sqrt(len(a) * len(b))
+    g = [grams(t) for t, _ in sample]
+    own = np.array([[k(a, b) for b in g] for a in g])
+    value, vector = np.linalg.eigh(own)
+    keep = value > 1e-8 * value.max()
+    root = vector[:, keep] / np.sqrt(value[keep])
+    feature = lambda rows: np.hstack([rows @ root, np.ones((len(rows), 1))])
+    x, langs = feature(own), sorted({lang for _, lang in sample})
+    new = feature(np.array([[k(grams(t), b) for b in g] for t in texts]))
+    out = []
+    for lang in langs:
+        y = np.array([1.0 if v == lang else -1.0 for _, v in sample])
+        w = np.diag([1 / sum(v == other for _, other in sample) for _, v in sample])
+        out.append(new @ np.linalg.solve(x.T @ w @ x + L.RIDGE * np.eye(x.shape[1]), x.T @ w @ y))
+    return np.array(out).T
+
+
+def test_scores_match_brute_force(monkeypatch):
+    sample = [(t, lang) for lang, t in WORDS.items()] + [("bada lolo", "aa"), ("Lomo riki", "oo"), ("日本 riki", "ii"), ("дом kirik", "ii")]
+    texts = ["bada lomo", "riki", "日本 дом", "q"]
+    want = _brute_scores(sample, texts)
+    assert np.allclose(L.fit(sample).scores(texts), want, atol=1e-9)
+    monkeypatch.setattr(L, "DENSE", 5)          # most n-grams by lists
+    monkeypatch.setattr(L, "BLOCK", 3)
+    assert np.allclose(L.fit(sample).scores(texts), want, atol=1e-9)
+
+
+#: first code points of the letters of twelve made-up languages in ten scripts
+SCRIPTS = {"en": (0x61, 20), "pl": (0x61, 20), "ru": (0x430, 30), "uk": (0x430, 30), "el": (0x3B1, 20), "hy": (0x561, 30), "he": (0x5D0, 20),
+           "ar": (0x628, 20), "hi": (0x915, 30), "zh": (0x4E00, 900), "ja": (0x3042, 80), "ko": (0xAC00, 900)}
+
+
+def made_up(seed, texts=40):
+    rng = np.random.default_rng(seed)
+    out = []
+    for k, (lang, (start, n)) in enumerate(sorted(SCRIPTS.items())):
+        own = np.random.default_rng(k)
+        words = ["".join(chr(start + c) for c in own.integers(0, n, own.integers(2, 6))) for _ in range(60)]
+        out += [(" ".join(rng.choice(words, 25)), lang) for _ in range(texts)]
+    return out
+
+
+def test_twelve_languages_in_ten_scripts(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(made_up(1))]
+    # a very long training text counts whole: its language shows after 5,000 letters of another's
+    rows.append((len(rows) + 3, rows[0][1] + " " + "x" * 5000, rows[0][2]))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in L.identify(df).collect()}
+    for lang in SCRIPTS:
+        held = [got[i].lang_pred == lang for i, _, v in rows if v == lang and got[i].held_out]
+        assert len(held) >= 3 and np.mean(held) >= 0.95, lang
+    assert all(got[i].score >= L.MIN_SCORE for i, *_ in rows[:-1])
+
+
+def test_ties_between_languages_go_to_the_first():
+    m = L.fit([("same text", "zz"), ("same text", "aa")])
+    assert m.predict(["same text", "other"])[0] == ["aa", "aa"]
