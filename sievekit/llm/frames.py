@@ -112,3 +112,31 @@ def grouped_rows(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
             held.append(part)
     if held:
         yield pa.Table.from_batches(held)
+
+
+def bounded_groups(batches: Iterator[pa.RecordBatch], key: str, cap: int) -> Iterator[tuple[pa.Table, bool]]:
+    """Consecutive rows with one value of ``key``: (the whole group, True) up to ``cap`` rows;
+    a larger group comes in pieces (piece, False), so never more than ``cap`` rows and a batch are held."""
+    held: list[pa.RecordBatch] = []
+    size, last, broken = 0, None, False
+
+    def done() -> Iterator[tuple[pa.Table, bool]]:
+        if held:
+            yield pa.Table.from_batches(held), not broken
+
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        k = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), batch.num_rows]
+        for i, j in zip(edges[:-1], edges[1:], strict=True):
+            if k[i] != last:
+                yield from done()
+                held, size, last, broken = [], 0, k[i], False
+            held.append(batch.slice(i, j - i))
+            size += j - i
+            if size > cap:
+                broken = True
+                yield from done()
+                held = []
+    yield from done()

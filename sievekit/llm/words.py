@@ -47,6 +47,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW["p"], _POW["q"]
 
 
+#: masks of the first 0 .. 8 bytes of a little-endian integer
+_LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
+
+
 def byte_table(pred) -> np.ndarray:
     """Boolean table over the 256 byte values."""
     return np.array([bool(pred(b)) for b in range(256)])
@@ -95,8 +99,9 @@ class Words:
 def hash_words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> Words:
     """Split ASCII-lower-cased texts into maximal runs of ``table`` bytes; hash each.
 
-    The hash is a polynomial over per-byte codes, read from prefix sums, so a
-    word costs two lookups whatever its length.
+    A word is read eight bytes at a time, each mixed into the hash by a bijection: words
+    of up to eight bytes and one length never collide, longer ones only by chance (no polynomial,
+    whose collisions can be written down).
     """
     lo, hi = int(offsets[0]), int(offsets[-1])
     b = LOWER[raw[lo:hi]]
@@ -115,11 +120,18 @@ def hash_words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> Words
     end[last] = inside[last]
     s = np.flatnonzero(start)
     e = np.flatnonzero(end) + 1
-    p, q = powers(n)
-    c = np.empty(n + 1, np.uint64)
-    c[0] = 0
-    np.cumsum(_BYTE_CODES[b] * p[:n], out=c[1:])
-    h = mix64((c[e] - c[s]) * q[s] + (e - s).astype(np.uint64))
+    # the eight bytes from every position on, as one integer
+    padded = np.zeros(n + 8, np.uint8)
+    padded[:n] = b
+    eight = np.ndarray((n,), "<u8", padded.data, strides=(1,))
+    length = e - s
+    h = mix64(length.astype(np.uint64) + _K)
+    part, at = np.arange(len(s)), s
+    while len(part):
+        left = np.minimum(e[part] - at, 8)
+        h[part] = mix64(h[part] ^ (eight[at] & _LOW_BYTES[left]))
+        more = e[part] - at > 8
+        part, at = part[more], at[more] + 8
     return Words(h, np.searchsorted(s, offsets - lo))
 
 
