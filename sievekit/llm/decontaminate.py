@@ -8,8 +8,9 @@ word by word, and matches are confirmed on the words themselves.  Texts are
 searched in many lanes at once, so the skipping search is vectorised.
 
 The benchmark is bounded block by block: at most ``BLOCK_WORDS`` words (or one
-item) are held and broadcast at a time, and each block is another narrow pass
-over the same rows; the documents are never shuffled.
+item) are a block, and each block is another narrow pass over the same rows.  Rows
+are written after ``BLOCKS_A_STAGE`` passes, so a task never holds more blocks
+than that; the documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from .frames import free_prefix, trimmed
+from .frames import BLOCKS_A_STAGE, free_prefix, stored, trimmed
 from .words import ALNUM, Words, hash_words, mix64, slices, string_buffers
 
 WINDOW = 10
@@ -153,7 +154,7 @@ def _scan(tables, last: bool, prefix: str, at_text: int, n_kept: int):
         for batch in batches:
             raw, offsets = string_buffers(batch.column(at_text))
             spans = batch.column(batch.num_columns - 2).to_pylist()
-            items = batch.column(batch.num_columns - 1).to_pylist()
+            items = [set(x) if x else None for x in batch.column(batch.num_columns - 1).to_pylist()]
             n_words = np.zeros(batch.num_rows, np.int64)
             for i, j in slices(offsets):
                 w = hash_words(raw, offsets[i:j + 1], ALNUM)
@@ -169,10 +170,12 @@ def _scan(tables, last: bool, prefix: str, at_text: int, n_kept: int):
                             text[d] = _WORD.findall(raw[offsets[i + d]:offsets[i + d + 1]].tobytes().lower())
                         s = e - int(w.first[d]) - p.m + 1
                         if tuple(text[d][s:s + p.m]) == p.text[k]:
-                            spans[i + d] = [*(spans[i + d] or []), s, s + p.m]
-                            items[i + d] = [*(items[i + d] or []), *(x for x in p.items[k] if x is not None)]
+                            spans[i + d] = spans[i + d] or []
+                            spans[i + d] += [s, s + p.m]
+                            items[i + d] = items[i + d] or set()
+                            items[i + d].update(x for x in p.items[k] if x is not None)
             spans = [_merge(x) for x in spans]
-            items = [sorted(set(x)) if x else [] for x in items]
+            items = [sorted(x) if x else [] for x in items]
             if not last:
                 yield pa.record_batch([*batch.columns[:-2], pa.array(spans, pa.list_(pa.int64())),
                                        pa.array(items, pa.list_(pa.string()))], names=batch.schema.names)
@@ -230,6 +233,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         tables = docs.sparkSession.sparkContext.broadcast(build_patterns([(r[0], r[1]) for r in part.collect()], window))
         last = b == n_blocks - 1
         now = now.mapInArrow(trimmed(_scan(tables, last, prefix, at_text, n_kept)), done if last else now.schema)
+        if not last and (b + 1) % BLOCKS_A_STAGE == 0:
+            now = stored(now)
     return now
 
 

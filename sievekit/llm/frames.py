@@ -19,6 +19,10 @@ from ..session import ensure_checkpoint_dir
 HOT_GROUPS = 16_384
 
 
+#: passes over the same rows, each with a broadcast block of a table, that one stage may chain
+BLOCKS_A_STAGE = 4
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -24,13 +25,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import free_prefix, stored, trimmed
+from .frames import BLOCKS_A_STAGE, free_prefix, stored, trimmed
 
-KINDS = ("email", "ipv4", "card", "iban", "ssn", "phone", "name")
+KINDS = ("email", "ipv4", "ipv6", "card", "iban", "ssn", "phone", "name")
 
 # fixed values: detectors, in order of precedence where they overlap
 _EMAIL = r"(?<![\w.+-])[\w][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
+# eight groups, or fewer around one "::" (four at least, so that times and ratios aren't taken)
+_IPV6 = (r"(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+         r"|(?=(?:[0-9A-Fa-f]{1,4}:{1,2}){3}[0-9A-Fa-f])(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])")
 _CARD = r"(?<![\w.])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{3,4}(?:\d{3})?(?!\w)"
 _IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 _SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
@@ -43,24 +47,40 @@ _PHONE = (r"(?<![\w.])(?:"
           r"|(?=(?:[+ ./()-]{0,3}\d){8})(?:\+|00)[1-9]\d{0,3}(?:(?:[ ./-]|[ ./-]?\(\d{1,5}\)[ ./-]?)\d{1,12}){1,7}"
           r"|(?=(?:[ ./-]?\d){9})(?!\d\d[./-]\d\d[./-](?:\d\d)?\d\d(?!\d|[./-]\d))0[1-9]\d{0,4}[ ./-](?:\d{5,8}|\d{2,4}(?:(?: \d{2,4}){1,4}|(?:-\d{2,4}){1,4}|(?:\.\d{2,4}){1,4}))"
           r"|0[1-9]\d{1,4}/\d{5,8}"
-          r"|(?:\+\d{1,3}[^\w\s(]{0,3}[ .-]?)?(?:\(\d{2,4}\)[^\w\s]{0,3}[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}"
+          r"|\+\d{1,3}[^\w\s(]{0,3}[ .-]?(?:\(\d{2,4}\)[^\w\s]{0,3}[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}"
+          # without a country code: brackets, dashes or dots, or groups of 3, 3 and 4; blanks alone may part any numbers
+          r"|(?:\(\d{2,4}\)[^\w\s]{0,3}[ .-]?|\d{2,4}[.-])\d{3,4}[ .-]?\d{3,4}|\d{3} \d{3}[ .-]\d{4}"
           r"|\+\d{8,15}"
           r")(?!\w|\.\d)")
-_TITLED = r"(?<!\w)(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señora|Señor|Sra|Sr)\.? "
-_NAME = _TITLED + r"[A-ZÀ-ÖØ-Þ][\w'’-]+(?: [A-ZÀ-ÖØ-Þ][\w'’-]+)?"
+_TITLED = (r"(?<!\w)(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señora|Señor|Sra|Sr|Dr|Prof|"
+           r"Господин|Госпожа|г-н|г-жа|Κύριος|Κυρία)\.? ")
+_UPPER = "[A-ZÀ-ÖØ-ÞΑ-ΫА-ЯЁІЇЄ]"
+_NAME = _TITLED + _UPPER + r"[\w'’-]+(?: " + _UPPER + r"[\w'’-]+)?"
 _FIND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in zip(
-    KINDS, (_EMAIL, _IPV4, _CARD, _IBAN, _SSN, _PHONE, _NAME), strict=True)))
+    KINDS, (_EMAIL, _IPV4, _IPV6, _CARD, _IBAN, _SSN, _PHONE, _NAME), strict=True)))
 
-# every other kind has a digit or an @
-_MAY_HOLD = re.compile(rf"[\d@]|{_TITLED}")
+# every other kind has a digit, an @ or two colons
+_MAY_HOLD = re.compile(rf"[\d@]|::|{_TITLED}")
 
 # fixed values: surrogate names by gender
 GIVEN = {"m": ("Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Gustav", "Hugo", "Ivan", "Jonas", "Karl", "Leon",
                "Martin", "Nils", "Oskar", "Paul"),
          "f": ("Anna", "Berta", "Clara", "Diana", "Emma", "Flora", "Greta", "Hanna", "Irene", "Julia", "Klara", "Laura",
                "Maria", "Nora", "Olga", "Paula")}
-SYLLABLES = ("ba", "den", "fal", "gor", "hal", "kin", "lor", "men", "nor", "pel", "ran", "sol", "tor", "ver", "wen", "zan")
-_MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr")
+# fixed values: syllables of surrogate family names by script
+SYLLABLES = {"latin": ("ba", "den", "fal", "gor", "hal", "kin", "lor", "men", "nor", "pel", "ran", "sol", "tor", "ver", "wen", "zan"),
+             "greek": ("βα", "γορ", "δεν", "ζαν", "θελ", "κιν", "λορ", "μεν", "νορ", "παλ", "ραν", "σολ", "τορ", "φερ", "χαλ", "ψιν"),
+             "cyrillic": ("ба", "вер", "гор", "ден", "зан", "кин", "лор", "мен", "нор", "пал", "ран", "сол", "тор", "фел", "хал", "шин")}
+GIVEN_OTHER = {"greek": {"m": ("Νίκος", "Γιώργος", "Πέτρος", "Λουκάς"), "f": ("Άννα", "Μαρία", "Ελένη", "Σοφία")},
+               "cyrillic": {"m": ("Антон", "Борис", "Виктор", "Игорь"), "f": ("Анна", "Вера", "Ирина", "Ольга")}}
+_MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "г-н", "Κύριος")
+_NEUTRAL = ("Dr", "Prof")
+
+
+def script_of(word: str) -> str:
+    """The script of a word's first letter: greek, cyrillic or latin."""
+    c = ord(word[0]) if word else 0
+    return "greek" if 0x370 <= c < 0x400 else "cyrillic" if 0x400 <= c < 0x530 else "latin"
 
 
 def entities(text: str) -> list[tuple[int, int, str]]:
@@ -75,6 +95,9 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             while sum(c.isdigit() for c in text[start:at]) > 15:
                 # groups beyond the longest number belong to something else
                 at = start + re.search(r"[^\d]+\d*$", text[start:at]).start()
+        elif m.lastgroup == "name":
+            # a possessive belongs to the text
+            at = start + len(re.sub(r"['’][sS]?$", "", text[start:at]))
         out.append((start, at, m.lastgroup))
     return out
 
@@ -89,9 +112,34 @@ def canonical(kind: str, entity: str) -> str:
         return re.sub(r"[^\d+]", "", entity)
     if kind == "name":
         return re.sub(r"\s+", " ", entity.replace(".", ""))
+    if kind == "ipv6":
+        return str(ipaddress.IPv6Address(entity)) if _is_ipv6(entity) else entity.lower()
     return entity
 
 
+def _is_ipv6(text: str) -> bool:
+    try:
+        return bool(ipaddress.IPv6Address(text))
+    except ValueError:
+        return False
+
+
+def named(text: str, found: list[tuple[int, int, str]]) -> list[tuple[str, str]]:
+    """(kind, canonical entity) of each entity of a text.  A title and family name alone stand for
+    the one fuller name of that title and family in the text, if there is exactly one."""
+    out = [(k, canonical(k, text[s:e])) for s, e, k in found]
+    full: dict[tuple[str, str], set[str]] = {}
+    for k, x in out:
+        words = x.split(" ")
+        if k == "name" and len(words) == 3:
+            full.setdefault((words[0], words[2]), set()).add(x)
+    for i, (k, x) in enumerate(out):
+        fuller = full.get(tuple(x.split(" "))) if k == "name" else None
+        if fuller and len(fuller) == 1:
+            out[i] = (k, next(iter(fuller)))
+    return out
+
+
 class _Draw:
     """Keyed pseudo-random numbers for one entity and round."""
 
@@ -157,10 +205,14 @@ def surrogate(key: bytes, kind: str, entity: str, turn: int = 0) -> str:
     if kind == "phone":
         keep = 2 if entity.startswith("+") else int(entity.startswith("0"))
         return _same_shape(entity, draw, keep)
+    if kind == "ipv6":
+        return str(ipaddress.IPv6Address((0x20010DB8 << 96) | int.from_bytes(hmac.new(key, f"6\0{entity}\0{turn}".encode(), hashlib.sha256).digest()[:12], "big")))
     title, *rest = entity.split(" ")
-    given = GIVEN["m" if title in _MALE else "f"]
-    family = "".join(SYLLABLES[draw.below(16)] for _ in range(3 + turn // 4)).capitalize()
-    return " ".join([title, *([given[draw.below(16)]] if len(rest) > 1 else []), family])
+    script = script_of(rest[-1]) if rest else "latin"
+    lists = GIVEN_OTHER.get(script, GIVEN)
+    given = lists["m"] + lists["f"] if title in _NEUTRAL else lists["m" if title in _MALE else "f"]
+    family = "".join(SYLLABLES[script][draw.below(16)] for _ in range(3 + turn // 4)).capitalize()
+    return " ".join([title, *([given[draw.below(len(given))]] if len(rest) > 1 else []), family])
 
 
 def in_format(kind: str, original: str, substitute: str) -> str:
@@ -171,6 +223,8 @@ def in_format(kind: str, original: str, substitute: str) -> str:
         return "".join(next(chars) if c.isalnum() else c for c in original)
     if kind == "name":
         title, _, rest = substitute.partition(" ")
+        if len(canonical(kind, original).split(" ")) == 2:
+            rest = rest.rpartition(" ")[2]      # the family name alone, also of a fuller name
         dot = "." if original[len(title):len(title) + 1] == "." else ""
         if original.split(" ", 1)[-1].isupper():
             rest = rest.upper()
@@ -185,8 +239,7 @@ def entity_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = {(k, canonical(k, t[s:e])) for x in batch.column(0) if (t := x.as_py())
-                     for s, e, k in entities(t)}
+            found = {x for v in batch.column(0) if (t := v.as_py()) for x in named(t, entities(t))}
             kinds, ents = zip(*sorted(found), strict=True) if found else ((), ())
             yield pa.record_batch([pa.array(kinds, pa.string()), pa.array(ents, pa.string())], names=["kind", "entity"])
 
@@ -224,8 +277,8 @@ def settled_turns(found: DataFrame, key: bytes, rounds: int = 40) -> DataFrame:
 
 def _replaced(text: str, found: list[tuple[int, int, str]], key: bytes, turns: list[int]) -> str:
     out, at = [], 0
-    for (s, e, k), t in zip(found, turns, strict=True):
-        out += [text[at:s], in_format(k, text[s:e], surrogate(key, k, canonical(k, text[s:e]), t))]
+    for (s, e, k), (_, entity), t in zip(found, named(text, found), turns, strict=True):
+        out += [text[at:s], in_format(k, text[s:e], surrogate(key, k, entity, t))]
         at = e
     return "".join([*out, text[at:]])
 
@@ -238,8 +291,7 @@ def _apply(key: bytes, turns, last: bool, prefix: str):
             texts, noted, count, spans = [], [], [], []
             for t, old in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
                 found = entities(t) if t else []
-                now = [max(o, turns.value.get((k, canonical(k, t[s:e])), 0))
-                       for (s, e, k), o in zip(found, old or [0] * len(found), strict=True)]
+                now = [max(o, turns.value.get(x, 0)) for x, o in zip(named(t, found) if found else [], old or [0] * len(found), strict=True)]
                 noted.append(now)
                 count.append(len(found))
                 if last:
@@ -269,7 +321,8 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text", keep: tup
     Null texts stay null with no entities and an empty list; ids may be null or
     repeat; one entity has one surrogate in all rows; an empty table gives no
     rows.  Only entities whose draws collided are broadcast, in blocks of
-    ``turns_at_once``; each block is a narrow pass over the same rows.
+    ``turns_at_once``; each block is a narrow pass over the same rows, and rows are
+    written after ``BLOCKS_A_STAGE`` of them, so a task never holds more blocks than that.
     """
     secret = key.encode()
     turns = settled_turns(entity_table(docs, text_col), secret).where("turn > 0")
@@ -286,4 +339,6 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text", keep: tup
         table = docs.sparkSession.sparkContext.broadcast({(r["kind"], r["entity"]): r["turn"] for r in rows})
         last = b == blocks - 1
         now = now.mapInArrow(trimmed(_apply(secret, table, last, prefix)), done if last else now.schema)
+        if not last and (b + 1) % BLOCKS_A_STAGE == 0:
+            now = stored(now)
     return now

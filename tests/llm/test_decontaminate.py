@@ -61,3 +61,17 @@ def test_edges(spark, docs, empty, clashing):
     assert [r.contaminated for r in D.contamination(docs(["some words here", None]), none).collect()] == [False, False]
     rows = {r.doc_id: r.n_hit for r in D.contamination(clashing(["x some words here y", None]), bench).collect()}
     assert rows == {0: 3, 1: 0}
+
+
+def test_twenty_blocks_are_never_more_than_a_few_in_a_stage(spark, docs, monkeypatch):
+    """Blocks of few words give the rows of one block, and rows are written after every few passes."""
+    from sievekit.llm import decontaminate as D
+    from sievekit.llm import frames
+    items = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(12))) for i in range(40)] + [(3, None), (3, "w3x0 w3x1"), (None, "w5x1")],
+                                  "item_id long, text string")
+    texts = docs([" ".join(f"w{i % 7}x{k}" for k in range(i % 13)) for i in range(60)] + [None, "", "w3x0 w3x1 " * 3000])
+    writes = []
+    monkeypatch.setattr(D, "stored", lambda df: writes.append(1) or frames.stored(df))
+    pick = lambda **kw: sorted(map(tuple, D.contamination(texts, items, **kw).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256").collect()))
+    one = pick()
+    assert not writes and pick(block_words=25) == one and len(writes) >= 4

@@ -95,3 +95,64 @@ def test_phone_neighbours():
     assert [text[s:e] for s, e, _ in X.entities(text)] == ["+33 6 12 34 56 78", "01 23 45 67 89"]
     for clean in ("am 01.02.2024 um 12:30", "05/12/2024 10 30", "01-02-2024", "01.02.24 12.30", "0.123 4", "2024/12/31"):
         assert X.entities(clean) == []
+
+
+def test_possessives_and_family_names_refer_to_one_person(spark):
+    texts = ["Mr. John Smith came. Mr Smith's dog and MR. SMITH? Mr Smith left; Mrs Smith stayed.", "Mr Smith’s car", "Mr Smith"]
+    rows = {r.doc_id: r.text for r in X.with_surrogates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()}
+    names = [rows[0][s:e] for s, e, _ in X.entities(rows[0])]
+    full = names[0].split(" ")
+    assert len(full) == 3 and names[1] == f"Mr {full[2]}" and f"{names[1]}'s dog" in rows[0] and f"Mr {full[2]} left" in rows[0]
+    assert names[-1].startswith("Mrs ") and names[-1].split(" ")[1] != full[2]
+    assert rows[1] == rows[2] + "’s car" and "Smith" not in "".join(rows.values()).replace("MR. SMITH", "")
+
+
+def test_two_fuller_names_leave_the_family_name_alone():
+    text = "Mr John Smith and Mr Paul Smith met Mr Smith"
+    assert [x for _, x in X.named(text, X.entities(text))] == ["Mr John Smith", "Mr Paul Smith", "Mr Smith"]
+
+
+@pytest.mark.parametrize("name, script", [("Господин Иванов", "cyrillic"), ("Госпожа Анна Иванова", "cyrillic"), ("Κύριος Παπαδόπουλος", "greek"),
+                                          ("Prof. Müller", "latin"), ("Dr. Jane Roe", "latin")])
+def test_names_keep_their_script(name, script):
+    text = f"x {name} y"
+    (s, e, kind), = X.entities(text)
+    assert (text[s:e], kind) == (name, "name")
+    new = X.in_format("name", name, X.surrogate(KEY, "name", X.canonical("name", name)))
+    assert new != name and len(new.split()) == len(name.split()) and {X.script_of(w) for w in new.split()[1:]} == {script}
+
+
+@pytest.mark.parametrize("address", ["2001:db8::ff00:42:8329", "2001:0db8:0000:0000:0000:ff00:0042:8329", "FE80::1:2:3"])
+def test_ipv6(address):
+    text = f"from {address}, ok"
+    assert [(text[s:e], k) for s, e, k in X.entities(text)] == [(address, "ipv6")]
+    assert X.canonical("ipv6", "2001:0DB8:0:0:0:FF00:42:8329") == X.canonical("ipv6", "2001:db8::ff00:42:8329")
+    new = X.surrogate(KEY, "ipv6", X.canonical("ipv6", address))
+    assert new.startswith("2001:db8:") and new != address
+
+
+def test_numbers_that_are_no_phone():
+    for clean in ("1000 2000 3000 units", "12:30:45", "a::b", "ratio 1:2:3", "12 345 6789"):
+        assert X.entities(clean) == []
+
+
+def test_generated_texts_keep_reference_and_distinctness(spark):
+    """Brute force over random texts: one entity, one surrogate; two entities, two; formats stay; the rest of the text too."""
+    import random
+    r = random.Random(4)
+    people = [f"{t} {g} {f}" for t, g in (("Mr", "John"), ("Mrs", "Jane"), ("Herr", "Karl")) for f in ("Stone", "Rivers", "O'Neil", "Großmann")]
+    others = [f"user{i}@host{i % 3}.org" for i in range(8)] + [f"10.{i}.2.{i}" for i in range(8)] + [f"+1 (212) 555-{1000 + i}" for i in range(8)]
+    texts = []
+    for _ in range(80):
+        picked = [r.choice(people + others) for _ in range(r.randrange(1, 6))]
+        texts.append("begin " + "".join(f"{e}{r.choice([' ', ', ', '; '])}w{r.randrange(9)} " for e in picked) + "end")
+    rows = {x.doc_id: x.text for x in X.with_surrogates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5), "k").collect()}
+    seen = {}
+    for i, t in enumerate(texts):
+        old, new = X.entities(t), X.entities(rows[i])
+        assert [k for *_, k in old] == [k for *_, k in new]
+        for (_, entity), (s, e, k) in zip(X.named(t, old), new):
+            assert seen.setdefault((k, entity), rows[i][s:e]) == rows[i][s:e]
+        cut = lambda x, found: [x[a:b] for a, b in zip([0, *(e for _, e, _ in found)], [*(s for s, *_ in found), len(x)])]
+        assert cut(t, old) == cut(rows[i], new)
+    assert len(set(seen.values())) == len(seen) and not {v for v in seen.values()} & {e for _, e in seen}
