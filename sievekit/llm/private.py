@@ -260,6 +260,7 @@ def settled_turns(found: DataFrame, key: bytes, rounds: int = 40) -> DataFrame:
     def draw(kind, entity, turn):
         return pd.Series([surrogate(key, k, e, int(t)) for k, e, t in zip(kind, entity, turn, strict=True)], dtype=object)
 
+    found = stored(found)       # read again in every round
     now = stored(found.withColumn("turn", F.lit(0)).withColumn("drawn", draw("kind", "entity", F.lit(0))))
     for _ in range(rounds):
         best = now.groupBy("kind", "drawn").agg(F.min("entity").alias("first"), F.count("*").alias("n")).where("n > 1")
