@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .frames import columns_as, spread_join, stored, trimmed
 from .words import LOWER, byte_table, mix64
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 BITMAP_BITS = 1 << 26
 HOT_PREFIXES = 1024
 SHARDS = 64
