@@ -85,8 +85,9 @@ def _hashed(df: DataFrame, label: str | None, key: str, seed: int) -> DataFrame:
     16 of the row's other columns, so rows tie only when they are equal throughout."""
     plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
     tail = F.lpad(F.hex(F.xxhash64(*[F.col(c) for c in plain] or [F.lit(0)])), 16, "0")
+    # without a label one class, as a value the joins on it can hash
     return (df.withColumn("_h", F.concat(split_hash(key, seed, plain), tail))
-              .withColumn("_c", F.col(label).cast("string") if label else F.lit(None).cast("string")))
+              .withColumn("_c", F.col(label).cast("string") if label else F.substring("_h", 1, 0)))
 
 
 # Hex digits of ``_h``, and the most rows of a hash bucket that one window orders.
