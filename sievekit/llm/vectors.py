@@ -1,19 +1,22 @@
-"""Embedding near-duplicates by hyperplane buckets, compared in full (operator 3).
-
-In each pass a vector gets a hash of concatenated random hyperplane bits.  Two
-vectors share the first ``bits`` bits of a pass with a probability that depends
-on their angle alone, so passes are added until a pair at the threshold shares
-them in none with probability below ``MISS``; this holds for any data, as every
-bucket (rows of one pass, label and prefix) is compared in full.
-
-Dense groups are joined first: in ``SEED`` passes the rows are range-partitioned
-and sorted by (pass, label, hash), each row is compared with its ``WINDOW``
-followers, and rows at partition ends with the start of the next partition in a
-second small step.  What is joined then needn't be compared again, so a bucket
-costs its largest component times the rest.  The number of bits follows from
-counts of the rows a bucket holds, not from the number of vectors alone: vectors
-in a cone share many bits, and more bits and passes are cheaper there than large
-buckets.  Buckets over a block are compared by pairs of blocks.
+"""Embedding near-duplicates by sorted projection passes (operator 3).
+
+In each pass a vector gets a hash of concatenated random hyperplane bits, and the
+vectors of a label are ordered by it.  A vector is compared with a window of the
+order: its next ``WINDOW`` rows, and further ones as long as they share its first
+``bits`` bits (a run).  Two vectors share these bits with a probability that
+depends on their angle alone, so passes are added until a pair at the threshold
+shares them in none with probability below ``MISS``; this holds for any data, as
+every run is compared whole.  The number of bits follows from counts of the rows a
+run holds, not from the number of vectors alone: vectors in a cone share many bits,
+and more bits and passes are cheaper there than long runs.  Rows are sorted within
+zones, the prefixes a few bits shorter than a run's, so a run is never cut; runs
+over a block are compared by pairs of blocks.
+
+Dense groups are joined first: in ``SEED`` passes, with windows of ``WINDOW`` rows
+alone, the rows are range-partitioned and sorted by (pass, label, hash), and rows at
+partition ends are compared with the start of the next partition in a second small
+step.  What is joined then needn't be compared again, so a run costs its largest
+component times the rest.
 
 Verified pairs of all passes are united to components.  Within a component all
 pairs are then compared in blocks, so no link inside it is lost.  Equal vectors
@@ -38,11 +41,13 @@ THRESHOLD = 0.98
 WINDOW = 24
 MISS = 1e-3
 BITS = 62
-#: passes of windows that join dense groups before the buckets are compared
+#: passes of narrow windows that join dense groups before whole runs are compared
 SEED = 4
-#: rows of a bucket when hashes are spread evenly; bits added at a time where they aren't
+#: rows of a run when hashes are spread evenly; bits added at a time where they aren't
 EVEN = 256
 STEP = 4
+#: bits by which a zone's prefix is shorter than a run's
+ZONE = 4
 #: passes counted to choose the bits, and the comparisons that cost as much as a row of a pass
 TRIALS = 3
 ROW_COST = 1000
@@ -51,12 +56,12 @@ BLOCK = 2048
 
 
 def bits_for(n: int) -> int:
-    """Bits that leave ``EVEN`` rows or fewer a bucket if hashes are spread evenly."""
+    """Bits that leave ``EVEN`` rows or fewer a run if hashes are spread evenly."""
     return max(1, math.ceil(math.log2(max(n, 2) / EVEN)))
 
 
 def passes_at(bits: int, threshold: float = THRESHOLD, miss: float = MISS) -> int:
-    """Passes until a pair at the threshold shares no bucket with probability below ``miss``."""
+    """Passes until a pair at the threshold shares no run with probability below ``miss``."""
     agree = (1 - math.acos(threshold) / math.pi) ** bits
     return max(4, math.ceil(math.log(miss) / math.log(1 - agree)))
 
@@ -91,8 +96,8 @@ def _matrix(col) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _hashed(n_passes: int):
-    """(pass, part, hash, tie, cls, vec) for every pass; ``part`` is the label and dimension."""
+def _hashed(n_passes: int, with_vec: bool = True):
+    """(pass, label, dim, hash, cls, component[, vec]) for every pass (rows cls, label, vec, component)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
@@ -100,16 +105,19 @@ def _hashed(n_passes: int):
             sizes = np.array([len(v) for v in batch.column(2).to_pylist()], np.int64)
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
-                x = _matrix(part.column(2))
+                cls, label, vec, component = part.columns
+                x = _matrix(vec)
                 for step in range(n_passes):
                     h = ((x @ _planes(step, x.shape[1])) > 0) @ weights
-                    yield pa.record_batch([pa.array(np.full(len(x), step, np.int32)), part.column(1),
-                                           pa.array(np.full(len(x), x.shape[1], np.int32)), pa.array(h), part.column(0), part.column(2)],
-                                          names=["pass", "label", "dim", "hash", "cls", "vec"])
+                    cols = [pa.array(np.full(len(x), step, np.int32)), label, pa.array(np.full(len(x), x.shape[1], np.int32)),
+                            pa.array(h), cls, component]
+                    names = ["pass", "label", "dim", "hash", "cls", "component"]
+                    yield pa.record_batch([*cols, vec] if with_vec else cols, names=[*names, "vec"] if with_vec else names)
 
     return run
 
 
+_HASHED = "pass int, label string, dim int, hash long, cls long, component long"
 _FOUND = "a long, b long, pid int, side string, pass int, label string, dim int, place int, vec binary"
 
 
@@ -123,9 +131,9 @@ def _groups(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _window_pairs(batch: pa.RecordBatch, threshold: float, window: int, old: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs at most ``window`` rows apart, the later row being at ``old`` or after."""
+    """Components with a linked pair at most ``window`` rows apart, the later row being at ``old`` or after."""
     group = np.cumsum(_groups(batch))
-    ids = batch.column(batch.schema.get_field_index("cls")).to_numpy()
+    ids = batch.column(batch.schema.get_field_index("component")).to_numpy()
     vec = batch.column(batch.schema.get_field_index("vec"))
     a, b = [], []
     for g in np.unique(group):
@@ -134,7 +142,7 @@ def _window_pairs(batch: pa.RecordBatch, threshold: float, window: int, old: int
         x = _matrix(vec.slice(lo, hi - lo))
         for d in range(1, min(window, len(x) - 1) + 1):
             near = np.einsum("ij,ij->i", x[:-d], x[d:]) >= threshold
-            near &= np.arange(lo + d, hi) >= old
+            near &= (np.arange(lo + d, hi) >= old) & (ids[lo:hi - d] != ids[lo + d:hi])
             hit = np.flatnonzero(near) + lo
             a.append(ids[hit])
             b.append(ids[hit + d])
@@ -169,12 +177,14 @@ def _found(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 def _edge(batch: pa.RecordBatch, pid: int, side: str) -> pa.RecordBatch:
     n = batch.num_rows
     col = {c: batch.column(batch.schema.get_field_index(c)) for c in batch.schema.names}
-    return pa.record_batch([col["cls"], pa.nulls(n, pa.int64()), pa.array([pid] * n, pa.int32()), pa.array([side] * n),
+    return pa.record_batch([col["component"], pa.nulls(n, pa.int64()), pa.array([pid] * n, pa.int32()), pa.array([side] * n),
                             col["pass"], col["label"], col["dim"], pa.array(range(n), pa.int32()), col["vec"]],
                            names=[f.split()[0] for f in _FOUND.split(", ")])
 
 
 def _pass_pairs(threshold: float, window: int):
+    """Pairs inside windows of ``window`` rows, and the rows at the ends of the partition."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pid, held, begun = TaskContext.get().partitionId(), None, 0
         for batch in batches:
@@ -210,40 +220,29 @@ def _junction_pairs(threshold: float, window: int):
     return run
 
 
-def _bucketed(n_passes: int, bits: int, with_vec: bool):
-    """(pass, label, dim, prefix, cls, component[, vec]) for every pass (rows cls, label, vec, component)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = _hashed(n_passes)
-        for batch in batches:
-            component = dict(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True))
-            for h in hashed(iter([batch.select([0, 1, 2])])):
-                step, label, dim, value, cls, vec = h.columns
-                cols = [step, label, dim, pa.array(value.to_numpy() >> (BITS - bits)), cls,
-                        pa.array([component[c] for c in cls.to_pylist()], pa.int64())]
-                yield pa.record_batch([*cols, vec] if with_vec else cols,
-                                      names=["pass", "label", "dim", "prefix", "cls", "component", *(["vec"] if with_vec else [])])
-
-    return run
+_RUN = ["pass", "label", "dim", "run"]
 
 
-_BUCKET = ["pass", "label", "dim", "prefix"]
-_BUCKETED = "pass int, label string, dim int, prefix long, cls long, component long"
+def _with_runs(rows: DataFrame, n_passes: int, bits: int, with_vec: bool) -> DataFrame:
+    """The rows of every pass with ``run``, the first ``bits`` bits of their hash."""
+    return (rows.select("cls", "label", "vec", "component")
+            .mapInArrow(trimmed(_hashed(n_passes, with_vec)), _HASHED + (", vec binary" if with_vec else ""))
+            .withColumn("run", F.shiftright("hash", BITS - bits)))
 
 
-def _bucket_counts(rows: DataFrame, n_passes: int, bits: int) -> DataFrame:
-    """Per bucket: n rows, the largest component ``big`` with ``m`` of them, and the ``rest``."""
-    return (rows.mapInArrow(trimmed(_bucketed(n_passes, bits, False)), _BUCKETED)
-            .groupBy(*_BUCKET, "component").agg(F.count("*").alias("m"))
-            .groupBy(*_BUCKET).agg(F.sum("m").alias("n"), F.max(F.struct("m", "component")).alias("most"))
-            .select(*_BUCKET, "n", F.col("most.component").alias("big"), F.col("most.m").alias("m"), (F.col("n") - F.col("most.m")).alias("rest")))
+def _run_counts(rows: DataFrame, n_passes: int, bits: int) -> DataFrame:
+    """Per run: n rows, the largest component ``big`` with ``m`` of them, and the ``rest``."""
+    return (_with_runs(rows, n_passes, bits, False)
+            .groupBy(*_RUN, "component").agg(F.count("*").alias("m"))
+            .groupBy(*_RUN).agg(F.sum("m").alias("n"), F.max(F.struct("m", "component")).alias("most"))
+            .select(*_RUN, "n", F.col("most.component").alias("big"), F.col("most.m").alias("m"), (F.col("n") - F.col("most.m")).alias("rest")))
 
 
 def _chosen_bits(rows: DataFrame, n: int, threshold: float) -> int:
     """The bits whose passes cost least, rows and comparisons counted."""
 
     def compared(bits: int) -> float:
-        total = _bucket_counts(rows, TRIALS, bits).agg(F.sum(F.col("rest").cast("double") * F.col("n"))).first()[0]
+        total = _run_counts(rows, TRIALS, bits).agg(F.sum(F.col("rest").cast("double") * F.col("n"))).first()[0]
         return (total or 0.0) / TRIALS
 
     bits = bits_for(n)
@@ -256,8 +255,73 @@ def _chosen_bits(rows: DataFrame, n: int, threshold: float) -> int:
     return bits
 
 
-def _bucket_links(threshold: float):
-    """(a, b): components linked inside a bucket, a block of it or between two (rows own, low, high, component, vec)."""
+def _linked(x: np.ndarray, component: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    """Distinct pairs of different components with a link between rows ``left`` and rows ``right``."""
+    found = [np.zeros((0, 2), np.int64)]
+    for at in range(0, len(left), 512):
+        rows = left[at:at + 512]
+        i, j = np.nonzero(x[rows] @ x[right].T >= threshold)
+        ends = np.stack([component[rows[i]], component[right[j]]], axis=1)
+        ends = np.sort(ends[ends[:, 0] != ends[:, 1]], axis=1)
+        found.append(np.unique(ends, axis=0))
+    return np.concatenate(found)
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch], shift: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The sorted rows again in batches that end where a run ends, with the starts of their runs."""
+    held = None
+    for batch in batches:
+        if held is not None and held.num_rows:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if batch.num_rows == 0:
+            continue
+        run = batch.column(batch.schema.get_field_index("hash")).to_numpy() >> shift
+        new = _groups(batch)
+        new[1:] |= run[1:] != run[:-1]
+        new[0] = True
+        starts = np.flatnonzero(new)
+        held = batch.slice(int(starts[-1]))
+        if len(starts) > 1:
+            yield batch.slice(0, int(starts[-1])), starts[:-1]
+    if held is not None:
+        yield held, np.zeros(1, np.int64)
+
+
+def _run_pairs(threshold: float, window: int, shift: int):
+    """(a, b): components linked inside a window: the next ``window`` rows of the order, and the
+    whole run (rows sorted by pass, label, dim and hash)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch, starts in _whole_runs(batches, shift):
+            component = batch.column(batch.schema.get_field_index("component")).to_numpy()
+            vec = batch.column(batch.schema.get_field_index("vec"))
+            found = [np.zeros((0, 2), np.int64)]
+            for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows], strict=True):
+                if hi - lo <= window + 1:
+                    continue  # the next rows of the order are all of it
+                of = component[lo:hi]
+                names, counts = np.unique(of, return_counts=True)
+                if len(names) > 1:
+                    rest = np.flatnonzero(of != names[counts.argmax()])
+                    found.append(_linked(_matrix(vec.slice(lo, hi - lo)), of, rest, np.arange(len(of)), threshold))
+            for at in range(0, batch.num_rows, 4096):
+                part, old = batch.slice(at, 4096), 0
+                if held is not None:
+                    old = held.num_rows
+                    part = pa.Table.from_batches([held, part]).combine_chunks().to_batches()[0]
+                found.append(np.stack(_window_pairs(part, threshold, window, old), axis=1))
+                held = part.slice(max(0, part.num_rows - window))
+            ends = np.concatenate(found)
+            if len(ends):
+                a, b = _spanning(ends[:, 0], ends[:, 1])
+                yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return run
+
+
+def _dealt_links(threshold: float):
+    """(a, b): components linked inside a block of a long run or between two (rows own, low, high, component, vec)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped_rows(batches, "key"):
@@ -270,15 +334,7 @@ def _bucket_links(threshold: float):
                 left, right = np.flatnonzero(component != names[counts.argmax()]), np.arange(len(component))
             else:
                 left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-            x = _matrix(group.column("vec").combine_chunks())
-            found = [np.zeros((0, 2), np.int64)]
-            for at in range(0, len(left), 512):
-                rows = left[at:at + 512]
-                i, j = np.nonzero(x[rows] @ x[right].T >= threshold)
-                ends = np.stack([component[rows[i]], component[right[j]]], axis=1)
-                ends = np.sort(ends[ends[:, 0] != ends[:, 1]], axis=1)
-                found.append(np.unique(ends, axis=0))
-            ends = np.concatenate(found)
+            ends = _linked(_matrix(group.column("vec").combine_chunks()), component, left, right, threshold)
             if len(ends):
                 a, b = _spanning(ends[:, 0], ends[:, 1])
                 yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -286,27 +342,32 @@ def _bucket_links(threshold: float):
     return run
 
 
-def bucket_links(rows: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """(a, b) components of ``rows`` (cls, label, vec, component) that some bucket links.
+def pass_links(rows: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+    """(a, b) components of ``rows`` (cls, label, vec, component) that some window of some pass links.
 
-    A bucket over ``block`` rows is dealt into blocks, those outside its largest
+    A run over ``block`` rows is dealt into blocks, those outside its largest
     component first; only pairs of blocks with one of these are compared.
     """
     bits = _chosen_bits(rows, rows.count(), threshold)
     steps = passes_at(bits, threshold)
-    large = (_bucket_counts(rows, steps, bits).where(F.col("n") > block)
-             .select(*_BUCKET, "big", "rest", F.ceil(F.col("rest") / block).cast("int").alias("few"),
-                     F.ceil(F.col("m") / block).cast("int").alias("many")))
-    dealt = (rows.mapInArrow(trimmed(_bucketed(steps, bits, True)), _BUCKETED + ", vec binary")
-             .join(stored(large), _BUCKET, "left").where("rest is null or rest > 0"))
+    large = stored(_run_counts(rows, steps, bits).where(F.col("n") > block)
+                   .select(*_RUN, "big", "rest", F.ceil(F.col("rest") / block).cast("int").alias("few"),
+                           F.ceil(F.col("m") / block).cast("int").alias("many")))
+    ordered = _with_runs(rows, steps, bits, True)
+    links = (ordered.join(large, _RUN, "left_anti")
+             .repartition("pass", "label", "dim", F.shiftright("run", ZONE))
+             .sortWithinPartitions("pass", "label", "dim", "hash", "cls")
+             .mapInArrow(trimmed(_run_pairs(threshold, window, BITS - bits)), "a long, b long"))
+    if large.isEmpty():
+        return links
     deal, of_big = F.xxhash64("cls"), F.col("component") == F.col("big")
-    dealt = (dealt.withColumn("own", F.when(F.col("big").isNull(), 0).when(of_big, F.col("few") + F.pmod(deal, F.col("many")))
-                              .otherwise(F.pmod(deal, F.col("few"))).cast("int"))
-             .withColumn("other", F.explode(F.when(F.col("big").isNull(), F.array(F.lit(0))).when(of_big, F.sequence(F.lit(0), F.col("few") - 1))
+    dealt = (ordered.join(large.where("rest > 0"), _RUN)
+             .withColumn("own", F.when(of_big, F.col("few") + F.pmod(deal, F.col("many"))).otherwise(F.pmod(deal, F.col("few"))).cast("int"))
+             .withColumn("other", F.explode(F.when(of_big, F.sequence(F.lit(0), F.col("few") - 1))
                                             .otherwise(F.sequence(F.lit(0), F.col("few") + F.col("many") - 1))))
              .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-             .select(F.concat_ws("|", "pass", "dim", "prefix", "low", "high", "label").alias("key"), "low", "high", "own", "component", "vec"))
-    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(trimmed(_bucket_links(threshold)), "a long, b long")
+             .select(F.concat_ws("|", "pass", "dim", "run", "low", "high", "label").alias("key"), "low", "high", "own", "component", "vec"))
+    return links.union(dealt.repartition("key").sortWithinPartitions("key").mapInArrow(trimmed(_dealt_links(threshold)), "a long, b long"))
 
 
 def _block_links(threshold: float):
@@ -350,8 +411,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     clean = stored(rows.mapInArrow(trimmed(_clean), "vec_id long, label string, vec binary"))
     usable = clean.where("vec is not null and vec_id is not null")
     classes = stored(usable.groupBy("label", "vec").agg(F.min("vec_id").alias("cls"), F.count("*").alias("n")))
-    found = stored(classes.select("cls", "label", "vec")
-                   .mapInArrow(trimmed(_hashed(SEED)), "pass int, label string, dim int, hash long, cls long, vec binary")
+    found = stored(classes.select("cls", "label", "vec", F.col("cls").alias("component"))
+                   .mapInArrow(trimmed(_hashed(SEED)), _HASHED + ", vec binary")
                    .repartitionByRange("pass", "label", "dim", "hash", "cls")
                    .sortWithinPartitions("pass", "label", "dim", "hash", "cls")
                    .mapInArrow(trimmed(_pass_pairs(threshold, window)), _FOUND))
@@ -360,14 +421,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     order = ends.select("pid").distinct().selectExpr("pid", "lag(pid) over (order by pid) as junction")
     firsts = ends.where("side = 'first'").join(F.broadcast(order), "pid").where("junction is not null")
     lasts = ends.where("side = 'last'").withColumn("junction", F.col("pid"))
-    cols = ["junction", "pass", "label", "dim", "place", F.col("a").alias("cls"), "vec"]
+    cols = ["junction", "pass", "label", "dim", "place", F.col("a").alias("component"), "vec"]
     edges = (lasts.select(F.lit("0last").alias("side"), *cols).union(firsts.select(F.lit("1first").alias("side"), *cols))
              .repartition("junction").sortWithinPartitions("junction", "side", "place")
              .mapInArrow(trimmed(_junction_pairs(threshold, window)), "a long, b long"))
     links = found.where("side is null").select("a", "b").union(edges)
     joined = stored(components(links).select(F.col("node").alias("cls"), "component"))
     rows = stored(classes.join(joined, "cls", "left").select("cls", "label", "vec", F.coalesce("component", "cls").alias("component")))
-    links = joined.select(F.col("cls").alias("a"), F.col("component").alias("b")).union(bucket_links(rows, threshold, block))
+    links = joined.select(F.col("cls").alias("a"), F.col("component").alias("b")).union(pass_links(rows, threshold, window, block))
     groups = stored(components(links).select(F.col("node").alias("cls"), "component"))
 
     members = classes.join(groups, "cls")

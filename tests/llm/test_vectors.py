@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from sievekit.llm import vectors as V
@@ -91,3 +93,31 @@ def test_vectors_in_a_cone(spark):
     got = {r_.vec_id: r_ for r_ in V.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4), block=512).collect()}
     missed = sum(got[i].component_id != got[n + i].component_id for i in range(n))
     assert missed <= 12 and sum(got[i].n_links != k for i, k in enumerate(links)) <= 2 * missed
+
+
+@pytest.mark.parametrize("size", [17, 250, 4000])
+def test_runs_are_compared_whole_across_batches(size):
+    """Every link between rows that share a run's prefix is found, however the rows are dealt into batches."""
+    r = np.random.default_rng(size)
+    bits = 3
+    centres = r.standard_normal((30, 16))
+    x = centres[r.integers(30, size=900)] + r.standard_normal((900, 16)) * 0.06
+    rows = pa.record_batch([pa.array(range(900), pa.int64()), pa.array(["a"] * 900), pa.array([v.tobytes() for v in x], pa.binary()),
+                            pa.array(range(900), pa.int64())], names=["cls", "label", "vec", "component"])
+    of_pass = next(iter(V._hashed(1)(iter([rows]))))
+    of_pass = of_pass.take(pa.compute.sort_indices(of_pass, [("hash", "ascending"), ("cls", "ascending")]))
+    batches = [of_pass.slice(at, size) for at in range(0, 900, size)]
+    up = list(range(900))
+
+    def root(v):
+        while up[v] != v:
+            v = up[v]
+        return v
+    for out in V._run_pairs(0.98, 4, V.BITS - bits)(iter(batches)):
+        for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+            up[root(a)] = root(b)
+    run = dict(zip(of_pass.column("cls").to_pylist(), (of_pass.column("hash").to_numpy() >> (V.BITS - bits)).tolist(), strict=True))
+    e = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.argwhere(np.triu(e @ e.T >= 0.98, 1)).tolist()
+    inside = [(i, j) for i, j in near if run[i] == run[j]]
+    assert len(inside) > 1000 and all(root(i) == root(j) for i, j in inside)
