@@ -57,17 +57,19 @@ def confusion(df: DataFrame, true: str, pred: str, classes: Sequence[str]) -> Da
 
 
 def _class_counts(df: DataFrame, true: str, pred: str, classes: Sequence[str]) -> DataFrame:
-    """(label, tp, support, predicted) -- one aggregate pass, K rows out."""
-    aggs = []
-    for i, c in enumerate(classes):
-        aggs += [F.count(F.when((F.col(true) == c) & (F.col(pred) == c), 1)).alias(f"tp_{i}"),
-                 F.count(F.when(F.col(true) == c, 1)).alias(f"sup_{i}"),
-                 F.count(F.when(F.col(pred) == c, 1)).alias(f"pc_{i}")]
-    wide = df.agg(*aggs)
-    items = [F.struct(F.lit(c).alias("label"), F.col(f"tp_{i}").alias("tp"),
-                      F.col(f"sup_{i}").alias("support"), F.col(f"pc_{i}").alias("predicted"))
-             for i, c in enumerate(classes)]
-    return wide.select(F.inline(F.array(*items)))
+    """(label, tp, support, predicted): one grouping by the pair of labels, whose few rows then
+    count for the true and for the predicted label; classes without rows keep zeros."""
+    pairs = df.groupBy(F.col(true).alias("_t"), F.col(pred).alias("_p")).agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(0).cast(LongType())
+    as_true = F.struct(F.col("_t").alias("label"), F.when(F.col("_t") == F.col("_p"), F.col("n")).otherwise(none).alias("tp"),
+                       F.col("n").alias("support"), none.alias("predicted"))
+    as_pred = F.struct(F.col("_p").alias("label"), none.alias("tp"), none.alias("support"), F.col("n").alias("predicted"))
+    counts = ["tp", "support", "predicted"]
+    per = (pairs.select(F.inline(F.array(as_true, as_pred)))
+           .groupBy(F.col("label").alias("_l")).agg(*[F.sum(c).alias(c) for c in counts]))
+    labels = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in classes])).alias("label"))
+    return (labels.join(per, F.col("label") == F.col("_l"), "left")
+            .select("label", *[F.coalesce(c, none).alias(c) for c in counts]))
 
 
 def _zdiv(a: Column, b: Column) -> Column:

@@ -405,3 +405,103 @@ def q_t08_saved(spark, sf_dir):
     scores = IO.scratch_path(spark, "scores")
     got.select(F.col("ticker").alias("_t"), *[F.col(c).alias("_" + c) for c in got.columns if c != "ticker"]).write.parquet(scores)
     return _same_predictions(m.predict(prep.test, keep=["ticker", "target"]), spark.read.parquet(scores), m.classes)
+
+
+# --------------------------------------------------------------------- evaluation of the fitted screen on held-out rows
+# The rules' side of every table is exact; the model's side comes from an iterative fit, so its own
+# queries are rows-only and a07 states what holds for any fit.
+_HELD_OUT = _SPLIT + """,
+scored AS (SELECT ticker, target, signal_rules, signal_rules AS ml_pred_class, forward_return FROM sp WHERE is_test)"""
+
+
+def _held_out(spark, sf_dir):
+    return main_analysis(spark, sf_dir, tune=False).evaluation()
+
+
+def _rules(df):
+    return rounded(df.where(F.col("method") == "signal_rules").drop("method"))
+
+
+@register("a03_held_out_confusion", O.with_ctes(*_SCR, body=_HELD_OUT + """,
+labels AS (SELECT DISTINCT target AS l FROM labelled WHERE target IS NOT NULL)
+SELECT t.l AS true_label, p.l AS pred_label, COUNT(s.ticker) AS n
+FROM labels t CROSS JOIN labels p LEFT JOIN scored s ON s.target = t.l AND s.signal_rules = p.l GROUP BY t.l, p.l"""))
+def q_a03(spark, sf_dir):
+    """V2 of the rules on the rows the model was not fitted on."""
+    return _rules(_held_out(spark, sf_dir).confusion())
+
+
+@register("a04_held_out_report", O.with_ctes(*_SCR, body=_HELD_OUT + _REPORT + """
+SELECT label, ROUND(precision, 9) AS precision, ROUND(recall, 9) AS recall, ROUND(f1_score, 9) AS f1_score,
+       ROUND(support, 9) AS support FROM rep WHERE method = 'signal_rules'"""))
+def q_a04(spark, sf_dir):
+    """V3 and V5 of the rules on the held-out rows."""
+    return _rules(_held_out(spark, sf_dir).report())
+
+
+@register("a05_held_out_sizes", O.with_ctes(*_SCR, body=_HELD_OUT + """
+SELECT COUNT(CASE WHEN signal_rules = 'Buy' THEN 1 END) AS n_buy, COUNT(CASE WHEN signal_rules = 'Sell' THEN 1 END) AS n_sell,
+       LEAST(COUNT(CASE WHEN signal_rules = 'Buy' THEN 1 END), COUNT(CASE WHEN signal_rules = 'Sell' THEN 1 END)) < 15 AS fragile,
+       COUNT(CASE WHEN target = 'Buy' AND signal_rules = 'Sell' THEN 1 END) AS buy_as_sell,
+       COUNT(CASE WHEN target = 'Sell' AND signal_rules = 'Buy' THEN 1 END) AS sell_as_buy,
+       ROUND(AVG(CASE WHEN signal_rules = 'Buy' THEN forward_return END)
+           - AVG(CASE WHEN signal_rules = 'Sell' THEN forward_return END), 9) AS spread
+FROM scored"""))
+def q_a05(spark, sf_dir):
+    """V7, V12 and V13 of the rules on the held-out rows."""
+    return _rules(_held_out(spark, sf_dir).sizes())
+
+
+@register("a06_held_out_box", O.with_ctes(*_SCR, body=_HELD_OUT + """
+, lg AS (SELECT signal_rules AS signal, forward_return AS r FROM scored WHERE signal_rules IS NOT NULL AND forward_return IS NOT NULL),
+q AS (SELECT signal, quantile_cont(r, 0.25) AS q1, quantile_cont(r, 0.5) AS med, quantile_cont(r, 0.75) AS q3 FROM lg GROUP BY signal)
+SELECT lg.signal, COUNT(*) AS n, ROUND(MAX(q1), 9) AS q1, ROUND(MAX(med), 9) AS median, ROUND(MAX(q3), 9) AS q3
+FROM lg JOIN q ON lg.signal = q.signal GROUP BY lg.signal"""))
+def q_a06(spark, sf_dir):
+    """V11 of the rules on the held-out rows."""
+    return _rules(_held_out(spark, sf_dir).box().select("method", "signal", "n", "q1", "median", "q3"))
+
+
+@register("a07_fitted_facts", O.with_ctes(*_SCR, body=_SPLIT + """
+SELECT target AS class, COUNT(*) AS support, TRUE AS report_agrees, TRUE AS curve_closes, TRUE AS area_in_bounds, TRUE AS box_agrees
+FROM sp WHERE is_test GROUP BY target"""))
+def q_a07(spark, sf_dir):
+    """The fitted model's tables agree with each other, class by class, whatever the fit."""
+    e = _held_out(spark, sf_dir)
+    conf = materialize(e.confusion().where("method = 'ml_pred_class'"))
+    supports = conf.groupBy(F.col("true_label").alias("class")).agg(F.sum("n").alias("support"))
+    report = e.report().where("method = 'ml_pred_class'").select(F.col("label").alias("class"), F.col("support").alias("reported"), "recall")
+    right = conf.where("true_label = pred_label").select(F.col("true_label").alias("class"), F.col("n").alias("right"))
+    curve = e.roc().groupBy("class").agg(F.max("fpr").alias("fpr"), F.max("tpr").alias("tpr"),
+                                         F.count_if(F.col("threshold").isNull()).alias("origins"))
+    of_signal = (e.pred.where("forward_return is not null").groupBy(F.col("ml_pred_class").alias("class"))
+                 .agg(F.count(F.lit(1)).alias("given")))
+    box = e.box().where("method = 'ml_pred_class'").select(F.col("signal").alias("class"), F.col("n").alias("boxed"))
+    rows = supports.where("support > 0")
+    for part in (report, right, curve, e.auc(), of_signal, box):
+        rows = rows.join(part, "class", "left")
+    zero = F.lit(0)
+    return rows.select(
+        "class", "support",
+        ((F.col("reported") == F.col("support")) & (F.abs(F.col("recall") - F.col("right") / F.col("support")) < 1e-12)).alias("report_agrees"),
+        ((F.col("fpr") == 1) & (F.col("tpr") == 1) & (F.col("origins") == 1)).alias("curve_closes"),
+        F.col("auc").between(0, 1).alias("area_in_bounds"),
+        (F.coalesce("boxed", zero) == F.coalesce("given", zero)).alias("box_agrees"))
+
+
+@register("a08_fitted_report", None)
+def q_a08(spark, sf_dir):
+    """V3 of the rules and the fitted model on the held-out rows."""
+    return _held_out(spark, sf_dir).report()
+
+
+@register("a09_fitted_roc", None)
+def q_a09(spark, sf_dir):
+    """V8 of the fitted model's probabilities on the held-out rows."""
+    return _held_out(spark, sf_dir).roc()
+
+
+@register("a08_fitted_box", None)
+def q_a08_box(spark, sf_dir):
+    """V11 of the rules and the fitted model on the held-out rows."""
+    return _held_out(spark, sf_dir).box()

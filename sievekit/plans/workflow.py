@@ -8,6 +8,7 @@ statistic pass re-reads its input.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,58 @@ def signal_returns(df: DataFrame, signal: str = "signal_rules",
 
 # ----------------------------------------------------------------- Entry A
 
+@dataclass
+class Evaluation:
+    """The evaluation tables of scored rows, for every signal column that is compared.
+
+    ``pred`` holds the true label, the outcome, the signals and one probability
+    column a class (``ml_<class>_proba``).  Each table reads ``pred`` anew, so it
+    should be a written frame.  A class without rows keeps its zero rows in the
+    confusion and the report, and has no curve and no box.
+    """
+
+    pred: DataFrame
+    classes: Sequence[str]
+    signals: Sequence[str] = ("signal_rules", "ml_pred_class")
+    true: str = "target"
+    outcome: str = "forward_return"
+
+    def _per_method(self, table: Callable[[str], DataFrame]) -> DataFrame:
+        out = None
+        for m in self.signals:
+            part = table(m).select(F.lit(m).alias("method"), "*")
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    @property
+    def _proba(self) -> dict[str, str]:
+        return {c: f"ml_{c.lower()}_proba" for c in self.classes}
+
+    def confusion(self) -> DataFrame:
+        return self._per_method(lambda m: V.confusion(self.pred, self.true, m, self.classes))
+
+    def report(self) -> DataFrame:
+        return self._per_method(lambda m: V.classification_report(self.pred, self.true, m, self.classes))
+
+    def sizes(self) -> DataFrame:
+        """Sizes of the Buy and Sell buckets, the two costly errors and the spread, a row per method."""
+        spreads = self._per_method(lambda m: self.pred.agg(V.spread(m, self.outcome).alias("spread")))
+        return (V.bucket_sizes(self.pred, self.signals).join(V.high_stakes_errors(self.pred, self.true, self.signals), "method")
+                .join(spreads, "method"))
+
+    def box(self) -> DataFrame:
+        return V.box_stats(self.pred, self.signals, self.outcome)
+
+    def roc(self) -> DataFrame:
+        return V.roc_table(self.pred, self.true, self._proba)
+
+    def auc(self) -> DataFrame:
+        return V.auc_table(self.pred, self.true, self._proba)
+
+    def ic(self) -> DataFrame:
+        return V.information_coefficient(self.pred, self._proba[V.BUY], self.outcome)
+
+
 @dataclass
 class AnalysisResult:
     model: "T.ScreenModel"
@@ -57,6 +110,10 @@ class AnalysisResult:
     predictions: DataFrame        # test rows: ids, labels, rule signal, ML class + probabilities
     metrics: DataFrame            # V14 comparison table
 
+    def evaluation(self) -> Evaluation:
+        """All evaluation tables of the held-out rows, rules and fitted model side by side."""
+        return Evaluation(self.predictions, self.prepared.classes)
+
 
 def main_analysis(spark: SparkSession, sf_dir: str, tune: bool = True,
                   cfg: CleanConfig = CleanConfig(), distances: bool = False) -> AnalysisResult:

@@ -165,3 +165,55 @@ def test_ranks_treat_nan_as_missing_with_many_buckets(spark):
     want = pd.Series(vals[2:]).rank().groupby(vals[2:]).first()
     got = {r["v"]: r["r"] for r in average_ranks(df, "v", "r", buckets=5).collect()}
     assert got == want.to_dict()
+
+
+def test_evaluation_of_the_fitted_screen(spark):
+    """Every table of the held-out rows against numpy on the same predictions."""
+    from sievekit.plans.workflow import main_analysis
+    from tests.conftest import SF001
+    result = main_analysis(spark, SF001, tune=False)
+    e, pdf = result.evaluation(), result.predictions.toPandas()
+    labels = result.prepared.classes
+    y, r = pdf["target"].to_numpy(), pdf["forward_return"].to_numpy(float)
+    conf = {(x.method, x.true_label, x.pred_label): x.n for x in e.confusion().collect()}
+    rep = {(x.method, x.label): x for x in e.report().collect()}
+    sizes = {x.method: x for x in e.sizes().collect()}
+    box = {(x.method, x.signal): x for x in e.box().collect()}
+    assert len(conf) == 2 * len(labels) ** 2
+    for m in ("signal_rules", "ml_pred_class"):
+        p = pdf[m].to_numpy()
+        for a in labels:
+            for b in labels:
+                assert conf[m, a, b] == np.sum((y == a) & (p == b))
+        for c, (pr, rc, f1, sup) in _report(y, p, labels).items():
+            got = rep[m, c]
+            assert np.allclose([got.precision, got.recall, got.f1_score, got.support], [pr, rc, f1, sup])
+        assert (sizes[m].n_buy, sizes[m].n_sell) == (np.sum(p == "Buy"), np.sum(p == "Sell"))
+        assert (sizes[m].buy_as_sell, sizes[m].sell_as_buy) == (np.sum((y == "Buy") & (p == "Sell")), np.sum((y == "Sell") & (p == "Buy")))
+        if (p == "Buy").any() and (p == "Sell").any():
+            assert sizes[m].spread == pytest.approx(r[p == "Buy"].mean() - r[p == "Sell"].mean())
+        for c in np.unique(p):
+            b = box[m, c]
+            assert np.allclose([b.q1, b.median, b.q3], np.quantile(r[p == c], [.25, .5, .75])) and b.n == np.sum(p == c)
+    auc = {x["class"]: x.auc for x in e.auc().collect()}
+    for c in labels:
+        s = pdf[f"ml_{c.lower()}_proba"].to_numpy(float)
+        pos, neg = s[y == c], s[y != c]
+        gap = pos[:, None] - neg[None, :]
+        assert auc[c] == pytest.approx(((gap > 0) + 0.5 * (gap == 0)).mean())
+        points = [(x.fpr, x.tpr) for x in e.roc().where(F.col("class") == c).collect()]
+        assert len(points) == len(np.unique(s)) + 1 and max(points) == (1.0, 1.0)
+    ranks = pd.DataFrame({"a": pdf["ml_buy_proba"], "b": pdf["forward_return"]}).rank()
+    assert e.ic().first().ic == pytest.approx(ranks["a"].corr(ranks["b"]))
+
+
+def test_report_of_many_labels_and_labels_without_rows(spark):
+    """One grouping whatever the number of labels; a label that no row has reports zeros; null and
+    unknown predictions count for no label."""
+    labels = [f"c{i:03d}" for i in range(300)]
+    rows = [(labels[i % 250], labels[i % 125]) for i in range(1000)] + [("c000", None), (None, "c001"), ("c002", "other")]
+    rep = {x.label: x for x in V.classification_report(spark.createDataFrame(rows, "t string, p string"), "t", "p", labels).collect()}
+    y, p = (np.array([x[k] or "" for x in rows]) for k in (0, 1))
+    for c, (pr, rc, f1, sup) in _report(y, p, labels).items():
+        assert np.allclose([rep[c].precision, rep[c].recall, rep[c].f1_score, rep[c].support], [pr, rc, f1, sup])
+    assert len(rep) == 302 and rep["c299"].support == 0
