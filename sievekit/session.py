@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "sievekit") -> SparkSession:
-    """Return the active session, or build a local one for tests and bench.
+              app_name: str = "sievekit", conf: dict[str, str] | None = None) -> SparkSession:
+    """Return the active session, or build a local one for tests and bench; ``conf``
+    adds settings to a fresh one.
 
     On a cluster the session already exists and is returned untouched
     (``getOrCreate``); the options below only apply to a fresh local JVM.
@@ -20,7 +21,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     master = master or f"local[{cpus}]"
     shuffle_partitions = shuffle_partitions or cpus
-    spark = (
+    builder = (
         SparkSession.builder.master(master).appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -30,8 +31,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("SIEVEKIT_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

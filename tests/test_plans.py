@@ -1,5 +1,10 @@
 """Plan-shape regression tests: the scale properties stay in the plans that ran."""
 
+import json
+import os
+import subprocess
+import sys
+
 import pytest
 
 from tests.conftest import SF001
@@ -32,3 +37,21 @@ def test_date_window_reaches_the_scan(spark):
     scans = summarise(date_window(prices(spark, SF001), "1998-12-31"))["scans"]
     pushed = " ".join(f for t, _, f in scans if t == "orders")
     assert "o_orderdate" in pushed
+
+
+def test_all_plans_that_a_query_runs():
+    """Not only the last plan: statistic passes and barriers have no keyless join and no Python
+    operator either, and read only some columns of the tables."""
+    names = ["c13_clean_and_engineer", "m04_stratified_split", "v14_comparison_table"]
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run([sys.executable, os.path.join(root, "tools", "explain_plans.py"), "--json", SF001, *names],
+                         capture_output=True, text=True, timeout=300, check=True)
+    result = json.loads(run.stdout.strip().splitlines()[-1])
+    assert list(result) == names
+    for r in result.values():
+        assert r["executions"] > 1 and r["jobs"] >= r["executions"] and r["shuffle_mb"] > 0
+        assert r["ops"].get("Exchange", 0) > 0 and r["spill_mb"] == 0
+        for op in ("BroadcastNestedLoopJoin", "CartesianProduct", "SortMergeJoin", "BatchEvalPython", "ArrowEvalPython", "MapInArrow"):
+            assert r["ops"].get(op, 0) == 0
+        lineitem = [set(cols) for table, cols, _ in r["scans"] if table == "lineitem"]
+        assert all(cols <= {"l_orderkey", "l_discount", "l_tax"} for cols in lineitem)
