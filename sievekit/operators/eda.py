@@ -137,14 +137,15 @@ def histogram(df: DataFrame, cols: Sequence[str] | None = None, hue: str = "targ
 
 # --------------------------------------------------------------------- E3
 def kde_curves(df: DataFrame, cols: Sequence[str] | None = None, hue: str = "target",
-               gridsize: int = 200, cut: float = 3.0, bins_per_h: int = 20) -> DataFrame:
+               gridsize: int = 200, cut: float = 3.0, bins_per_h: int | None = 20) -> DataFrame:
     """Gaussian KDE per (feature, class) on ``gridsize`` points over
     [min - cut*h, max + cut*h], Scott bandwidth h = sd_sample * n^(-1/5).
 
     Rows are first collapsed to equal-width bins per (feature, class) of at
     most h / ``bins_per_h`` -- (mean, weight) pairs -- so the error stays
     near 1 / (24 bins_per_h^2) of a kernel's height for any n, while the work per curve grows
-    only with the range over h (n^(1/5)), not with n.
+    only with the range over h (n^(1/5)), not with n.  ``bins_per_h=None`` collapses
+    equal values only: the exact density, at ``gridsize`` kernels per distinct value.
     Classes with < 2 rows or zero variance have no curve.
     """
     cols = list(cols) if cols is not None else eda_columns(df)
@@ -154,16 +155,16 @@ def kde_curves(df: DataFrame, cols: Sequence[str] | None = None, hue: str = "tar
         F.min("x").alias("lo"), F.max("x").alias("hi"))
     st = st.where((F.col("n") >= 2) & (F.col("sd") > 0))
     st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast(DoubleType()), -0.2))
-    st = st.withColumn("nb", F.ceil((F.col("hi") - F.col("lo")) / (F.col("h") / bins_per_h)))
     # one row per feature and class; adaptive execution broadcasts it when small
     j = long.join(st, ["feature", "hue"])
-    span = F.col("hi") - F.col("lo")
-    pb = F.col("nb")
-    b = F.when(span > 0, F.least(F.floor((F.col("x") - F.col("lo")) / span * pb), pb - 1)) \
-         .otherwise(F.lit(0))
-    binned = (j.withColumn("b", b.cast("long"))
-               .groupBy("feature", "hue", "b", "n", "h", "lo", "hi", "nb")
-               .agg(F.count(F.lit(1)).alias("w"), F.avg("x").alias("c")))
+    curve = ["feature", "hue", "n", "h", "lo", "hi"]
+    if bins_per_h is None:
+        binned = j.groupBy(*curve, F.col("x").alias("c")).agg(F.count(F.lit(1)).alias("w"))
+    else:
+        span = F.col("hi") - F.col("lo")
+        nb = F.ceil(span / (F.col("h") / bins_per_h))
+        b = F.when(span > 0, F.least(F.floor((F.col("x") - F.col("lo")) / span * nb), nb - 1)).otherwise(F.lit(0))
+        binned = j.groupBy(*curve, b.cast("long").alias("b")).agg(F.count(F.lit(1)).alias("w"), F.avg("x").alias("c"))
     g_lo = F.col("lo") - cut * F.col("h")
     g_hi = F.col("hi") + cut * F.col("h")
     step = (g_hi - g_lo) / (gridsize - 1)

@@ -15,7 +15,7 @@ from ..operators import evaluate as V
 from ..sources.fixtures import prices
 from ..sources.tables import read_table
 from . import oracle_sql as O
-from .registry import register, rounded
+from .registry import register, round6, rounded
 from .workflow import labelled, main_analysis, screened
 
 EDA_COLS = [*O.FEATURES, "earnings_yield", "quality_score", "leverage_adj_roe"]
@@ -95,6 +95,22 @@ def q_e03(spark, sf_dir):
     return rounded(E.kde_curves(labelled(spark, sf_dir), EDA_COLS, "target"))
 
 
+@register("e03_kde_exact", O.with_ctes(*_LAB, body=f"""
+, lx AS ({_unpivot_sql("labelled")}),
+st AS (SELECT feature, hue, COUNT(*) AS n, STDDEV_SAMP(x) AS sd, MIN(x) AS lo, MAX(x) AS hi
+       FROM lx GROUP BY feature, hue HAVING COUNT(*) >= 2 AND STDDEV_SAMP(x) > 0),
+gr AS (SELECT feature, hue, n, h, g, (lo - 3.0 * h) + g * (((hi + 3.0 * h) - (lo - 3.0 * h)) / 199) AS gx
+       FROM (SELECT *, sd * POW(CAST(n AS DOUBLE), -0.2) AS h FROM st)
+       CROSS JOIN (SELECT CAST(range AS INTEGER) AS g FROM range(0, 200)) points)
+SELECT gr.feature, gr.hue AS target, g AS grid_idx, ROUND(MAX(gx), 9) AS x,
+       ROUND(SUM(EXP(-0.5 * (gx - lx.x) / h * (gx - lx.x) / h)) * {_NORM} / (MAX(n) * MAX(h)), 8) AS density
+FROM gr JOIN lx ON lx.feature = gr.feature AND lx.hue = gr.hue GROUP BY gr.feature, gr.hue, g"""))
+def q_e03_exact(spark, sf_dir):
+    """The density itself, summed over every row; eight decimals, as sums of many kernels carry noise."""
+    df = E.kde_curves(labelled(spark, sf_dir), EDA_COLS, "target", bins_per_h=None)
+    return df.select("feature", "target", "grid_idx", round6(F.col("x")).alias("x"), round6(F.col("density"), 8).alias("density"))
+
+
 # --------------------------------------------------------------------- M1, M3
 _SECTORS = ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "Unknown")
 

@@ -74,3 +74,20 @@ def test_kde_is_near_the_exact_density(spark):
     h = x.std(ddof=1) * len(x) ** -0.2
     exact = np.exp(-0.5 * ((k["x"].to_numpy()[:, None] - x) / h) ** 2).sum(axis=1) / (len(x) * h * np.sqrt(2 * np.pi))
     assert np.abs(k["density"] - exact).max() < 5e-4 * exact.max()
+
+
+def test_exact_kde_is_the_density(spark):
+    """Ties, a skewed class and a class without spread: every grid point equals the sum over all rows."""
+    rng = np.random.default_rng(12)
+    x = np.round(np.concatenate([rng.exponential(2, 400), rng.normal(5, 1, 100), [3.0] * 20]), 1)
+    hue = ["a"] * 400 + ["b"] * 100 + ["c"] * 20
+    df = spark.createDataFrame([(float(v), h) for v, h in zip(x, hue)] + [(None, "a")], "x double, target string")
+    k = E.kde_curves(df, ["x"], "target", gridsize=40, bins_per_h=None).toPandas().sort_values("grid_idx")
+    assert sorted(k["target"].unique()) == ["a", "b"]
+    for h in "ab":
+        v = x[np.array(hue) == h]
+        bw = v.std(ddof=1) * len(v) ** -0.2
+        grid = np.linspace(v.min() - 3 * bw, v.max() + 3 * bw, 40)
+        want = np.exp(-0.5 * ((grid[:, None] - v) / bw) ** 2).sum(axis=1) / (len(v) * bw * np.sqrt(2 * np.pi))
+        got = k[k["target"] == h]
+        assert np.allclose(got["x"], grid) and np.allclose(got["density"], want, rtol=1e-10, atol=1e-14)
