@@ -19,6 +19,7 @@ from ..functions.ranks import prefix_table, rank_correlation
 from ..functions.stats import scalars
 
 BUY, HOLD, SELL = "Buy", "Hold", "Sell"
+_COUNTS = ("tp", "support", "predicted")
 
 
 def class_list(df: DataFrame, *cols: str, limit: int = MAX_LABELS) -> list[str]:
@@ -56,20 +57,24 @@ def confusion(df: DataFrame, true: str, pred: str, classes: Sequence[str]) -> Da
     return grid.join(counts, on, "left").select("true_label", "pred_label", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def _class_counts(df: DataFrame, true: str, pred: str, classes: Sequence[str]) -> DataFrame:
-    """(label, tp, support, predicted): one grouping by the pair of labels, whose few rows then
-    count for the true and for the predicted label; classes without rows keep zeros."""
+def label_counts(df: DataFrame, true: str, pred: str) -> DataFrame:
+    """(_l, tp, support, predicted) of every label found: one grouping by the pair of labels, whose
+    few rows then count for the true and for the predicted label."""
     pairs = df.groupBy(F.col(true).alias("_t"), F.col(pred).alias("_p")).agg(F.count(F.lit(1)).alias("n"))
     none = F.lit(0).cast(LongType())
     as_true = F.struct(F.col("_t").alias("label"), F.when(F.col("_t") == F.col("_p"), F.col("n")).otherwise(none).alias("tp"),
                        F.col("n").alias("support"), none.alias("predicted"))
     as_pred = F.struct(F.col("_p").alias("label"), none.alias("tp"), none.alias("support"), F.col("n").alias("predicted"))
-    counts = ["tp", "support", "predicted"]
-    per = (pairs.select(F.inline(F.array(as_true, as_pred)))
-           .groupBy(F.col("label").alias("_l")).agg(*[F.sum(c).alias(c) for c in counts]))
+    return (pairs.select(F.inline(F.array(as_true, as_pred)))
+            .groupBy(F.col("label").alias("_l")).agg(*[F.sum(c).alias(c) for c in _COUNTS]))
+
+
+def _class_counts(df: DataFrame, true: str, pred: str, classes: Sequence[str]) -> DataFrame:
+    """(label, tp, support, predicted) of the given classes; those without rows keep zeros."""
+    per, none = label_counts(df, true, pred), F.lit(0).cast(LongType())
     labels = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in classes])).alias("label"))
     return (labels.join(per, F.col("label") == F.col("_l"), "left")
-            .select("label", *[F.coalesce(c, none).alias(c) for c in counts]))
+            .select("label", *[F.coalesce(c, none).alias(c) for c in _COUNTS]))
 
 
 def _zdiv(a: Column, b: Column) -> Column:
