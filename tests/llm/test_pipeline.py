@@ -1,12 +1,14 @@
 import public_tokenizers as P
+import pytest
 import sentencepiece
 
 import corpus_pipeline
-from sievekit.llm import private
+from sievekit.llm import jaccard, private
 from sievekit.llm.frames import stored, table
 from sievekit.llm.language import MIN_SCORE, identify
 from tests.llm.test_decontaminate import brute as contaminated
 from tests.llm.test_jaccard import brute as components
+from tests.llm.test_jaccard import shuffled, unlike
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -54,3 +56,31 @@ def test_stages_and_edges(spark, empty, clashing):
             out = stage(spark, docs, SF001)
             assert name == "sentencepiece" or out.columns == docs.columns
             assert out.count() <= docs.count()
+
+
+def test_near_copy_stage_shuffles_few_texts(spark, docs):
+    """Rows that stay, or go, by a bit of their id don't travel."""
+    texts = unlike(300)
+    rows = stored(docs(texts * 2))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = corpus_pipeline.ngram_jaccard(spark, rows, SF001)
+        known = set(shuffled(spark))
+        kept = stored(result)
+        sent = sum(n for name, n in shuffled(spark).items() if name not in known)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r.doc_id for r in kept.collect()} == set(range(300))
+    assert sent < sum(map(len, texts)) / 4
+
+
+@pytest.mark.parametrize("bits", [32, 1 << 25])
+def test_representatives_with_odd_ids(spark, monkeypatch, bits):
+    monkeypatch.setattr(jaccard, "FILTER_BITS", bits)
+    a, b, c = unlike(3)
+    rows = [(1, a), (2, a), (2, a), (3, b), (4, None), (4, None), (None, b), (None, None), (5, c), (6, c + " end")]
+    odd = spark.createDataFrame([(i, t, [k], {"k": k}) for k, (i, t) in enumerate(rows)], "doc_id int, text string, _key array<int>, m map<string,int>")
+    got = corpus_pipeline.ngram_jaccard(spark, odd, SF001)
+    assert got.columns == odd.columns
+    assert sorted(r._key[0] for r in got.collect()) == [0, 3, 4, 5, 6, 7, 8]
